@@ -9,6 +9,7 @@ those small tables, and at last every chunk is folded from its real entry.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -109,13 +110,17 @@ class PolicyMachine:
         return (size, *resumes), action
 
 
-def _timer_choices(machine, head: list[int], outlasts: bool) -> list[int]:
-    return [NO_PAUSE, *head, *([OUTLASTS] if outlasts else [])]
+def _head(machine, times: list[int]) -> tuple[list[int], bool]:
+    """Readings that may be the first after a pause set before the chunk, and whether such a
+    pause may outlast the chunk."""
+    limit = times[0] + machine.longest_pause
+    behind = bisect.bisect_left(times, limit)
+    return sorted(set(times[: behind + 1]) - {times[0]}), behind == len(times)
 
 
 def _entries(machine, head: list[int], outlasts: bool) -> list[tuple]:
     """Every way to enter a chunk: pauses are named by the first reading they let through."""
-    choices = _timer_choices(machine, head, outlasts)
+    choices = [NO_PAUSE, *head, *([OUTLASTS] if outlasts else [])]
     return [
         (*untimed, *timers)
         for untimed in machine.untimed
@@ -175,9 +180,7 @@ def _fold(
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "signal"])
         times, signals = pdf["t"].tolist(), pdf["signal"].tolist()
-        limit = times[0] + machine.longest_pause
-        head = sorted({t for t in times if times[0] < t <= limit})
-        outlasts = times[-1] < limit
+        head, outlasts = _head(machine, times)
         exits = _exits(machine, times, signals, _entries(machine, head, outlasts))
         return pd.DataFrame(
             {

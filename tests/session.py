@@ -35,7 +35,9 @@ def duckdb_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _sorted_rows(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame[sorted(frame.columns)]
+    frame = frame[sorted(frame.columns)].copy()
+    for name in frame.select_dtypes("datetime").columns:
+        frame[name] = frame[name].astype("datetime64[us]")
     return frame.sort_values(list(frame.columns)).reset_index(drop=True)
 
 
@@ -44,6 +46,5 @@ def assert_same_rows(actual: DataFrame, expected: pd.DataFrame) -> None:
     assert list(left.columns) == list(right.columns)
     assert len(left) == len(right)
     for name in left.columns:
-        kinds = (left[name].dtype.kind, right[name].dtype.kind)
-        assert kinds[0] == kinds[1], f"{name}: {left[name].dtype} and {right[name].dtype}"
+        assert left[name].dtype == right[name].dtype, name
     pd.testing.assert_frame_equal(left, right, check_dtype=False, rtol=1e-9, atol=1e-9)
