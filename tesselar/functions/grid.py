@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 def block_width(max_id: Column | int, n: int, base: int) -> Column:
     """Ids per block so that ``n`` blocks cover ``base``..``max_id``."""
     last = max_id if isinstance(max_id, Column) else F.lit(max_id)
-    return F.greatest(F.ceil((last + (1 - base)) / F.lit(n)), F.lit(1)).cast("long")
+    rounded_up = F.call_function("div", last + (n - base), F.lit(n))
+    return F.greatest(rounded_up, F.lit(1))
 
 
 def block_index(id_col: Column, max_id: Column | int, n: int, base: int = 0) -> Column:
     """Block of an id. With ``base=1`` ids start at 1 and id 0 stays in block 0."""
     offset = id_col if base == 0 else F.greatest(id_col - 1, F.lit(0))
-    return F.floor(offset / block_width(max_id, n, base)).cast("int")
+    return F.call_function("div", offset, block_width(max_id, n, base)).cast("int")
 
 
 def stratum(row_block: Column, col_block: Column, n: int) -> Column:

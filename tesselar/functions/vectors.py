@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 HEX_DIGITS = 13  # 52 bits, which a double holds exactly
 
 
-def uniform_value(seed: int, id_col: Column, position: Column) -> Column:
+def uniform_value(seed: Column, id_col: Column, position: Column) -> Column:
     """A value in [0, 1) that depends on (seed, id, position) only, never on partitioning."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string"), position.cast("string")))
+    digest = F.md5(F.concat_ws(":", *[part.cast("string") for part in (seed, id_col, position)]))
     digits = F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10)
     return digits.cast("double") / F.lit(float(16**HEX_DIGITS))
 
 
-def uniform_vector(seed: int, id_col: Column, rank: int) -> Column:
+def uniform_vector(seed: Column, id_col: Column, rank: int) -> Column:
     return F.array(*[uniform_value(seed, id_col, F.lit(position)) for position in range(rank)])
 
 

@@ -28,7 +28,7 @@ BATCH_ROWS = 10_000
 
 
 def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the level to rows sorted by (rb, cb, i, j, r)."""
+    """Append the level to rows sorted by block, then (i, j, r)."""
     block = None
     for batch in batches:
         levels = []
@@ -48,8 +48,12 @@ def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def block_layout(ratings: DataFrame, grid: Grid) -> DataFrame:
     """Ratings with block, stratum and level. Rows of a block pass through one task as a stream."""
     blocked = assign_blocks(ratings, grid.n, grid=grid).select("s", "rb", "cb", "i", "j", "r")
-    by_block = blocked.repartition("rb", "cb").sortWithinPartitions("rb", "cb", "i", "j", "r")
-    return by_block.mapInArrow(_add_levels, LAYOUT_SCHEMA)
+    configured = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(grid.n * grid.n, max(grid.n, configured))
+    part = F.pmod(F.col("s").cast("long") * grid.n + F.col("rb"), F.lit(parts)).cast("int")
+    by_block = blocked.repartitionById(parts, part)
+    in_order = by_block.sortWithinPartitions("s", "rb", "i", "j", "r")
+    return in_order.mapInArrow(_add_levels, LAYOUT_SCHEMA)
 
 
 def _block_kernel(eta: float, update: str):
@@ -146,7 +150,6 @@ def dsgd_update(
     """
     if update not in ("simultaneous", "sequential"):
         raise ValueError(f"unknown update rule {update!r}")
-    none_long, none_double = F.lit(None).cast("long"), F.lit(None).cast("double")
     is_user = F.col("role") == "W"
     item_home = meeting_row_block(grid.col_block(F.col("id")), offset, grid.n)
     factor_rows = factors.select(
@@ -155,7 +158,7 @@ def dsgd_update(
         F.lit(0).cast("long").alias("lvl"),
         F.when(is_user, F.col("id")).alias("i"),
         F.when(~is_user, F.col("id")).alias("j"),
-        none_double.alias("r"),
+        F.lit(None).cast("double").alias("r"),
         "vec",
     )
     samples = select_stratum(layout, offset).select(
@@ -165,7 +168,8 @@ def dsgd_update(
         "i",
         "j",
         "r",
-        F.lit(None).cast("array<double>").alias("vec"),
+        # Empty, not null: writing runs of null lists to Arrow takes quadratic time.
+        F.array().cast("array<double>").alias("vec"),
     )
     # Block b goes to partition b, so no two blocks of the stratum share a task.
     by_block = factor_rows.unionAll(samples).repartitionById(grid.n, "blk")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesselar.functions.vectors import dot
+from tesselar.operators.factors import rating_sides
 from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, skew_join
 
 
@@ -21,8 +22,17 @@ class RatingSkew:
 
 
 def rating_skew(ratings: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> RatingSkew:
-    users, items = (find_hot_keys(ratings, [axis], rows_per_task) for axis in ("i", "j"))
-    return RatingSkew(users, items, rows_per_task)
+    """Count users and items in one pass."""
+    both = rating_sides(ratings)
+    found = find_hot_keys(both, ["role", "id"], rows_per_task)
+
+    def side(role: str, axis: str) -> HotKeys:
+        if not found:
+            return HotKeys((axis,), 0, None)
+        table = found.table.filter(F.col("role") == role)
+        return HotKeys((axis,), found.rows, table.select(F.col("id").alias(axis), "key_rows"))
+
+    return RatingSkew(side("W", "i"), side("H", "j"), rows_per_task)
 
 
 def _present(vec: str, role: str, axis: str) -> Column:

@@ -13,17 +13,22 @@ AXES = {"W": "i", "H": "j"}
 
 def init_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
     """Uniform [0, 1) start vectors for ``(role, id)`` rows; H uses ``seed + 1``."""
-    vec = F.when(F.col("role") == "W", uniform_vector(seed, F.col("id"), rank)).otherwise(
-        uniform_vector(seed + 1, F.col("id"), rank)
-    )
+    role_seed = F.when(F.col("role") == "W", seed).otherwise(seed + 1)
+    vec = uniform_vector(role_seed, F.col("id"), rank)
     return ids.select("role", "id", vec.alias("vec"))
 
 
+def rating_sides(ratings: DataFrame) -> DataFrame:
+    """``(role, id)`` of the user and of the item of every rating, from one scan."""
+    sides = [
+        F.struct(F.lit(role).alias("role"), F.col(axis).alias("id")) for role, axis in AXES.items()
+    ]
+    return ratings.select(F.inline(F.array(*sides)))
+
+
 def observed_ids(ratings: DataFrame) -> DataFrame:
-    """``(role, id)`` of every user and item that has a rating, from one scan."""
-    both = F.array(*[F.struct(F.lit(role).alias("role"), F.col(axis).alias("id"))
-                     for role, axis in AXES.items()])
-    return ratings.select(F.inline(both)).distinct()
+    """``(role, id)`` of every user and item that has a rating."""
+    return rating_sides(ratings).distinct()
 
 
 def dense_ids(ratings: DataFrame) -> DataFrame:

@@ -203,7 +203,7 @@ def _fold(
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "signal"])
         entry = pdf["entry"].iloc[0]
-        state = machine.start if entry is None else tuple(int(v) for v in entry)
+        state = tuple(int(v) for v in entry) if len(entry) else machine.start
         sizes, actions = [], []
         for t, name in zip(pdf["t"].tolist(), pdf["signal"].tolist()):
             state, action = machine.step(state, t, name)
@@ -211,7 +211,8 @@ def _fold(
             actions.append(action)
         return pdf[["dim", "t", "signal"]].assign(size=sizes, action=actions)
 
-    rows = chunked.df.withColumn("entry", F.lit(None).cast("array<long>"))
+    from_start = F.array().cast("array<long>")
+    rows = chunked.df.withColumn("entry", from_start)
     if chunked.hot:
         tables = chunked.hot_rows().groupBy("dim", CHUNK).applyInPandas(
             table,
@@ -221,7 +222,8 @@ def _fold(
         entries = tables.groupBy("dim").applyInPandas(
             chain, f"dim STRING, {CHUNK} INT, entry ARRAY<LONG>"
         )
-        rows = chunked.df.join(entries, ["dim", CHUNK], "left")
+        joined = chunked.df.join(entries, ["dim", CHUNK], "left")
+        rows = joined.withColumn("entry", F.coalesce("entry", from_start))
     folded = rows.groupBy("dim", CHUNK).applyInPandas(
         fold, "dim STRING, t LONG, signal STRING, size LONG, action LONG"
     )

@@ -52,8 +52,13 @@ def _rounded(column: str | Column, digits: int = 6) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, digits)
 
 
+def _written_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived ratings as a table, for queries that read them more than once."""
+    return materialize(views.ratings(spark, sf_dir), "ratings")
+
+
 def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.assign_blocks(views.ratings(spark, sf_dir), BLOCKS)
+    return grid.assign_blocks(_written_ratings(spark, sf_dir), BLOCKS)
 
 
 def _start_factors(ratings: DataFrame) -> DataFrame:
@@ -62,7 +67,7 @@ def _start_factors(ratings: DataFrame) -> DataFrame:
 
 def _keyed_factors(spark: SparkSession, sf_dir: str, offset: int) -> tuple[DataFrame, DataFrame]:
     """User and item ids with the row block they take part in at a stratum."""
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     extent = grid.matrix_extent(ratings)
     whole = grid.Grid(BLOCKS, extent.select("max_i").scalar(), extent.select("max_j").scalar())
     users = grid.distinct_entities(ratings, "i").withColumn("key", whole.row_block(F.col("id")))
@@ -146,7 +151,7 @@ def factors_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "factor-lines")
     factor_files.write_factors_csv(_start_factors(views.ratings(spark, sf_dir)), path, "W")
     read = factor_files.read_factors_csv(spark, path, "W")
-    return read.select("role", "id", F.posexplode("vec").alias("k", "value")).withColumn(
+    return read.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
         "value", _rounded("value")
     )
 
@@ -179,7 +184,7 @@ def col_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def block_one_based(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     return grid.assign_blocks(ratings, BLOCKS, base=1).select("i", "j", "rb", "cb")
 
 
@@ -195,7 +200,7 @@ def rotate_item_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     joined = evaluate.rating_factor_join(ratings, _start_factors(ratings))
     return evaluate.predict(joined, RANK).select("i", "j", "r", _rounded("prediction").alias("prediction"))
 
@@ -259,7 +264,7 @@ def block_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rating_factor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     joined = evaluate.rating_factor_join(ratings, _start_factors(ratings))
     first, last = F.col("w")[0], F.col("h")[RANK - 1]
     return joined.select("i", "j", "r", _rounded(first).alias("w_first"), _rounded(last).alias("h_last"))
@@ -292,7 +297,7 @@ def block_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     error = evaluate.model_error(ratings, _start_factors(ratings), RANK)
     return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
 
@@ -396,15 +401,15 @@ def factors_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = _start_factors(views.ratings(spark, sf_dir))
-    return start.select("role", "id", F.posexplode("vec").alias("k", "value")).withColumn(
+    return start.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
         "value", _rounded("value", 9)
     )
 
 
 @query
 def init_factors_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = factors.init_factors(factors.dense_ids(views.ratings(spark, sf_dir)), RANK, SEED)
-    return start.select("role", "id", F.posexplode("vec").alias("k", "value")).withColumn(
+    start = factors.init_factors(factors.dense_ids(_written_ratings(spark, sf_dir)), RANK, SEED)
+    return start.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
         "value", _rounded("value", 9)
     )
 
@@ -412,14 +417,14 @@ def init_factors_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users and items of the high ratings have vectors, all others get theirs from a new seed."""
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     known = _start_factors(ratings.filter(F.col("r") >= 5))
     filled = factors.fill_missing_factors(known, ratings, RANK, SEED + 2)
     return filled.select("role", "id", _rounded(F.col("vec")[0], 9).alias("first_value"))
 
 
 def _one_sub_epoch(spark: SparkSession, sf_dir: str, update: str) -> DataFrame:
-    ratings = views.ratings(spark, sf_dir)
+    ratings = _written_ratings(spark, sf_dir)
     measured = grid.measured_grid(ratings, BLOCKS)
     layout = dsgd.block_layout(ratings, measured)
     return dsgd.dsgd_update(layout, _start_factors(ratings), OFFSET, measured, 0.015, update)
