@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesselar.functions.text import is_address
-from tesselar.operators.ordered import CHUNK, chunk, finish, key_totals, running
-from tesselar.operators.skew import ROWS_PER_TASK, skew_join
+from tesselar.operators.ordered import CHUNK, Chunked, chunk, finish, key_totals, running
+from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, hot_keys_of, skew_join
 
 
 def member_ip_check(requests: DataFrame) -> DataFrame:
@@ -72,15 +72,32 @@ def round_robin_assign(
 ) -> DataFrame:
     """The k-th request of a balancer goes to member ``k mod n`` of its fixed member list."""
 
-    def numbered(df: DataFrame, out: str) -> DataFrame:
-        chunked = chunk(df, ["balancer"], ["seq"], rows_per_chunk)
+    def numbered(chunked: Chunked, out: str) -> DataFrame:
         counted = finish(running(chunked, sums={out: F.lit(1).cast("long")}))
         return counted.withColumn(out, F.col(out) - 1)
 
-    slots = numbered(members, "slot").select("balancer", "slot", "ip")
+    slots = numbered(chunk(members, ["balancer"], ["seq"], rows_per_chunk), "slot").select(
+        "balancer", "slot", "ip"
+    )
     sizes = members.groupBy("balancer").agg(F.count("*").alias("_size"))
-    sized = skew_join(
-        numbered(requests, "_k"), sizes, ["balancer"], ["seq"], "inner", rows_per_chunk
+    asked = chunk(requests, ["balancer"], ["seq"], rows_per_chunk)
+    join = lambda facts, lookup, key, hot: skew_join(
+        facts, lookup, key, ["seq"], "inner", rows_per_chunk, hot
     )
+    sized = join(numbered(asked, "_k"), sizes, ["balancer"], asked.hot)
     placed = sized.withColumn("slot", F.col("_k") % F.col("_size")).drop("_k", "_size")
-    return skew_join(placed, slots, ["balancer", "slot"], ["seq"], "inner", rows_per_chunk)
+    hot_slots = _hot_slots(asked.hot, slots, sizes, rows_per_chunk)
+    return join(placed, slots, ["balancer", "slot"], hot_slots)
+
+
+def _hot_slots(hot: HotKeys, slots: DataFrame, sizes: DataFrame, rows_per_task: int) -> HotKeys:
+    """Members of hot balancers that get more requests than one task takes, by arithmetic."""
+    if not hot:
+        return hot
+    busy = sizes.join(F.broadcast(hot.table), "balancer").select(
+        "balancer", F.ceil(F.col("key_rows") / F.col("_size")).alias("key_rows")
+    )
+    counts = slots.select("balancer", "slot").join(
+        F.broadcast(busy.filter(F.col("key_rows") > rows_per_task)), "balancer"
+    )
+    return hot_keys_of(counts, ["balancer", "slot"], rows_per_task)

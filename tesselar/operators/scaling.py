@@ -172,6 +172,7 @@ def _fold(
 ) -> DataFrame:
     """``(dim, t, signal)`` rows with the size after each reading and the action taken."""
     time_type = readings.schema["t"].dataType
+    dim = f"dim {readings.schema['dim'].dataType.simpleString()}"
     micros = readings.select(
         "dim", F.unix_micros(F.col("t").cast("timestamp")).alias("t"), F.col(signal).alias("signal")
     )
@@ -216,16 +217,16 @@ def _fold(
     if chunked.hot:
         tables = chunked.hot_rows().groupBy("dim", CHUNK).applyInPandas(
             table,
-            f"dim STRING, {CHUNK} INT, first LONG, head ARRAY<LONG>, outlasts BOOLEAN, "
+            f"{dim}, {CHUNK} INT, first LONG, head ARRAY<LONG>, outlasts BOOLEAN, "
             "exits ARRAY<ARRAY<LONG>>",
         )
         entries = tables.groupBy("dim").applyInPandas(
-            chain, f"dim STRING, {CHUNK} INT, entry ARRAY<LONG>"
+            chain, f"{dim}, {CHUNK} INT, entry ARRAY<LONG>"
         )
         joined = chunked.df.join(entries, ["dim", CHUNK], "left")
         rows = joined.withColumn("entry", F.coalesce("entry", from_start))
     folded = rows.groupBy("dim", CHUNK).applyInPandas(
-        fold, "dim STRING, t LONG, signal STRING, size LONG, action LONG"
+        fold, f"{dim}, t LONG, signal STRING, size LONG, action LONG"
     )
     return folded.select(
         "dim",

@@ -29,9 +29,8 @@ class HotKeys:
         return self.table is not None
 
 
-def find_hot_keys(df: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """One counting job over the key columns; the counts combine before the shuffle."""
-    counts = df.groupBy(*key).agg(F.count("*").alias("key_rows"))
+def hot_keys_of(counts: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """The hot keys among counted keys; ``counts`` has the key columns and ``key_rows``."""
     largest = (
         counts.filter(F.col("key_rows") > rows_per_task)
         .orderBy(F.desc("key_rows"))
@@ -40,10 +39,16 @@ def find_hot_keys(df: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_T
     found = largest.collect()
     if not found:
         return HotKeys(tuple(key), 0, None)
-    table = df.sparkSession.createDataFrame(found, largest.schema)
+    table = counts.sparkSession.createDataFrame(found, largest.schema)
     return HotKeys(tuple(key), sum(row["key_rows"] for row in found), table)
 
 
+def find_hot_keys(df: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """One counting job over the key columns; the counts combine before the shuffle."""
+    counts = df.groupBy(*key).agg(F.count("*").alias("key_rows"))
+    return hot_keys_of(counts, key, rows_per_task)
+
+
 def _parts(rows_per_task: int) -> Column:
     return F.least(F.ceil(F.col("key_rows") / rows_per_task), F.lit(MAX_PARTS)).cast("int")
 

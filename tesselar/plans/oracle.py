@@ -362,3 +362,4 @@ FROM ids LEFT JOIN known k USING (role, id)""",
     "stream_metric_alarm": _streamed_alarms(),
     "stream_scaling_decisions": f"SELECT * FROM ({_scaling()}) WHERE {_closed('t', PERIOD)}",
 }
+ORACLE["score_files"] = ORACLE["model_error"]

@@ -20,7 +20,8 @@ from tesselar.operators import (
     scaling,
 )
 from tesselar.plans import views
-from tesselar.plans.train import TrainingParams, train_factors
+from tesselar.plans.files import score_files as score_factor_files
+from tesselar.plans.train import TrainingParams, fitting_blocks, train_factors
 from tesselar.sources import factors as factor_files
 from tesselar.sources import logs
 from tesselar.sources import ratings as rating_files
@@ -302,6 +303,19 @@ def model_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
 
 
+@query
+def score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model error again, with factors and ratings written to text files and read back."""
+    home = new_path(spark, "scored")
+    ratings = _written_ratings(spark, sf_dir)
+    start = factors.init_factors(factors.dense_ids(ratings), RANK, SEED)
+    for role in ("W", "H"):
+        factor_files.write_factors_csv(start, f"{home}/{role}", role)
+    ratings.select(F.concat_ws(",", "i", "j", "r")).write.text(f"{home}/ratings")
+    error = score_factor_files(spark, f"{home}/W", f"{home}/H", f"{home}/ratings")
+    return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
+
+
 @query
 def last_minute_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = loadlog.last_minute_rps(views.load_log(spark, sf_dir))
@@ -425,8 +439,9 @@ def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_sub_epoch(spark: SparkSession, sf_dir: str, update: str) -> DataFrame:
     ratings = _written_ratings(spark, sf_dir)
-    measured = grid.measured_grid(ratings, BLOCKS)
-    layout = dsgd.block_layout(ratings, measured)
+    measured = grid.measured_grid(ratings, fitting_blocks(ratings, least=BLOCKS))
+    met = grid.select_stratum(grid.assign_blocks(ratings, measured.n, grid=measured), OFFSET)
+    layout = dsgd.block_layout(met.select("i", "j", "r"), measured)
     return dsgd.dsgd_update(layout, _start_factors(ratings), OFFSET, measured, 0.015, update)
 
 
@@ -446,14 +461,14 @@ def sgd_update_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_factors_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
-    return _vector_rows(train_factors(views.ratings(spark, sf_dir), params)[0])
+    params = TrainingParams(rank=RANK, blocks=None, epochs=2)
+    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
 
 
 @query
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
-    log = train_factors(views.ratings(spark, sf_dir), params)[1]
+    params = TrainingParams(rank=RANK, blocks=None, epochs=2)
+    log = train_factors(_written_ratings(spark, sf_dir), params)[1]
     return log.select("iteration", "squared_error", "rmse")
 
 
@@ -490,8 +505,8 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One epoch of training from fresh factors: iteration, squared error, RMSE."""
-    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=1)
-    log = train_factors(views.ratings(spark, sf_dir), params)[1]
+    params = TrainingParams(rank=RANK, blocks=None, epochs=1)
+    log = train_factors(_written_ratings(spark, sf_dir), params)[1]
     return log.select("iteration", "squared_error", "rmse")
 
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tesselar.operators.dsgd import block_layout, dsgd_update
 from tesselar.operators.evaluate import model_error, rating_skew
-from tesselar.operators.factors import fill_missing_factors, init_factors, observed_ids
+from tesselar.operators.factors import (
+    fill_missing_factors,
+    init_factors,
+    observed_ids,
+    rating_sides,
+)
 from tesselar.operators.grid import measured_grid
+from tesselar.operators.skew import ROWS_PER_TASK
 from tesselar.workspace import new_path, write_table
 
 LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
@@ -18,10 +26,13 @@ LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
 
 @dataclass(frozen=True)
 class TrainingParams:
-    """The published defaults of the distributed drafts."""
+    """The published defaults of the distributed drafts.
+
+    ``blocks=None`` measures the ratings, see ``fitting_blocks``.
+    """
 
     rank: int
-    blocks: int = 8
+    blocks: int | None = 8
     epochs: int = 5
     eta: float = 0.015
     decay: float = 0.99
@@ -30,6 +41,20 @@ class TrainingParams:
     base: int = 0
 
 
+def fitting_blocks(
+    ratings: DataFrame, rows_per_block: int = ROWS_PER_TASK, least: int = 4
+) -> int:
+    """Blocks per side that keep the average block, and a hot id's share of one, to task size.
+
+    Samples of one user or item must be learned one after the other, so a hot id cannot be
+    salted; more blocks cut its samples into more sub-epochs instead.
+    """
+    counts = rating_sides(ratings).groupBy("role", "id").agg(F.count("*").alias("rows"))
+    sizes = counts.agg((F.sum("rows") / 2).alias("all"), F.max("rows").alias("largest")).first()
+    average = math.ceil(math.sqrt((sizes["all"] or 0) / rows_per_block))
+    return max(least, average, math.ceil((sizes["largest"] or 0) / rows_per_block))
+
+
 def training_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """One row per epoch."""
     return spark.createDataFrame(rows, LOG_SCHEMA)
@@ -46,7 +71,8 @@ def train_factors(
     """
     spark = ratings.sparkSession
     home = new_path(spark, "training")
-    grid = measured_grid(ratings, params.blocks, params.base)
+    blocks = params.blocks or fitting_blocks(ratings)
+    grid = measured_grid(ratings, blocks, params.base)
     layout = block_layout(ratings, grid)
     layout.write.partitionBy("s").parquet(f"{home}/layout")
     layout = spark.read.schema(layout.schema).parquet(f"{home}/layout")

@@ -13,7 +13,7 @@ MOVIELENS_SCHEMAS = {
 
 
 def _required(tokens: Column, position: int, kind: str) -> Column:
-    parsed = tokens.getItem(position).try_cast(kind)
+    parsed = F.get(tokens, F.lit(position)).try_cast(kind)
     problem = F.concat(F.lit("not a rating line: "), F.col("line"))
     return F.coalesce(parsed, F.raise_error(problem).cast(kind))
 
@@ -22,11 +22,10 @@ def parse_ratings(lines: DataFrame) -> DataFrame:
     """``i,j,r[,...]`` lines to rows. Further tokens are ignored; a bad or blank line raises."""
     # A limit of 4 leaves everything after the third comma unsplit.
     tokens = F.split(F.col("line"), ",", 4)
-    padded = F.concat(tokens, F.array_repeat(F.lit(""), 3))
     return lines.select(
-        _required(padded, 0, "long").alias("i"),
-        _required(padded, 1, "long").alias("j"),
-        _required(padded, 2, "double").alias("r"),
+        _required(tokens, 0, "long").alias("i"),
+        _required(tokens, 1, "long").alias("j"),
+        _required(tokens, 2, "double").alias("r"),
     )
 
 

@@ -8,7 +8,8 @@ from tesselar.operators.dsgd import block_layout, dsgd_update
 from tesselar.operators.evaluate import model_error, rating_skew
 from tesselar.operators.factors import init_factors, observed_ids
 from tesselar.operators.grid import assign_blocks, measured_grid
-from tesselar.plans.train import TrainingParams, train_factors
+from tesselar.plans.files import score_files, train_files
+from tesselar.plans.train import TrainingParams, fitting_blocks, train_factors
 
 RANK = 4
 
@@ -135,3 +136,21 @@ def test_error_with_hot_ids_split(spark):
     assert split["n"] == plain["n"] == 600
     assert split["squared_error"] == pytest.approx(plain["squared_error"], rel=1e-12)
     assert model_error(df.withColumn("r", F.lit(0.0)), factors, RANK).first()["n"] == 600
+
+
+def test_fitting_blocks(spark):
+    df = as_df(spark, make_ratings(40, 40, 900, hot=3))
+    assert fitting_blocks(df, 10_000) == 4
+    assert fitting_blocks(df, 9, least=1) >= 300 / 9
+    assert fitting_blocks(df.filter("j <> 3"), 1, least=1) >= 24
+
+
+def test_files_train_and_score(spark, tmp_path):
+    ratings = make_ratings(15, 11, 300)
+    (tmp_path / "ratings.csv").write_text("".join(f"{i},{j},{r}\n" for i, j, r in ratings))
+    paths = [str(tmp_path / name) for name in ("ratings.csv", "w", "h")]
+    log = train_files(spark, *paths, TrainingParams(rank=RANK, blocks=3, epochs=2))
+    last = log.orderBy("iteration").collect()[-1]
+    score = score_files(spark, paths[1], paths[2], paths[0]).first()
+    assert score["n"] == 300
+    assert score["rmse"] == pytest.approx(last["rmse"], rel=1e-12)
