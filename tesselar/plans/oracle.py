@@ -6,6 +6,7 @@ from tesselar.functions.text import HEXTET, IPV4, IPV6_FULL, IPV6_SHORT
 from tesselar.operators.alarms import DEFAULT_RULES
 from tesselar.operators.scaling import PolicyParams
 from tesselar.plans.queries import BLOCKS, HEALTH_RUNS, OFFSET, PERIOD, RANK, SCALING, SEED
+from tesselar.plans.train import TrainingParams
 from tesselar.plans.views import AGE_CODES
 
 EPOCH = "TIMESTAMP '1970-01-01'"
@@ -227,6 +228,70 @@ def _vector_rows(source: str) -> str:
     )
 
 
+def _steps(chosen: str, epochs: int) -> str:
+    """Samples in block order, and the step at which each is learned.
+
+    A sample comes one level after the last earlier sample of its block with the same user or item;
+    the samples of a level do not affect each other and make one step.
+    """
+    p = TrainingParams(rank=RANK)
+    return f"""{BLOCKED}, {FACTORS},
+numbered AS MATERIALIZED (
+  SELECT s, rb, i, j, r, row_number() OVER (ORDER BY s, rb, i, j, r) AS n FROM blocked WHERE {chosen}),
+samples AS MATERIALIZED (
+  SELECT *, lag(n) OVER (PARTITION BY s, rb, i ORDER BY n) AS before_i,
+            lag(n) OVER (PARTITION BY s, rb, j ORDER BY n) AS before_j FROM numbered),
+levels(n, lvl) USING KEY (n) AS (
+  SELECT n, 1 FROM samples WHERE before_i IS NULL AND before_j IS NULL
+  UNION
+  SELECT x.n, 1 + greatest(coalesce(a.lvl, 0), coalesce(b.lvl, 0))
+  FROM samples x LEFT JOIN recurring.levels a ON a.n = x.before_i
+                 LEFT JOIN recurring.levels b ON b.n = x.before_j
+  WHERE (a.n IS NOT NULL OR x.before_i IS NULL) AND (b.n IS NOT NULL OR x.before_j IS NULL)
+    AND x.n NOT IN (SELECT n FROM recurring.levels)),
+steps AS MATERIALIZED (
+  SELECT i, j, r, CAST({p.eta} AS DOUBLE) * pow(CAST({p.decay} AS DOUBLE), epoch) AS eta,
+         dense_rank() OVER (ORDER BY epoch, s, lvl) AS n
+  FROM samples JOIN levels USING (n), range({epochs}) AS epochs(epoch))"""
+
+
+def _model(name: str, last_step: str, w_used: str = "w") -> str:
+    return f"""{name}(role, id, vec, n) USING KEY (role, id) AS (
+  SELECT role, id, vec, CAST(0 AS BIGINT) FROM factors
+  UNION
+  SELECT changed.role, changed.id, changed.vec, n FROM (
+    SELECT n, unnest([{{'role': 'W', 'id': i, 'vec': w_new}},
+                      {{'role': 'H', 'id': j, 'vec': list_transform(list_zip(h, {w_used}), lambda x: x[1] + step * x[2])}}]) AS changed
+    FROM (
+      SELECT *, list_transform(list_zip(w, h), lambda x: x[1] + step * x[2]) AS w_new
+      FROM (
+        SELECT x.i, x.j, x.n, w.vec AS w, h.vec AS h, 2 * x.eta * (x.r - list_dot_product(w.vec, h.vec)) AS step
+        FROM steps x
+        JOIN recurring.{name} w ON w.role = 'W' AND w.id = x.i
+        JOIN recurring.{name} h ON h.role = 'H' AND h.id = x.j
+        WHERE x.n = (SELECT max(n) + 1 FROM {name}) AND x.n <= {last_step}))))"""
+
+
+def _learned(chosen: str, epochs: int, w_used: str = "w") -> str:
+    return (
+        f"WITH RECURSIVE {_steps(chosen, epochs)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
+        "SELECT role, id, round(list_dot_product(vec, vec), 6) AS squared_norm FROM model"
+    )
+
+
+def _log(epochs: int) -> str:
+    """Every epoch's model is learned from the start again, up to the last step of the epoch."""
+    parts, rows = [_steps("true", epochs)], []
+    for epoch in range(epochs):
+        name = f"model{epoch}"
+        parts.append(_model(name, f"(SELECT max(n) * {epoch + 1} // {epochs} FROM steps)"))
+        rows.append(f"""SELECT CAST({epoch} AS INTEGER) AS iteration, round(sum(d * d), 6) AS squared_error,
+  round(sqrt(sum(d * d) / count(*)), 6) AS rmse
+FROM (SELECT r - list_dot_product(w.vec, h.vec) AS d FROM ratings
+      JOIN {name} w ON w.role = 'W' AND w.id = i JOIN {name} h ON h.role = 'H' AND h.id = j)""")
+    return f"WITH RECURSIVE {', '.join(parts)} {' UNION ALL '.join(rows)}"
+
+
 DENSE = f"""{EXTENT},
 factors AS (
   SELECT role, id, {_vec('role', SEED)} AS vec
@@ -357,6 +422,10 @@ known AS (SELECT DISTINCT 'W' AS role, i AS id FROM ratings WHERE r >= 5
   UNION ALL SELECT DISTINCT 'H', j FROM ratings WHERE r >= 5)
 SELECT role, id, round(CASE WHEN k.id IS NULL THEN {_vec('role', SEED + 2)}[1] ELSE {_vec('role', SEED)}[1] END, 9) AS first_value
 FROM ids LEFT JOIN known k USING (role, id)""",
+    "dsgd_update": _learned(f"s = {OFFSET}", 1),
+    "sgd_update_sequential": _learned(f"s = {OFFSET}", 1, "w_new"),
+    "train_factors": _learned("true", 2),
+    "training_log": _log(2),
     "scaling_decisions": _scaling(),
     "policy_actions": _policy(),
     "stream_metric_alarm": _streamed_alarms(),

@@ -469,7 +469,7 @@ def train_factors_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = TrainingParams(rank=RANK, blocks=None, epochs=2)
     log = train_factors(_written_ratings(spark, sf_dir), params)[1]
-    return log.select("iteration", "squared_error", "rmse")
+    return log.select("iteration", _rounded("squared_error").alias("squared_error"), _rounded("rmse").alias("rmse"))
 
 
 # State machines and streams
