@@ -1,4 +1,4 @@
-"""Block index, stratum and rotation arithmetic on ids."""
+"""Block index, sub-epoch and rotation arithmetic on ids."""
 
 from __future__ import annotations
 
@@ -19,11 +19,29 @@ def block_index(id_col: Column, max_id: Column | int, n: int, base: int = 0) ->
     return F.call_function("div", offset, block_width(max_id, n, base)).cast("int")
 
 
-def stratum(row_block: Column, col_block: Column, n: int) -> Column:
-    """Blocks of equal stratum share no row block and no column block."""
+STRATA = "strata"
+ROW_MAJOR = "row_major"
+
+
+def turns(n: int, schedule: str = STRATA) -> int:
+    """Sub-epochs of an epoch."""
+    return {STRATA: n, ROW_MAJOR: 2 * n - 1}[schedule]
+
+
+def turn(row_block: Column, col_block: Column, n: int, schedule: str = STRATA) -> Column:
+    """The sub-epoch of a block; blocks of one sub-epoch share no row block and no column block.
+
+    Strata are the wrapped diagonals. The anti-diagonals give the same result as visiting the blocks
+    row by row: whatever shares a row or column with a block and precedes it has an earlier turn.
+    """
+    if schedule == ROW_MAJOR:
+        return (row_block + col_block).cast("int")
     return F.pmod(col_block - row_block, F.lit(n)).cast("int")
 
 
-def meeting_row_block(col_block: Column, offset: int, n: int) -> Column:
-    """The row block that column block ``col_block`` meets in stratum ``offset``."""
-    return F.pmod(col_block - F.lit(offset), F.lit(n)).cast("int")
+def meeting_row_block(
+    col_block: Column, offset: int, n: int, schedule: str = STRATA
+) -> Column:
+    """The row block that column block ``col_block`` meets in sub-epoch ``offset``."""
+    distance = F.lit(offset) - col_block if schedule == ROW_MAJOR else col_block - F.lit(offset)
+    return F.pmod(distance, F.lit(n)).cast("int")

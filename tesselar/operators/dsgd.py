@@ -45,14 +45,22 @@ def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def block_layout(ratings: DataFrame, grid: Grid) -> DataFrame:
-    """Ratings with block, stratum and level. Rows of a block pass through one task as a stream."""
-    blocked = assign_blocks(ratings, grid.n, grid=grid).select("s", "rb", "cb", "i", "j", "r")
+def block_layout(
+    ratings: DataFrame, grid: Grid, order: tuple[str, ...] = ("i", "j", "r")
+) -> DataFrame:
+    """Ratings with block, sub-epoch and level. Rows of a block pass through one task as a stream.
+
+    ``order`` names the columns that order the samples of a block, such as a line number.
+    """
+    columns = ["s", "rb", "cb", "i", "j", "r"]
+    blocked = assign_blocks(ratings, grid.n, grid=grid).select(
+        *columns, *[name for name in order if name not in columns]
+    )
     configured = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(grid.n * grid.n, max(grid.n, configured))
     part = F.pmod(F.col("s").cast("long") * grid.n + F.col("rb"), F.lit(parts)).cast("int")
     by_block = blocked.repartitionById(parts, part)
-    in_order = by_block.sortWithinPartitions("s", "rb", "i", "j", "r")
+    in_order = by_block.sortWithinPartitions("s", "rb", *order).select(*columns)
     return in_order.mapInArrow(_add_levels, LAYOUT_SCHEMA)
 
 
@@ -135,6 +143,14 @@ def _block_kernel(eta: float, update: str):
     return kernel
 
 
+def regroup_factors(factors: DataFrame, offset: int, grid: Grid) -> DataFrame:
+    """Key every factor row by the row block it takes part in at sub-epoch ``offset``."""
+    item_block = grid.col_block(F.col("id"))
+    home = meeting_row_block(item_block, offset, grid.n, grid.schedule)
+    is_user = F.col("role") == "W"
+    return factors.withColumn("key", F.when(is_user, grid.row_block(F.col("id"))).otherwise(home))
+
+
 def dsgd_update(
     layout: DataFrame,
     factors: DataFrame,
@@ -143,7 +159,7 @@ def dsgd_update(
     eta: float,
     update: str = "simultaneous",
 ) -> DataFrame:
-    """One sub-epoch: update the factors on the blocks of stratum ``offset``.
+    """One sub-epoch: update the factors on the blocks whose turn is ``offset``.
 
     ``layout`` comes from ``block_layout``. With ``update="sequential"`` an item's step uses the
     user row that was just updated. Factors of blocks without samples pass through.
@@ -151,9 +167,8 @@ def dsgd_update(
     if update not in ("simultaneous", "sequential"):
         raise ValueError(f"unknown update rule {update!r}")
     is_user = F.col("role") == "W"
-    item_home = meeting_row_block(grid.col_block(F.col("id")), offset, grid.n)
-    factor_rows = factors.select(
-        F.when(is_user, grid.row_block(F.col("id"))).otherwise(item_home).alias("blk"),
+    factor_rows = regroup_factors(factors, offset, grid).select(
+        F.col("key").alias("blk"),
         F.when(is_user, 0).otherwise(1).alias("kind"),
         F.lit(0).cast("long").alias("lvl"),
         F.when(is_user, F.col("id")).alias("i"),
@@ -171,7 +186,7 @@ def dsgd_update(
         # Empty, not null: writing runs of null lists to Arrow takes quadratic time.
         F.array().cast("array<double>").alias("vec"),
     )
-    # Block b goes to partition b, so no two blocks of the stratum share a task.
+    # Block b goes to partition b, so no two blocks share a task.
     by_block = factor_rows.unionAll(samples).repartitionById(grid.n, "blk")
     in_order = by_block.sortWithinPartitions("kind", "lvl", "i", "j")
     return in_order.drop("blk").mapInArrow(_block_kernel(eta, update), FACTOR_SCHEMA)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselar.functions.grid import block_index, meeting_row_block, stratum
+from tesselar.functions.grid import STRATA, block_index, meeting_row_block, turn
 
 
 @dataclass(frozen=True)
@@ -18,6 +18,7 @@ class Grid:
     max_i: int | Column
     max_j: int | Column
     base: int = 0
+    schedule: str = STRATA
 
     def row_block(self, id_col: Column) -> Column:
         return block_index(id_col, self.max_i, self.n, self.base)
@@ -31,9 +32,9 @@ def matrix_extent(ratings: DataFrame) -> DataFrame:
     return ratings.agg(F.max("i").alias("max_i"), F.max("j").alias("max_j"))
 
 
-def measured_grid(ratings: DataFrame, n: int, base: int = 0) -> Grid:
+def measured_grid(ratings: DataFrame, n: int, base: int = 0, schedule: str = STRATA) -> Grid:
     extent = matrix_extent(ratings).first()
-    return Grid(n, extent["max_i"] or 0, extent["max_j"] or 0, base)
+    return Grid(n, extent["max_i"] or 0, extent["max_j"] or 0, base, schedule)
 
 
 def distinct_entities(ratings: DataFrame, axis: str) -> DataFrame:
@@ -49,7 +50,7 @@ def assign_blocks(ratings: DataFrame, n: int, base: int = 0, grid: Grid | None =
     blocked = ratings.withColumns(
         {"rb": grid.row_block(F.col("i")), "cb": grid.col_block(F.col("j"))}
     )
-    return blocked.withColumn("s", stratum(F.col("rb"), F.col("cb"), grid.n))
+    return blocked.withColumn("s", turn(F.col("rb"), F.col("cb"), grid.n, grid.schedule))
 
 
 def select_stratum(blocked: DataFrame, offset: int) -> DataFrame:

@@ -6,7 +6,6 @@ from tesselar.functions.text import HEXTET, IPV4, IPV6_FULL, IPV6_SHORT
 from tesselar.operators.alarms import DEFAULT_RULES
 from tesselar.operators.scaling import PolicyParams
 from tesselar.plans.queries import BLOCKS, HEALTH_RUNS, OFFSET, PERIOD, RANK, SCALING, SEED
-from tesselar.plans.train import TrainingParams
 from tesselar.plans.views import AGE_CODES
 
 EPOCH = "TIMESTAMP '1970-01-01'"
@@ -228,16 +227,16 @@ def _vector_rows(source: str) -> str:
     )
 
 
-def _steps(chosen: str, epochs: int) -> str:
+def _steps(chosen: str, epochs: int, eta: float = 0.015, turn: str = "s") -> str:
     """Samples in block order, and the step at which each is learned.
 
     A sample comes one level after the last earlier sample of its block with the same user or item;
     the samples of a level do not affect each other and make one step.
     """
-    p = TrainingParams(rank=RANK)
     return f"""{BLOCKED}, {FACTORS},
 numbered AS MATERIALIZED (
-  SELECT s, rb, i, j, r, row_number() OVER (ORDER BY s, rb, i, j, r) AS n FROM blocked WHERE {chosen}),
+  SELECT {turn} AS s, rb, i, j, r, row_number() OVER (ORDER BY {turn}, rb, i, j, r) AS n
+  FROM blocked WHERE {chosen}),
 samples AS MATERIALIZED (
   SELECT *, lag(n) OVER (PARTITION BY s, rb, i ORDER BY n) AS before_i,
             lag(n) OVER (PARTITION BY s, rb, j ORDER BY n) AS before_j FROM numbered),
@@ -250,7 +249,7 @@ levels(n, lvl) USING KEY (n) AS (
   WHERE (a.n IS NOT NULL OR x.before_i IS NULL) AND (b.n IS NOT NULL OR x.before_j IS NULL)
     AND x.n NOT IN (SELECT n FROM recurring.levels)),
 steps AS MATERIALIZED (
-  SELECT i, j, r, CAST({p.eta} AS DOUBLE) * pow(CAST({p.decay} AS DOUBLE), epoch) AS eta,
+  SELECT i, j, r, CAST({eta} AS DOUBLE) * pow(CAST(0.99 AS DOUBLE), epoch) AS eta,
          dense_rank() OVER (ORDER BY epoch, s, lvl) AS n
   FROM samples JOIN levels USING (n), range({epochs}) AS epochs(epoch))"""
 
@@ -272,9 +271,11 @@ def _model(name: str, last_step: str, w_used: str = "w") -> str:
         WHERE x.n = (SELECT max(n) + 1 FROM {name}) AND x.n <= {last_step}))))"""
 
 
-def _learned(chosen: str, epochs: int, w_used: str = "w") -> str:
+def _learned(
+    chosen: str, epochs: int, w_used: str = "w", eta: float = 0.015, turn: str = "s"
+) -> str:
     return (
-        f"WITH RECURSIVE {_steps(chosen, epochs)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
+        f"WITH RECURSIVE {_steps(chosen, epochs, eta, turn)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
         "SELECT role, id, round(list_dot_product(vec, vec), 6) AS squared_norm FROM model"
     )
 
@@ -425,6 +426,11 @@ FROM ids LEFT JOIN known k USING (role, id)""",
     "dsgd_update": _learned(f"s = {OFFSET}", 1),
     "sgd_update_sequential": _learned(f"s = {OFFSET}", 1, "w_new"),
     "train_factors": _learned("true", 2),
+    "train_row_major": _learned("true", 2, "w_new", 0.001, "rb + cb"),
+    "factor_regroup": f"""WITH {BLOCKED}
+SELECT DISTINCT 'W' AS role, i AS id, rb AS key FROM blocked
+UNION ALL
+SELECT DISTINCT 'H', j, CAST((cb - {OFFSET + 1} + {BLOCKS}) % {BLOCKS} AS INTEGER) FROM blocked""",
     "training_log": _log(2),
     "scaling_decisions": _scaling(),
     "policy_actions": _policy(),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -437,26 +438,36 @@ def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("role", "id", _rounded(F.col("vec")[0], 9).alias("first_value"))
 
 
-def _one_sub_epoch(spark: SparkSession, sf_dir: str, update: str) -> DataFrame:
+def _one_sub_epoch(
+    spark: SparkSession, sf_dir: str, update: str
+) -> tuple[grid.Grid, DataFrame]:
     ratings = _written_ratings(spark, sf_dir)
     measured = grid.measured_grid(ratings, fitting_blocks(ratings, least=BLOCKS))
     met = grid.select_stratum(grid.assign_blocks(ratings, measured.n, grid=measured), OFFSET)
     layout = dsgd.block_layout(met.select("i", "j", "r"), measured)
-    return dsgd.dsgd_update(layout, _start_factors(ratings), OFFSET, measured, 0.015, update)
+    start = _start_factors(ratings)
+    return measured, dsgd.dsgd_update(layout, start, OFFSET, measured, 0.015, update)
 
 
 def _vector_rows(model: DataFrame) -> DataFrame:
     return model.select("role", "id", _rounded(dot("vec", "vec", RANK)).alias("squared_norm"))
 
 
+@query
+def factor_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The factors after a sub-epoch, keyed for the next one."""
+    measured, updated = _one_sub_epoch(spark, sf_dir, "simultaneous")
+    return dsgd.regroup_factors(updated, OFFSET + 1, measured).select("role", "id", "key")
+
+
 @query
 def dsgd_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "simultaneous"))
+    return _vector_rows(_one_sub_epoch(spark, sf_dir, "simultaneous")[1])
 
 
 @query
 def sgd_update_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential"))
+    return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential")[1])
 
 
 @query
@@ -465,6 +476,13 @@ def train_factors_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
 
 
+@query
+def train_row_major(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs that visit the blocks row by row, with the single-machine update rule."""
+    params = replace(TrainingParams.out_of_core(RANK, None), epochs=2)
+    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
+
+
 @query
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = TrainingParams(rank=RANK, blocks=None, epochs=2)

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesselar.functions.grid import ROW_MAJOR, STRATA, turns
 from tesselar.operators.dsgd import block_layout, dsgd_update
 from tesselar.operators.evaluate import model_error, rating_skew
 from tesselar.operators.factors import (
@@ -39,6 +40,13 @@ class TrainingParams:
     update: str = "simultaneous"
     seed: int = 1
     base: int = 0
+    schedule: str = STRATA
+    order: tuple[str, ...] = ("i", "j", "r")
+
+    @classmethod
+    def out_of_core(cls, rank: int, blocks: int | None = 8) -> "TrainingParams":
+        """The defaults of the single-machine program, which visits blocks row by row."""
+        return cls(rank, blocks, 10, 0.001, 0.99, "sequential", schedule=ROW_MAJOR)
 
 
 def fitting_blocks(
@@ -65,15 +73,15 @@ def train_factors(
 ) -> tuple[DataFrame, DataFrame]:
     """Train from ``factors`` (or fresh ones) and return the factors and the training log.
 
-    The ratings are laid out once, in folders by stratum, so a sub-epoch reads its own stratum
+    The ratings are laid out once, in folders by sub-epoch, so each reads its own part
     only. Each sub-epoch writes its factors to one of two alternating tables and starts from the
     other, so a lost executor repeats at most one sub-epoch.
     """
     spark = ratings.sparkSession
     home = new_path(spark, "training")
     blocks = params.blocks or fitting_blocks(ratings)
-    grid = measured_grid(ratings, blocks, params.base)
-    layout = block_layout(ratings, grid)
+    grid = measured_grid(ratings, blocks, params.base, params.schedule)
+    layout = block_layout(ratings, grid, params.order)
     layout.write.partitionBy("s").parquet(f"{home}/layout")
     layout = spark.read.schema(layout.schema).parquet(f"{home}/layout")
     samples = layout.select("i", "j", "r")
@@ -88,7 +96,7 @@ def train_factors(
     eta, log, started = params.eta, [], time.perf_counter()
     step = 0
     for epoch in range(params.epochs):
-        for offset in range(grid.n):
+        for offset in range(turns(grid.n, params.schedule)):
             updated = dsgd_update(layout, factors, offset, grid, eta, params.update)
             factors = write_table(updated, f"{home}/factors-{step % 2}", mode="overwrite")
             step += 1

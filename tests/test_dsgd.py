@@ -1,5 +1,7 @@
 """Distributed SGD against a serial loop."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +156,38 @@ def test_files_train_and_score(spark, tmp_path):
     score = score_files(spark, paths[1], paths[2], paths[0]).first()
     assert score["n"] == 300
     assert score["rmse"] == pytest.approx(last["rmse"], rel=1e-12)
+
+
+def serial_row_major(ratings, model, grid, eta):
+    """Blocks row by row, the item's step with the updated user row."""
+    row_width = -(-(grid.max_i + 1) // grid.n)
+    col_width = -(-(grid.max_j + 1) // grid.n)
+    for i, j, r in sorted(ratings, key=lambda x: (x[0] // row_width, x[1] // col_width, *x)):
+        step = 2 * eta * (r - model["W", i] @ model["H", j])
+        model["W", i] = model["W", i] + step * model["H", j]
+        model["H", j] = model["H", j] + step * model["W", i]
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 5])
+def test_row_major_training_equals_serial_visit(spark, blocks):
+    ratings = make_ratings(21, 17, 500, hot=2)
+    df = as_df(spark, ratings)
+    params = replace(TrainingParams.out_of_core(RANK, blocks), epochs=2, eta=0.02)
+    factors, _ = train_factors(df, params)
+    grid = measured_grid(df, blocks)
+    model = as_model(init_factors(observed_ids(df), RANK, params.seed))
+    for epoch in range(2):
+        serial_row_major(ratings, model, grid, 0.02 * 0.99**epoch)
+    assert_same_model(as_model(factors), model)
+
+
+def test_samples_in_line_order(spark):
+    ratings = make_ratings(9, 9, 200)
+    np.random.default_rng(8).shuffle(ratings)
+    numbered = [(int(i), int(j), float(r), n) for n, (i, j, r) in enumerate(ratings)]
+    df = spark.createDataFrame(numbered, "i LONG, j LONG, r DOUBLE, line LONG")
+    factors, _ = train_factors(df, TrainingParams(rank=RANK, blocks=1, epochs=1, order=("line",)))
+    model = as_model(init_factors(observed_ids(df), RANK, 1))
+    plain = [(i, j, r) for i, j, r, _ in numbered]
+    serial_sub_epoch(plain, model, measured_grid(df, 1), 0, 0.015, "simultaneous")
+    assert_same_model(as_model(factors), model)

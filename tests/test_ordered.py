@@ -76,6 +76,8 @@ def test_skew_join(spark, frame, how, rows_per_task):
     ).toPandas()
     expected = frame.merge(lookup, on="key", how=how)
     order = ["seq"]
+    joined["name"] = joined["name"].astype(object).where(joined["name"].notna(), None)
+    expected["name"] = expected["name"].astype(object).where(expected["name"].notna(), None)
     pd.testing.assert_frame_equal(
         joined[["key", "seq", "v", "name"]].sort_values(order).reset_index(drop=True),
         expected.sort_values(order).reset_index(drop=True),
