@@ -13,6 +13,7 @@ samples. Only the factor rows are held in memory, whatever the number of samples
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,25 @@ from tesselar.operators.grid import Grid, assign_blocks, select_stratum
 LAYOUT_SCHEMA = "s INT, rb INT, cb INT, lvl LONG, i LONG, j LONG, r DOUBLE"
 FACTOR_SCHEMA = "role STRING, id LONG, vec ARRAY<DOUBLE>"
 BATCH_ROWS = 10_000
+# Factor rows come before the samples, whose levels start at 1.
+USER_ROW, ITEM_ROW = -1, 0
 
 
 def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the level to rows sorted by block, then (i, j, r)."""
+    """Append the level to rows sorted by block, then by the order of the samples."""
     block = None
     for batch in batches:
+        turns, row_blocks = (batch.column(name).to_numpy() for name in ("s", "rb"))
+        users, items = (batch.column(name).to_numpy().tolist() for name in ("i", "j"))
+        changes = np.flatnonzero(np.diff(turns) | np.diff(row_blocks)) + 1
         levels = []
-        columns = [batch.column(name).to_pylist() for name in ("rb", "cb", "i", "j")]
-        for row_block, col_block, user, item in zip(*columns):
-            if (row_block, col_block) != block:
-                block, user_level, item_level = (row_block, col_block), {}, {}
-            level = max(user_level.get(user, 0), item_level.get(item, 0)) + 1
-            user_level[user] = item_level[item] = level
-            levels.append(level)
+        for start, end in pairwise([0, *changes.tolist(), len(users)]):
+            if (turns[start], row_blocks[start]) != block:
+                block, user_level, item_level = (turns[start], row_blocks[start]), {}, {}
+            for user, item in zip(users[start:end], items[start:end]):
+                level = 1 + max(user_level.get(user, 0), item_level.get(item, 0))
+                user_level[user] = item_level[item] = level
+                levels.append(level)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(levels, pa.int64()), *batch.columns[3:]],
             ["s", "rb", "cb", "lvl", "i", "j", "r"],
@@ -107,7 +113,7 @@ def _block_kernel(eta: float, update: str):
         ratings = samples.column("r").to_numpy()
         levels = samples.column("lvl").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(levels)) + 1).tolist(), len(levels)]
-        for start, end in zip(cuts, cuts[1:]):
+        for start, end in pairwise(cuts):
             a, b = users[start:end], items[start:end]
             w_old, h_old = w.rows[a], h.rows[b]
             step = ratings[start:end] - np.einsum("nk,nk->n", w_old, h_old)
@@ -120,17 +126,17 @@ def _block_kernel(eta: float, update: str):
         w, h = Side("W"), Side("H")
         sealed = False
         for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            first_user, first_item, first_sample = np.searchsorted(kinds, [0, 1, 2]).tolist()
+            levels = batch.column("lvl").to_numpy()
+            first_item, first_sample = np.searchsorted(levels, [ITEM_ROW, 1]).tolist()
             for side, axis, start, end in (
-                (w, "i", first_user, first_item),
+                (w, "i", 0, first_item),
                 (h, "j", first_item, first_sample),
             ):
                 if start < end:
                     part = batch.slice(start, end - start)
                     values = part.column("vec").flatten().to_numpy(zero_copy_only=False)
                     side.add(part.column(axis).to_numpy(), values.reshape(end - start, -1).copy())
-            if first_sample < len(kinds):
+            if first_sample < len(levels):
                 if not sealed:
                     w.seal(), h.seal()
                     sealed = True
@@ -169,8 +175,7 @@ def dsgd_update(
     is_user = F.col("role") == "W"
     factor_rows = regroup_factors(factors, offset, grid).select(
         F.col("key").alias("blk"),
-        F.when(is_user, 0).otherwise(1).alias("kind"),
-        F.lit(0).cast("long").alias("lvl"),
+        F.when(is_user, USER_ROW).otherwise(ITEM_ROW).cast("long").alias("lvl"),
         F.when(is_user, F.col("id")).alias("i"),
         F.when(~is_user, F.col("id")).alias("j"),
         F.lit(None).cast("double").alias("r"),
@@ -178,7 +183,6 @@ def dsgd_update(
     )
     samples = select_stratum(layout, offset).select(
         F.col("rb").alias("blk"),
-        F.lit(2).alias("kind"),
         "lvl",
         "i",
         "j",
@@ -188,5 +192,5 @@ def dsgd_update(
     )
     # Block b goes to partition b, so no two blocks share a task.
     by_block = factor_rows.unionAll(samples).repartitionById(grid.n, "blk")
-    in_order = by_block.sortWithinPartitions("kind", "lvl", "i", "j")
+    in_order = by_block.sortWithinPartitions("lvl")
     return in_order.drop("blk").mapInArrow(_block_kernel(eta, update), FACTOR_SCHEMA)
