@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from tesselar.llm.decontamination import OP10_SQL, op10_decontaminate
+from tesselar.llm.near_duplicates import op6_ngram_join
+from tesselar.llm.quality_rules import OP2_SQL, op2_quality_rules
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op6_ngram_join": op6_ngram_join,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE = {
+    "op2_quality_rules": OP2_SQL,
     "op10_decontaminate": OP10_SQL,
 }
