@@ -178,6 +178,13 @@ def _verdict(joined: DataFrame) -> DataFrame:
     )
 
 
+def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``documents`` that hold no window of a benchmark item, with all their columns."""
+    row = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("llm_row")
+    checked = contamination(documents.select("doc_id", "text", row), benchmark, "llm_row", window=window)
+    return checked.where(~F.col("contaminated")).select("llm_row.*")
+
+
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return contamination(documents, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
