@@ -47,11 +47,13 @@ _TAG = {tag: at for at, tags in enumerate(TAG_GROUPS.values()) for tag in tags.s
 _NAME = {name: at for at, names in enumerate(NAME_GROUPS.values()) for name in names.split()}
 N_TAGS, N_NAMES = len(TAG_GROUPS) + 1, len(NAME_GROUPS)
 N_OWN = 8
-N_FEATURES = N_TAGS + N_NAMES + N_OWN + 1
+#: Characters beyond which more text says nothing more.
+LONG = 1_000
+N_FEATURES = 2 * (N_TAGS + N_NAMES) + N_OWN + 1
 
 
 def element_features(tree: Tree) -> np.ndarray:
-    """One row per element: tag and name groups, its own text, the text below it, and a constant."""
+    """One row per element: tag and name groups, its own text, the text below it, the groups above it, a constant."""
     n = len(tree.tag)
     own, own_link, below, below_link, stops = (np.zeros(n) for _ in range(5))
     for element, text, link_chars in tree.segments:
@@ -71,13 +73,17 @@ def element_features(tree: Tree) -> np.ndarray:
                 x[at, N_TAGS + _NAME[name]] = 1
     first = N_TAGS + N_NAMES
     x[:, first] = own > 0
-    x[:, first + 1] = np.log1p(own) / 5
+    x[:, first + 1] = np.log1p(np.minimum(own, LONG)) / 5
     x[:, first + 2] = own_link / np.maximum(own, 1)
     x[:, first + 3] = np.minimum(stops, 5) / 5
-    x[:, first + 4] = np.log1p(below) / 5
+    x[:, first + 4] = np.log1p(np.minimum(below, LONG)) / 5
     x[:, first + 5] = below_link / np.maximum(below, 1)
     x[:, first + 6] = below / max(below[0], 1)
     x[:, first + 7] = (own > 0) & (own < 40)
+    groups = N_TAGS + N_NAMES
+    above = x[:, first + N_OWN : -1]
+    for at in range(1, n):
+        np.maximum(above[tree.parent[at]], x[tree.parent[at], :groups], out=above[at])
     x[:, -1] = 1
     return x
 
@@ -132,7 +138,7 @@ def _log_sum(a: float, b: float) -> float:
     return high + math.log1p(math.exp(low - high))
 
 
-def fit(pages: list[tuple[Tree, np.ndarray]], steps: int = 80, rate: float = 0.15, l2: float = 2e-4) -> TreeModel:
+def fit(pages: list[tuple[Tree, np.ndarray]], steps: int = 100, rate: float = 0.15, l2: float = 1e-4) -> TreeModel:
     """Adam on the log likelihood of the labels; the gradient is observed minus expected counts."""
     model = TreeModel(np.zeros(N_FEATURES), np.zeros((N_TAGS, 2, 2)))
     data = []
@@ -159,7 +165,7 @@ def fit(pages: list[tuple[Tree, np.ndarray]], steps: int = 80, rate: float = 0.1
     return model
 
 
-def labelled_pages(n: int = 120, seed: int = 11) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 160, seed: int = 11) -> list[tuple[str, str]]:
     """Training pages: html in which content stands in elements named by the attribute ``aria-label="gold"``.
 
     Layouts, names and texts are drawn at random from common ones, with and without semantic elements and names.
@@ -173,7 +179,17 @@ def labelled_pages(n: int = 120, seed: int = 11) -> list[tuple[str, str]]:
         return " ".join(words).capitalize() + rng.choice(["."] * 6 + ["!", "?", " ***.", "!!"])
 
     def prose() -> str:
-        return " ".join(sentence() for _ in range(rng.choice([1, 1, 2, 3, 4, 6])))
+        pick = rng.random()
+        if pick < 0.06:
+            return " ".join([word()] * rng.randint(5, 400))
+        if pick < 0.12:
+            return " | ".join(word() for _ in range(rng.randint(4, 60)))
+        if pick < 0.18:
+            return " ".join(word() for _ in range(rng.randint(2, 300)))
+        if pick < 0.26:
+            return " ".join(sentence(1, 3) for _ in range(rng.choice([1, 2, 5])))
+        text = " ".join(sentence() for _ in range(rng.choice([1, 1, 2, 3, 4, 6, 30])))
+        return text.upper() if pick < 0.3 else text
 
     def links(k: int) -> str:
         return "".join(f'<li><a href="/{word()}">{word()}</a></li>' for _ in range(k))
@@ -198,7 +214,7 @@ def labelled_pages(n: int = 120, seed: int = 11) -> list[tuple[str, str]]:
     pages = []
     for _ in range(n):
         body = [gold("h1", sentence(2, 9))] if rng.random() < 0.9 else []
-        for _ in range(rng.randint(1, 8)):
+        for _ in range(rng.randint(1, 8) if rng.random() < 0.8 else rng.randint(20, 80)):
             pick = rng.random()
             if pick < 0.7:
                 body.append(paragraph())
@@ -217,6 +233,9 @@ def labelled_pages(n: int = 120, seed: int = 11) -> list[tuple[str, str]]:
                 body.append(box("div aside ins", "ad ads advert sponsored promo", sentence()))
         if rng.random() < 0.2:
             body.append(box("div aside", "share social related tags", f"<ul>{links(3)}</ul>"))
+        if rng.random() < 0.08:
+            brief = sentence(1, 3)
+            body = [gold("h1", brief), gold("p", brief)]
         main = rng.choice(["article", "article", "article", "main", "div", "section"])
         name = rng.choice(["", ' class="content"', ' id="main"', ' class="post-body"', ' class="entry"', ' class="story"'])
         if main in ("div", "section") and not name:
@@ -241,9 +260,9 @@ def labelled_pages(n: int = 120, seed: int = 11) -> list[tuple[str, str]]:
             after.append(box("form form div", "search login signup form", f"<label>{sentence(1, 3)}</label><input><p>{sentence(3, 9)}</p><button>{word()}</button>"))
         if rng.random() < 0.5:
             kind = rng.choice(["p", "li", "div"])
-            said = "".join(f'<{kind} class="comment"><p>{prose()}</p></{kind}>' if rng.random() < 0.5 else f"<{kind}>{prose()}</{kind}>" for _ in range(rng.randint(1, 5)))
+            said = "".join(f'<{kind} class="comment"><p>{prose()}</p></{kind}>' if rng.random() < 0.5 else f"<{kind}>{prose()}</{kind}>" for _ in range(rng.choice([1, 2, 3, 5, 8, 20, 40])))
             said = f"<h3>{word()}</h3>{said}"
-            (after if rng.random() < 0.7 else after).append(box("section div ol", "comments discussion replies reviews", said))
+            after.append(box("section div ol", "comments discussion replies reviews", said))
         if rng.random() < 0.8:
             foot = rng.choice([f"&copy; {word()}.example &middot; {sentence()}", f"<p>&copy; {word()} {sentence()}</p>", f"<ul>{links(4)}</ul><p>{prose()}</p>", prose()])
             after.append(box("footer footer div", "footer copyright colophon", foot))
