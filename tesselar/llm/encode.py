@@ -6,6 +6,7 @@ with the white space in front of it. A word is encoded by the tokenizer once and
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable
 
@@ -23,13 +24,17 @@ ID_BYTES = 4
 
 
 class WordEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; remembers at most ``memory`` words."""
+    """Encodes texts to little-endian unsigned 32-bit ids.
 
-    def __init__(self, path: str, memory: int = 600_000, longest: int = 64):
+    Remembers the words of late: at most ``memory`` new ones, and as many of the time before.
+    """
+
+    def __init__(self, path: str, memory: int = 150_000, longest: int = 48):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memory, self.longest = memory, longest
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -38,22 +43,29 @@ class WordEncoder:
     def ids(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text as bytes; a null text has none."""
         words = [self._words(text) for text in texts]
-        new = list(set().union(*words).difference(self.known))
-        fresh: dict[str, bytes] = {}
+        wanted = set().union(*words)
+        if len(self.known) > self.memory:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        missing = wanted.difference(known)
+        known.update((word, older[word]) for word in missing.intersection(older))
+        new = list(missing.difference(older))
         for start in range(0, len(new), 4096):
             chunk = new[start : start + 4096]
-            fresh.update(zip(chunk, self._encode(chunk), strict=True))
-        if len(self.known) + len(fresh) > self.memory:
-            kept = set().union(*words).intersection(self.known)
-            self.known = {word: self.known[word] for word in kept}
-        self.known.update(fresh)
-        result = [b"".join(map(self.known.__getitem__, one)) for one in words]
-        for word in fresh:
+            known.update(zip(chunk, self._encode(chunk), strict=True))
+        result = [b"".join(map(known.__getitem__, one)) for one in words]
+        for word in new:
             if len(word) > self.longest:
-                del self.known[word]
+                del known[word]
         return result
 
     def _words(self, text: str | None) -> list[str]:
         if not text:
             return []
         return [text] if OTHER_SPACE.search(text) else WORD.findall(text)
+
+
+@functools.cache
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this Python process: later tasks of the process know the words of earlier ones."""
+    return WordEncoder(path)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesselar.llm.encode import ID_BYTES, WordEncoder
+from tesselar.llm.encode import ID_BYTES, encoder
 from tesselar.workspace import materialize
 
 CAPACITY = 2048
@@ -38,12 +38,12 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
+        words, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             columns: list[list[int]] = [[] for _ in range(5)]
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                encoded = encoder.ids(part.column("text").to_pylist())
+                encoded = words.ids(part.column("text").to_pylist())
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                     ids += end
                     for piece, (start, length) in enumerate(cut(len(ids) // ID_BYTES, capacity)):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselar.llm.encode import ID_BYTES, WordEncoder
+from tesselar.llm.encode import ID_BYTES, encoder
 from tesselar.workspace import new_path
 
 #: Fixed values of the format: mark and version, bits of a chunk, bits between two entries of a rank directory.
@@ -117,7 +117,7 @@ class Segment:
 
 def _segments(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         end = np.array([end_id], np.uint32)
         held: list[tuple[int | None, np.ndarray]] = []
         tokens, segment, part, before = 0, 0, 0, 0
@@ -137,7 +137,7 @@ def _segments(path: str, end_id: int):
             for first in range(0, batch.num_rows, 256):
                 piece = batch.slice(first, 256)
                 part = piece.column("part")[0].as_py()
-                encoded = encoder.ids(piece.column("text").to_pylist())
+                encoded = words.ids(piece.column("text").to_pylist())
                 for name, ids in zip(piece.column("doc_id").to_pylist(), encoded, strict=True):
                     held.append((name, np.concatenate([np.frombuffer(ids, "<u4"), end])))
                     tokens += len(ids) // ID_BYTES + 1
