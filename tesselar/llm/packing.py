@@ -26,7 +26,9 @@ END_ID = 0
 #: Pieces of a group that is packed together.
 GROUP = 2_048
 #: Rounds after the first, each over the underfull bins of the round before.
-ROUNDS = 2
+ROUNDS = 1
+#: Effort of the local search in a group.
+PASSES, SOURCES = 40, 4
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -84,14 +86,16 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[l
     """Local search: empty the emptiest bins while there are more bins than the tokens need.
 
     A step that takes d tokens from bin A to a bin B at least as full raises the sum of squared fills by
-    2 d (fill B - fill A + d) > 0; the sum is a bounded integer, so the search ends: when the bins are as few as
-    can be, or when no step from any of the bins helps.
+    2 d (fill B - fill A + d) > 0. The search ends when the bins are as few as can be, when no step from the
+    emptiest ``SOURCES`` bins helps, or after ``PASSES`` passes over the open bins.
     """
     fill = [int(lengths[b].sum()) for b in bins]
     fewest = -(-sum(fill) // capacity)
     left = len(bins)
     stuck: set[int] = set()
-    while left > fewest:
+    for _ in range(PASSES):
+        if left <= fewest or len(stuck) >= SOURCES:
+            break
         open_bins = sorted((at for at in range(len(bins)) if 0 < fill[at] < capacity), key=lambda at: (fill[at], at))
         source = next((at for at in open_bins if at not in stuck), None)
         if source is None:
@@ -102,9 +106,7 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[l
                 moved |= _exchange(lengths, bins, fill, source, target, capacity)
         if not fill[source]:
             left -= 1
-        elif moved:
-            stuck.clear()
-        else:
+        if not moved:
             stuck.add(source)
     return [b for b in bins if b]
 
@@ -142,7 +144,7 @@ def _exchange(lengths, bins, fill, source: int, target: int, capacity: int) -> b
 
 
 def _pack_groups(capacity: int, first_round: bool):
-    def run(keys, pieces: pd.DataFrame) -> pd.DataFrame:
+    def run(keys: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
         # One order for every attempt of the task.
         pieces = pieces.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], na_position="last", ignore_index=True)
         lengths = pieces["length"].to_numpy()
@@ -171,6 +173,7 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: i
     Other columns are ignored. A piece that fills a sequence is one at once; all others are dealt into groups of
     about ``group`` pieces.
     """
+    spark = documents.sparkSession
     pieces = documents.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity), PIECE)
     pieces = materialize(pieces, "pieces")
     out = [*pieces.columns, "sequence_id", "offset"]
@@ -184,7 +187,10 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: i
         units = max(1, round(todo.count() / group))
         # First single pieces are dealt, later whole bins.
         unit = F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(units)) + F.lit(step << 36)
-        packed = todo.withColumn("unit", unit).groupBy("unit").applyInPandas(_pack_groups(capacity, step == 0), shape)
+        # A number of its own keeps the groups, small in bytes but not in work, from being joined into few tasks.
+        tasks = min(units, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        dealt = todo.withColumn("unit", unit).repartition(tasks, "unit")
+        packed = dealt.groupBy("unit").applyInPandas(_pack_groups(capacity, step == 0), shape)
         packed = materialize(packed, "packed")
         if step == ROUNDS or units == 1:
             break
