@@ -12,8 +12,8 @@ SUCCESS_PHRASE = "return to the homepage"
 IPV4 = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}"
 HEXTET = "[0-9A-Fa-f]{1,4}"
 HEXTETS = f"{HEXTET}(:{HEXTET})*"
-IPV6_FULL = f"^({HEXTET}:){{7}}{HEXTET}$"
-IPV6_SHORT = f"^({HEXTETS})?::({HEXTETS})?$"
+IPV6_FULL = rf"\A({HEXTET}:){{7}}{HEXTET}\z"
+IPV6_SHORT = rf"\A({HEXTETS})?::({HEXTETS})?\z"
 
 
 def log_name(text: Column) -> Column:
@@ -22,12 +22,12 @@ def log_name(text: Column) -> Column:
 
 
 def is_ipv4(address: Column) -> Column:
-    return address.rlike(f"^{IPV4}$")
+    return address.rlike(rf"\A{IPV4}\z")
 
 
 def is_ipv6(address: Column) -> Column:
     """IPv6 literal without a scope; a dotted tail counts as two groups."""
-    groups_only = F.regexp_replace(address, f":{IPV4}$", ":0:0")
+    groups_only = F.regexp_replace(address, rf":{IPV4}\z", ":0:0")
     groups = F.size(F.filter(F.split(groups_only, ":"), lambda group: group != ""))
     return groups_only.rlike(IPV6_FULL) | (groups_only.rlike(IPV6_SHORT) & (groups <= 7))
 

@@ -51,10 +51,11 @@ def metric_period_stats(metrics: DataFrame, period: int) -> DataFrame:
 
 
 def last_n_avg(stats: DataFrame, n: int = 3, rows_per_chunk: int = ROWS_PER_TASK) -> DataFrame:
-    """Mean of the latest up to ``n`` period averages, as ``last_avg``."""
+    """Mean of the averages of the latest up to ``n`` periods, as ``last_avg``; nulls are left out."""
     recent = finish(trailing(chunk(stats, ["dim"], ["t"], rows_per_chunk), F.col("average"), n, "_recent"))
     total = F.aggregate("_recent", F.lit(0.0), lambda acc, value: acc + value)
-    return recent.withColumn("last_avg", total / F.size("_recent")).drop("_recent")
+    mean = F.when(F.size("_recent") > 0, total / F.size("_recent"))
+    return recent.withColumn("last_avg", mean).drop("_recent")
 
 
 def threshold_label(

@@ -62,9 +62,11 @@ def block_layout(
     blocked = assign_blocks(ratings, grid.n, grid=grid).select(
         *columns, *[name for name in order if name not in columns]
     )
-    configured = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(grid.n * grid.n, max(grid.n, configured))
-    part = F.pmod(F.col("s").cast("long") * grid.n + F.col("rb"), F.lit(parts)).cast("int")
+    if grid.refine > 1 and tuple(order) != ("i", "j", "r"):
+        raise ValueError("sub-blocks keep the result only for samples in (i, j, r) order")
+    # One task per block: of a row block's blocks each has another column block.
+    parts = grid.side * grid.side
+    part = (F.col("rb").cast("long") * grid.side + F.col("cb")).cast("int")
     by_block = blocked.repartitionById(parts, part)
     in_order = by_block.sortWithinPartitions("s", "rb", *order).select(*columns)
     return in_order.mapInArrow(_add_levels, LAYOUT_SCHEMA)
@@ -152,7 +154,7 @@ def _block_kernel(eta: float, update: str):
 def regroup_factors(factors: DataFrame, offset: int, grid: Grid) -> DataFrame:
     """Key every factor row by the row block it takes part in at sub-epoch ``offset``."""
     item_block = grid.col_block(F.col("id"))
-    home = meeting_row_block(item_block, offset, grid.n, grid.schedule)
+    home = meeting_row_block(item_block, offset, grid.n, grid.schedule, grid.refine)
     is_user = F.col("role") == "W"
     return factors.withColumn("key", F.when(is_user, grid.row_block(F.col("id"))).otherwise(home))
 
@@ -191,6 +193,6 @@ def dsgd_update(
         F.array().cast("array<double>").alias("vec"),
     )
     # Block b goes to partition b, so no two blocks share a task.
-    by_block = factor_rows.unionAll(samples).repartitionById(grid.n, "blk")
+    by_block = factor_rows.unionAll(samples).repartitionById(grid.side, "blk")
     in_order = by_block.sortWithinPartitions("lvl")
     return in_order.drop("blk").mapInArrow(_block_kernel(eta, update), FACTOR_SCHEMA)

@@ -30,7 +30,7 @@ def rating_skew(ratings: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Ratin
         if not found:
             return HotKeys((axis,), 0, None)
         table = found.table.filter(F.col("role") == role)
-        return HotKeys((axis,), found.rows, table.select(F.col("id").alias(axis), "key_rows"))
+        return HotKeys((axis,), found.rows, table.select(F.col("id").alias(axis), "key_rows"), found.keys)
 
     return RatingSkew(side("W", "i"), side("H", "j"), rows_per_task)
 

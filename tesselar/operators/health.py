@@ -52,22 +52,24 @@ def health_state(
 def evict_first_failure(
     probes: DataFrame, adds: DataFrame, rows_per_chunk: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Membership episodes: from each add to the first failed probe before the next add.
+    """List entries: every add leaves the list at the first failed probe of its instance at or after it.
 
-    ``adds`` is ``(ts, instance)``; an add comes before a probe of the same time. ``evicted_at``
-    is null while the instance is still a member. Probes before the first add are of no member.
+    ``adds`` is ``(ts, instance)``; an add comes before a probe of the same time, and adds of one instance
+    are entries of their own (``episode`` counts them). ``evicted_at`` is null while the entry is still on
+    the list.
     """
     is_add = F.col("kind") == 0
     history = probes.select("instance", "ts", F.lit(1).alias("kind"), (~_ok()).alias("failed")).unionAll(
         adds.select("instance", "ts", F.lit(0).alias("kind"), F.lit(False).alias("failed"))
     )
     chunked = chunk(history, ["instance"], ["ts", "kind"], rows_per_chunk)
-    episodes = finish(running(chunked, sums={"episode": is_add.cast("long")}))
-    return (
-        episodes.filter(F.col("episode") > 0)
-        .groupBy("instance", "episode")
-        .agg(
-            F.min(F.when(is_add, F.col("ts"))).alias("added_at"),
-            F.min(F.when(F.col("failed"), F.col("ts"))).alias("evicted_at"),
-        )
+    counted = finish(
+        running(chunked, sums={"episode": is_add.cast("long"), "fails": F.col("failed").cast("long")})
     )
+    # An entry after k failures leaves at failure k + 1.
+    failures = counted.filter("failed").select(
+        "instance", (F.col("fails") - 1).alias("fails"), F.col("ts").alias("evicted_at")
+    )
+    entries = counted.filter(is_add).select("instance", "fails", "episode", F.col("ts").alias("added_at"))
+    left = entries.join(failures, ["instance", "fails"], "left")
+    return left.select("instance", "episode", "added_at", "evicted_at")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tesselar.functions.text import is_address
 from tesselar.operators.ordered import CHUNK, Chunked, chunk, finish, key_totals, running
-from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, hot_keys_of, skew_join
+from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, hot_keys_of, null_safe_join, skew_join
 
 
 def member_ip_check(requests: DataFrame) -> DataFrame:
@@ -94,10 +94,9 @@ def _hot_slots(hot: HotKeys, slots: DataFrame, sizes: DataFrame, rows_per_task:
     """Members of hot balancers that get more requests than one task takes, by arithmetic."""
     if not hot:
         return hot
-    busy = sizes.join(F.broadcast(hot.table), "balancer").select(
+    busy = null_safe_join(sizes, hot.to_join("balancer", "key_rows"), ["balancer"], "inner").select(
         "balancer", F.ceil(F.col("key_rows") / F.col("_size")).alias("key_rows")
     )
-    counts = slots.select("balancer", "slot").join(
-        F.broadcast(busy.filter(F.col("key_rows") > rows_per_task)), "balancer"
-    )
+    busy = busy.filter(F.col("key_rows") > rows_per_task)
+    counts = slots.select("balancer", "slot").join(busy, "balancer")
     return hot_keys_of(counts, ["balancer", "slot"], rows_per_task)

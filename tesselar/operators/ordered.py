@@ -1,9 +1,9 @@
 """Running totals over an order within a key, with hot keys cut into chunks of the order.
 
-``Window.partitionBy(key).orderBy(...)`` puts every row of a key in one task. Here a hot key is
-first cut at quantiles of its order column; the window then runs per (key, chunk), and each chunk
-adds what the chunks before it carry over. Chunk totals are plain aggregates with at most
-``MAX_PARTS`` rows per key. Without hot keys the plan is the plain window.
+``Window.partitionBy(key).orderBy(...)`` puts every row of a key in one task. Here the rows of hot keys are
+range-partitioned by key and order and written once; the window then runs per (key, chunk), and each
+chunk adds what the chunks before it carry over. Chunk totals are plain aggregates with one row per chunk.
+Without hot keys the plan is the plain window. Null keys are keys like others on both ways.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesselar.operators.skew import MAX_PARTS, ROWS_PER_TASK, HotKeys, find_hot_keys
+from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, null_safe_join
+from tesselar.workspace import materialize
 
 CHUNK = "_chunk"
 
@@ -33,39 +33,26 @@ class Chunked:
         return Chunked(df, self.key, self.order, self.hot)
 
     def hot_rows(self) -> DataFrame:
-        names = F.broadcast(self.hot.table.select(*self.key))
-        return self.df.join(names, self.key, "left_semi")
-
-
-def _position(df: DataFrame, column: str) -> Column:
-    """The order column as a double that never decreases along the order."""
-    if df.schema[column].dataType.typeName().startswith("timestamp"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
+        return self.df.filter(F.col(CHUNK) > 0)
 
 
 def chunk(
     df: DataFrame, key: list[str], order: list[str], rows_per_chunk: int = ROWS_PER_TASK
 ) -> Chunked:
-    """Cut the hot keys of ``df``. Rows that tie on the first order column share a chunk."""
+    """Cut the hot keys of ``df`` by the whole order; only rows equal in all of it share a chunk for sure.
+
+    Chunks of hot keys count from 1, the rows of other keys are chunk 0.
+    """
     hot = find_hot_keys(df, key, rows_per_chunk)
     if not hot:
         return Chunked(df.withColumn(CHUNK, F.lit(0)), key, order, hot)
-    position = _position(df, order[0])
-    names = F.broadcast(hot.table.select(*key, F.lit(True).alias("_hot")))
-    parts = min(MAX_PARTS, math.ceil(hot.rows / rows_per_chunk))
-    steps = [part / parts for part in range(1, parts)]
-    cuts = (
-        df.join(names, key, "left_semi")
-        .select(position.alias("_position"))
-        .approxQuantile("_position", steps, 0.25 / parts)
-    )
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    marked = df.join(names, key, "left").withColumn("_position", position)
-    bucketed = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket").transform(marked)
-    bucket = F.when(F.col("_hot"), F.col("_bucket").cast("int")).otherwise(0)
-    chunked = bucketed.withColumn(CHUNK, bucket).drop("_hot", "_position", "_bucket")
-    return Chunked(chunked, key, order, hot)
+    names = hot.to_join(*key)
+    parts = math.ceil(hot.rows / rows_per_chunk)
+    ranged = null_safe_join(df, names, key, "left_semi").repartitionByRange(parts, *key, *order)
+    # Written, so that every later step sees the same cuts.
+    cut = materialize(ranged.withColumn(CHUNK, F.spark_partition_id() + 1), "chunks")
+    rest = null_safe_join(df, names, key, "left_anti").withColumn(CHUNK, F.lit(0))
+    return Chunked(rest.unionByName(cut), key, order, hot)
 
 
 def chunk_window(chunked: Chunked):
@@ -97,7 +84,7 @@ def running(
         *[F.sum(name).over(earlier).alias(f"_carry_{name}") for name in sums],
         *[F.max(name).over(earlier).alias(f"_carry_{name}") for name in maxima],
     )
-    joined = local.join(carry, [*chunked.key, CHUNK], "left")
+    joined = null_safe_join(local, carry, [*chunked.key, CHUNK], "left")
     whole = joined.withColumns(
         {name: F.col(name) + F.coalesce(F.col(f"_carry_{name}"), F.lit(0)) for name in sums}
         | {name: F.greatest(F.col(name), F.col(f"_carry_{name}")) for name in maxima}
@@ -106,12 +93,17 @@ def running(
 
 
 def trailing(chunked: Chunked, value: Column, n: int, out: str) -> Chunked:
-    """Add an array of the latest up to ``n`` values per key, the current row last."""
+    """Add an array of the values of the latest up to ``n`` rows per key, the current row last.
+
+    A null value takes one of the ``n`` places and is then left out.
+    """
     here = chunk_window(chunked)
-    latest = F.collect_list(value).over(here.rowsBetween(1 - n, Window.currentRow))
+    # In a struct, a null is collected too.
+    latest = F.collect_list(F.struct(value.alias("value"))).over(here.rowsBetween(1 - n, Window.currentRow))
     local = chunked.df.withColumn(out, latest)
+    known = F.filter(F.transform(out, lambda row: row["value"]), lambda item: item.isNotNull())
     if not chunked.hot or n == 1:
-        return chunked.with_df(local)
+        return chunked.with_df(local.withColumn(out, known))
     backwards = Window.partitionBy(*chunked.key, CHUNK).orderBy(
         *[F.desc(column) for column in chunked.order]
     )
@@ -121,17 +113,18 @@ def trailing(chunked: Chunked, value: Column, n: int, out: str) -> Chunked:
         .withColumn("_back", -F.row_number().over(backwards))
         .filter(F.col("_back") > -n)
         .groupBy(*chunked.key, CHUNK)
-        .agg(F.transform(F.sort_array(F.collect_list(tail)), lambda t: t["value"]).alias("_tail"))
+        .agg(F.transform(F.sort_array(F.collect_list(tail)), lambda t: F.struct(t["value"].alias("value"))).alias("_tail"))
     )
     # Every chunk holds at least one row, so the n-1 chunks before hold the n-1 values needed.
     earlier = Window.partitionBy(*chunked.key).orderBy(CHUNK).rowsBetween(1 - n, -1)
     carry = tails.select(
         *chunked.key, CHUNK, F.flatten(F.collect_list("_tail").over(earlier)).alias("_before")
     )
-    joined = local.join(carry, [*chunked.key, CHUNK], "left")
+    joined = null_safe_join(local, carry, [*chunked.key, CHUNK], "left")
     both = F.concat(F.coalesce(F.col("_before"), F.array().cast(local.schema[out].dataType)), out)
     start = F.greatest(F.size(both) - n, F.lit(0)) + 1
-    return chunked.with_df(joined.withColumn(out, F.slice(both, start, n)).drop("_before"))
+    whole = joined.withColumn(out, F.slice(both, start, n)).drop("_before")
+    return chunked.with_df(whole.withColumn(out, known))
 
 
 def finish(chunked: Chunked) -> DataFrame:
@@ -159,7 +152,7 @@ def key_totals(
         *[F.sum(name).over(whole).alias(f"_all_{name}") for name in sums],
         *[F.min(name).over(whole).alias(f"_all_{name}") for name in minima],
     )
-    joined = local.join(overall, [*chunked.key, CHUNK], "left")
+    joined = null_safe_join(local, overall, [*chunked.key, CHUNK], "left")
     merged = joined.withColumns(
         {name: F.coalesce(F.col(f"_all_{name}"), F.col(name)) for name in aggregates}
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tesselar.operators.alarms import DEFAULT_RULES, AlarmRule
 from tesselar.operators.ordered import CHUNK, chunk
+from tesselar.operators.skew import null_safe_join
 
 ROWS_PER_FOLD = 500_000
 NO_PAUSE = -(2**62)
@@ -223,7 +224,7 @@ def _fold(
         entries = tables.groupBy("dim").applyInPandas(
             chain, f"{dim}, {CHUNK} INT, entry ARRAY<LONG>"
         )
-        joined = chunked.df.join(entries, ["dim", CHUNK], "left")
+        joined = null_safe_join(chunked.df, entries, ["dim", CHUNK], "left")
         rows = joined.withColumn("entry", F.coalesce("entry", from_start))
     folded = rows.groupBy("dim", CHUNK).applyInPandas(
         fold, f"{dim}, t LONG, signal STRING, size LONG, action LONG"

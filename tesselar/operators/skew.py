@@ -1,46 +1,58 @@
 """Hot keys: finding them, and joining on them without one task holding a whole key.
 
-A key is hot when it holds more rows than one task should take. At most ``MAX_HOT_KEYS`` of the
-largest such keys are split; any key beyond those holds less than ``1 / MAX_HOT_KEYS`` of all
-rows, so the list on the driver and its broadcast have a fixed bound at every data size.
+A key is hot when it holds more rows than one task should take; every such key is split, null keys like
+others. The list of hot keys is a table; it is broadcast only while it has at most ``BROADCAST_KEYS`` rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tesselar.workspace import materialize
+
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_KEYS = 16_384
-MAX_PARTS = 4_096
+BROADCAST_KEYS = 16_384
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys to split, as a table of at most ``MAX_HOT_KEYS`` rows (None when there are none)."""
+    """The keys to split, as a table with ``key_rows`` (None when there are none), and their rows in all."""
 
     columns: tuple[str, ...]
     rows: int
     table: DataFrame | None
+    keys: int = 0
 
     def __bool__(self) -> bool:
         return self.table is not None
 
+    def to_join(self, *columns: Column | str) -> DataFrame:
+        """Columns of the table, to be joined by the key: sent to every task if they are few."""
+        chosen = self.table.select(*columns)
+        return F.broadcast(chosen) if self.keys <= BROADCAST_KEYS else chosen
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Join on equal keys, null with null. The key columns are those of ``left``."""
+    a, b = left.alias("_l"), right.alias("_r")
+    same = reduce(Column.__and__, [F.col(f"_l.{name}").eqNullSafe(F.col(f"_r.{name}")) for name in key])
+    joined = a.join(b, same, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select("_l.*", *[F.col(f"_r.{name}") for name in right.columns if name not in key])
+
 
 def hot_keys_of(counts: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
     """The hot keys among counted keys; ``counts`` has the key columns and ``key_rows``."""
-    largest = (
-        counts.filter(F.col("key_rows") > rows_per_task)
-        .orderBy(F.desc("key_rows"))
-        .limit(MAX_HOT_KEYS)
-    )
-    found = largest.collect()
-    if not found:
+    largest = counts.filter(F.col("key_rows") > rows_per_task)
+    found = largest.agg(F.count("*").alias("keys"), F.sum("key_rows").alias("rows")).first()
+    if not found["keys"]:
         return HotKeys(tuple(key), 0, None)
-    table = counts.sparkSession.createDataFrame(found, largest.schema)
-    return HotKeys(tuple(key), sum(row["key_rows"] for row in found), table)
+    return HotKeys(tuple(key), found["rows"], materialize(largest, "hot-keys"), found["keys"])
 
 
 def find_hot_keys(df: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
@@ -50,7 +62,7 @@ def find_hot_keys(df: DataFrame, key: list[str], rows_per_task: int = ROWS_PER_T
 
 
 def _parts(rows_per_task: int) -> Column:
-    return F.least(F.ceil(F.col("key_rows") / rows_per_task), F.lit(MAX_PARTS)).cast("int")
+    return F.ceil(F.col("key_rows") / rows_per_task).cast("int")
 
 
 def skew_join(
@@ -70,9 +82,9 @@ def skew_join(
     hot = find_hot_keys(facts, key, rows_per_task) if hot is None else hot
     if not hot:
         return facts.join(lookup, key, how)
-    parts = F.broadcast(hot.table.select(*key, _parts(rows_per_task).alias("_parts")))
+    parts = hot.to_join(*key, _parts(rows_per_task).alias("_parts"))
     part_of_fact = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")), F.lit(0)).cast("int")
-    salted_facts = facts.join(parts, key, "left").withColumn("_part", part_of_fact).drop("_parts")
+    salted_facts = null_safe_join(facts, parts, key, "left").withColumn("_part", part_of_fact).drop("_parts")
     every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    salted_lookup = lookup.join(parts, key, "left").withColumn("_part", every_part).drop("_parts")
+    salted_lookup = null_safe_join(lookup, parts, key, "left").withColumn("_part", every_part).drop("_parts")
     return salted_facts.join(salted_lookup, [*key, "_part"], how).drop("_part")

@@ -390,12 +390,11 @@ FROM islands""",
     "health_state_default": _health(3, 5),
     "evict_first_failure": """WITH adds AS (
   SELECT user_id AS instance, ts AS added_at,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts) AS episode,
-         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_add
+         row_number() OVER (PARTITION BY user_id ORDER BY ts) AS episode
   FROM events WHERE event_type = 'signup')
 SELECT a.instance, a.episode, a.added_at, min(e.ts) AS evicted_at
 FROM adds a LEFT JOIN events e ON e.user_id = a.instance AND e.event_type = 'error'
-  AND e.ts >= a.added_at AND (a.next_add IS NULL OR e.ts < a.next_add)
+  AND e.ts >= a.added_at
 GROUP BY a.instance, a.episode, a.added_at""",
     "active_members": f"WITH {ACTIVE} SELECT balancer, seq, ip FROM active",
     "member_names": f"""WITH {MEMBERS}
@@ -438,3 +437,14 @@ SELECT DISTINCT 'H', j, CAST((cb - {OFFSET + 1} + {BLOCKS}) % {BLOCKS} AS INTEGE
     "stream_scaling_decisions": f"SELECT * FROM ({_scaling()}) WHERE {_closed('t', PERIOD)}",
 }
 ORACLE["score_files"] = ORACLE["model_error"]
+for _name in ("dsgd_update", "sgd_update_sequential", "train_factors"):
+    ORACLE[f"{_name}_refined"] = ORACLE[_name]
+for _name in (
+    "last3_avg",
+    "breach_counters",
+    "active_members",
+    "member_names",
+    "scaling_decisions",
+    "model_error",
+):
+    ORACLE[f"{_name}_hot"] = ORACLE[_name]

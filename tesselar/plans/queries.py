@@ -22,7 +22,7 @@ from tesselar.operators import (
 )
 from tesselar.plans import views
 from tesselar.plans.files import score_files as score_factor_files
-from tesselar.plans.train import TrainingParams, fitting_blocks, train_factors
+from tesselar.plans.train import TrainingParams, fitting_refinement, train_factors
 from tesselar.sources import factors as factor_files
 from tesselar.sources import logs
 from tesselar.sources import ratings as rating_files
@@ -54,22 +54,25 @@ def _rounded(column: str | Column, digits: int = 6) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, digits)
 
 
+# Rows of a chunk in the queries that show the way of hot keys.
+HOT_ROWS = 50
+
+
 def _written_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived ratings as a table, for queries that read them more than once."""
     return materialize(views.ratings(spark, sf_dir), "ratings")
 
 
-def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.assign_blocks(_written_ratings(spark, sf_dir), BLOCKS)
+def _blocked(spark: SparkSession, sf_dir: str, ratings: DataFrame | None = None) -> DataFrame:
+    return grid.assign_blocks(ratings or _written_ratings(spark, sf_dir), BLOCKS)
 
 
 def _start_factors(ratings: DataFrame) -> DataFrame:
     return factors.init_factors(factors.observed_ids(ratings), RANK, SEED)
 
 
-def _keyed_factors(spark: SparkSession, sf_dir: str, offset: int) -> tuple[DataFrame, DataFrame]:
+def _keyed_factors(ratings: DataFrame, offset: int) -> tuple[DataFrame, DataFrame]:
     """User and item ids with the row block they take part in at a stratum."""
-    ratings = _written_ratings(spark, sf_dir)
     extent = grid.matrix_extent(ratings)
     whole = grid.Grid(BLOCKS, extent.select("max_i").scalar(), extent.select("max_j").scalar())
     users = grid.distinct_entities(ratings, "i").withColumn("key", whole.row_block(F.col("id")))
@@ -248,20 +251,22 @@ def member_ip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def block_factor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.block_factor_join(*_keyed_factors(spark, sf_dir, OFFSET))
+    return grid.block_factor_join(*_keyed_factors(_written_ratings(spark, sf_dir), OFFSET))
 
 
 @query
 def block_data_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = grid.block_factor_join(*_keyed_factors(spark, sf_dir, OFFSET)).select("key", "w_rows", "h_rows")
-    blocked = grid.select_stratum(_blocked(spark, sf_dir), OFFSET)
+    ratings = _written_ratings(spark, sf_dir)
+    wh = grid.block_factor_join(*_keyed_factors(ratings, OFFSET)).select("key", "w_rows", "h_rows")
+    blocked = grid.select_stratum(_blocked(spark, sf_dir, ratings), OFFSET)
     return grid.block_data_right_join(blocked, wh)
 
 
 @query
 def block_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocked = grid.select_stratum(_blocked(spark, sf_dir), OFFSET)
-    return grid.block_cogroup_counts(blocked, *_keyed_factors(spark, sf_dir, OFFSET))
+    ratings = _written_ratings(spark, sf_dir)
+    blocked = grid.select_stratum(_blocked(spark, sf_dir, ratings), OFFSET)
+    return grid.block_cogroup_counts(blocked, *_keyed_factors(ratings, OFFSET))
 
 
 @query
@@ -439,14 +444,21 @@ def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_sub_epoch(
-    spark: SparkSession, sf_dir: str, update: str
+    spark: SparkSession, sf_dir: str, update: str, refine: int | None = None
 ) -> tuple[grid.Grid, DataFrame]:
+    """The factors after stratum ``OFFSET`` of the fixed grid, in as many turns as its sub-blocks need."""
     ratings = _written_ratings(spark, sf_dir)
-    measured = grid.measured_grid(ratings, fitting_blocks(ratings, least=BLOCKS))
-    met = grid.select_stratum(grid.assign_blocks(ratings, measured.n, grid=measured), OFFSET)
-    layout = dsgd.block_layout(met.select("i", "j", "r"), measured)
-    start = _start_factors(ratings)
-    return measured, dsgd.dsgd_update(layout, start, OFFSET, measured, 0.015, update)
+    whole = grid.measured_grid(ratings, BLOCKS)
+    cut = replace(whole, refine=refine or fitting_refinement(ratings, BLOCKS))
+    met = grid.select_stratum(grid.assign_blocks(ratings, BLOCKS, grid=whole), OFFSET)
+    layout = materialize(dsgd.block_layout(met.select("i", "j", "r"), cut), "stratum-layout")
+    model = _start_factors(ratings)
+    each = 2 * cut.refine - 1
+    for turn in range(OFFSET * each, (OFFSET + 1) * each):
+        model = dsgd.dsgd_update(layout, model, turn, cut, 0.015, update)
+        if turn + 1 < (OFFSET + 1) * each:
+            model = materialize(model, "turn-factors")
+    return whole, model
 
 
 def _vector_rows(model: DataFrame) -> DataFrame:
@@ -470,22 +482,39 @@ def sgd_update_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential")[1])
 
 
+@query
+def dsgd_update_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sub-epoch with every block cut into sub-blocks."""
+    return _vector_rows(_one_sub_epoch(spark, sf_dir, "simultaneous", refine=2)[1])
+
+
+@query
+def sgd_update_sequential_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential", refine=3)[1])
+
+
+@query
+def train_factors_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2, refine=2)
+    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
+
+
 @query
 def train_factors_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=None, epochs=2)
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
     return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
 
 
 @query
 def train_row_major(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two epochs that visit the blocks row by row, with the single-machine update rule."""
-    params = replace(TrainingParams.out_of_core(RANK, None), epochs=2)
+    params = replace(TrainingParams.out_of_core(RANK, BLOCKS), epochs=2)
     return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
 
 
 @query
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=None, epochs=2)
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
     log = train_factors(_written_ratings(spark, sf_dir), params)[1]
     return log.select("iteration", _rounded("squared_error").alias("squared_error"), _rounded("rmse").alias("rmse"))
 
@@ -521,9 +550,47 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The same operators with keys cut into chunks, as above ROWS_PER_TASK rows
+
+
+@query
+def last3_avg_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = alarms.last_n_avg(_stats(spark, sf_dir), 3, HOT_ROWS)
+    return recent.select("dim", "t", _rounded("last_avg").alias("last_avg"))
+
+
+@query
+def breach_counters_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = alarms.breach_counters(_labelled(spark, sf_dir), HOT_ROWS)
+    return counted.select("dim", "t", "label", "up", "down")
+
+
+@query
+def active_members_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.active_members(views.members(spark, sf_dir), HOT_ROWS)
+
+
+@query
+def member_names_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.member_names(views.members(spark, sf_dir), HOT_ROWS)
+
+
+@query
+def scaling_decisions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaling.scaling_decisions(_labelled(spark, sf_dir), SCALING, HOT_ROWS)
+
+
+@query
+def model_error_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = _written_ratings(spark, sf_dir)
+    skew = evaluate.rating_skew(ratings, HOT_ROWS)
+    error = evaluate.model_error(ratings, _start_factors(ratings), RANK, skew)
+    return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One epoch of training from fresh factors: iteration, squared error, RMSE."""
-    params = TrainingParams(rank=RANK, blocks=None, epochs=1)
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=1)
     log = train_factors(_written_ratings(spark, sf_dir), params)[1]
     return log.select("iteration", "squared_error", "rmse")
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselar.functions.grid import ROW_MAJOR, STRATA, turns
+from tesselar.functions.grid import ROW_MAJOR, STRATA
 from tesselar.operators.dsgd import block_layout, dsgd_update
 from tesselar.operators.evaluate import model_error, rating_skew
 from tesselar.operators.factors import (
@@ -29,11 +29,13 @@ LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
 class TrainingParams:
     """The published defaults of the distributed drafts.
 
-    ``blocks=None`` measures the ratings, see ``fitting_blocks``.
+    ``blocks`` is the grid that decides the order of learning; it never follows the size of the data.
+    ``refine`` cuts blocks to task size without changing the model; ``None`` measures it, see
+    ``fitting_refinement``.
     """
 
     rank: int
-    blocks: int | None = 8
+    blocks: int = 8
     epochs: int = 5
     eta: float = 0.015
     decay: float = 0.99
@@ -42,25 +44,27 @@ class TrainingParams:
     base: int = 0
     schedule: str = STRATA
     order: tuple[str, ...] = ("i", "j", "r")
+    refine: int | None = None
 
     @classmethod
-    def out_of_core(cls, rank: int, blocks: int | None = 8) -> "TrainingParams":
+    def out_of_core(cls, rank: int, blocks: int = 8) -> "TrainingParams":
         """The defaults of the single-machine program, which visits blocks row by row."""
         return cls(rank, blocks, 10, 0.001, 0.99, "sequential", schedule=ROW_MAJOR)
 
 
-def fitting_blocks(
-    ratings: DataFrame, rows_per_block: int = ROWS_PER_TASK, least: int = 4
+def fitting_refinement(
+    ratings: DataFrame, blocks: int, rows_per_block: int = ROWS_PER_TASK
 ) -> int:
-    """Blocks per side that keep the average block, and a hot id's share of one, to task size.
+    """Cuts per block side that keep the average sub-block, and a hot id's share of one, to task size.
 
     Samples of one user or item must be learned one after the other, so a hot id cannot be
-    salted; more blocks cut its samples into more sub-epochs instead.
+    salted; more sub-blocks cut its samples into more turns instead.
     """
     counts = rating_sides(ratings).groupBy("role", "id").agg(F.count("*").alias("rows"))
     sizes = counts.agg((F.sum("rows") / 2).alias("all"), F.max("rows").alias("largest")).first()
     average = math.ceil(math.sqrt((sizes["all"] or 0) / rows_per_block))
-    return max(least, average, math.ceil((sizes["largest"] or 0) / rows_per_block))
+    side = max(average, math.ceil((sizes["largest"] or 0) / rows_per_block))
+    return max(1, math.ceil(side / blocks))
 
 
 def training_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -79,8 +83,11 @@ def train_factors(
     """
     spark = ratings.sparkSession
     home = new_path(spark, "training")
-    blocks = params.blocks or fitting_blocks(ratings)
-    grid = measured_grid(ratings, blocks, params.base, params.schedule)
+    refine = params.refine
+    if refine is None:
+        in_order = params.order == ("i", "j", "r")
+        refine = fitting_refinement(ratings, params.blocks) if in_order else 1
+    grid = measured_grid(ratings, params.blocks, params.base, params.schedule, refine)
     layout = block_layout(ratings, grid, params.order)
     layout.write.partitionBy("s").parquet(f"{home}/layout")
     layout = spark.read.schema(layout.schema).parquet(f"{home}/layout")
@@ -96,7 +103,7 @@ def train_factors(
     eta, log, started = params.eta, [], time.perf_counter()
     step = 0
     for epoch in range(params.epochs):
-        for offset in range(turns(grid.n, params.schedule)):
+        for offset in range(grid.turns):
             updated = dsgd_update(layout, factors, offset, grid, eta, params.update)
             factors = write_table(updated, f"{home}/factors-{step % 2}", mode="overwrite")
             step += 1

@@ -23,7 +23,9 @@ def write_factors_csv(factors: DataFrame, path: str, role: str, single_file: boo
 
 
 def read_factors_csv(spark: SparkSession, path: str, role: str) -> DataFrame:
-    """Read the lines back; ids count from 0 in file-name and line order.
+    """Read the lines back; ids count from 0 in file and line order.
+
+    Files follow the number in ``part-<number>``, then their names; names without one come first.
 
     Row ids inside one file split are consecutive, so a line's position is its distance from the
     first line of its split plus the lines of the splits before it.
@@ -40,9 +42,10 @@ def read_factors_csv(spark: SparkSession, path: str, role: str) -> DataFrame:
     files = splits.groupBy("file").agg(F.sum("split_lines").alias("file_lines"))
     # One row per file, then one row per split of a file: both small next to the lines.
     before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    part = F.regexp_extract("file", r"part-(\d+)[^/]*\z", 1).try_cast("long")
+    by_part = Window.orderBy(part.asc_nulls_first(), "file")
     file_starts = files.select(
-        "file",
-        F.coalesce(F.sum("file_lines").over(before(Window.orderBy("file"))), F.lit(0)).alias("base"),
+        "file", F.coalesce(F.sum("file_lines").over(before(by_part)), F.lit(0)).alias("base")
     )
     in_file = F.sum("split_lines").over(before(Window.partitionBy("file").orderBy("split")))
     starts = splits.join(file_starts, "file").select(

@@ -12,8 +12,16 @@ MOVIELENS_SCHEMAS = {
 }
 
 
+#: What may stand for a number: no type letters, no hexadecimal digits.
+NUMBER = {
+    "long": r"\A\s*[+-]?\d+\s*\z",
+    "double": r"(?i)\A\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*\z",
+}
+
+
 def _required(tokens: Column, position: int, kind: str) -> Column:
-    parsed = F.get(tokens, F.lit(position)).try_cast(kind)
+    token = F.get(tokens, F.lit(position))
+    parsed = F.when(token.rlike(NUMBER[kind]), token.try_cast(kind))
     problem = F.concat(F.lit("not a rating line: "), F.col("line"))
     return F.coalesce(parsed, F.raise_error(problem).cast(kind))
 

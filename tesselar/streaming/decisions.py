@@ -11,14 +11,19 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tesselar.operators.scaling import CounterMachine, ScalingParams
 from tesselar.streaming.alarms import period_averages
 
-STATE_SCHEMA = "up INT, down INT, size INT, resume LONG, recent ARRAY<DOUBLE>"
+# The latest periods: their averages, and which of them have none or are not a number.
+STATE_SCHEMA = (
+    "up INT, down INT, size INT, resume LONG, recent ARRAY<DOUBLE>, empty ARRAY<BOOLEAN>, nan ARRAY<BOOLEAN>"
+)
 OUTPUT_SCHEMA = (
-    "dim STRING, t TIMESTAMP, t_end TIMESTAMP, last_avg DOUBLE, label STRING, size LONG, action LONG"
+    "dim STRING, t TIMESTAMP, t_end TIMESTAMP, last_avg DOUBLE, label STRING, size LONG, action LONG, "
+    "poisoned BOOLEAN"
 )
 
 
@@ -42,20 +47,24 @@ class DecisionProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state, recent = self.machine.start, []
         if self.state.exists():
-            *stored, last = self.state.get()
-            state, recent = tuple(int(value) for value in stored), list(last)
+            *stored, values, empty, nan = self.state.get()
+            state, recent = tuple(int(value) for value in stored), list(zip(values, empty, nan))
         periods = pd.concat(list(rows)).sort_values("t")
         results = []
         for row in periods.itertuples():
-            if row.average is not None and not math.isnan(row.average):
-                recent = [*recent, float(row.average)][-self.n :]
-            last_avg = sum(recent) / len(recent) if recent else math.nan
+            nan = bool(row.is_nan) and not row.is_empty
+            known = not row.is_empty and not nan
+            recent = [*recent, (float(row.average) if known else 0.0, bool(row.is_empty), nan)][-self.n :]
+            # As avg() over the last rows: a missing average is left out, one that is no number spoils it.
+            poisoned = any(spoils for _, _, spoils in recent)
+            used = [value for value, missing, _ in recent if not missing]
+            last_avg = sum(used) / len(used) if used and not poisoned else math.nan
             label = self.label(last_avg)
             micros = row.t.value // 1000
             state, action = self.machine.step(state, micros, label)
-            results.append((key[0], row.t, row.t_end, last_avg, label, state[2], action))
-        self.state.update((*state, recent))
-        names = ["dim", "t", "t_end", "last_avg", "label", "size", "action"]
+            results.append((key[0], row.t, row.t_end, last_avg, label, state[2], action, poisoned))
+        self.state.update((*state, *map(list, zip(*recent))))
+        names = ["dim", "t", "t_end", "last_avg", "label", "size", "action", "poisoned"]
         yield pd.DataFrame(results, columns=names)
 
     def close(self) -> None:
@@ -69,10 +78,16 @@ def stream_scaling_decisions(
 
     Needs the RocksDB state store, see ``run_available``.
     """
-    return period_averages(stream, params.period, delay).groupBy("dim").transformWithStateInPandas(
+    # pandas has one mark for both, so the kinds of missing averages are told apart before.
+    periods = period_averages(stream, params.period, delay).withColumns(
+        {"is_empty": F.col("average").isNull(), "is_nan": F.coalesce(F.isnan("average"), F.lit(False))}
+    )
+    decided = periods.groupBy("dim").transformWithStateInPandas(
         statefulProcessor=DecisionProcessor(params, n),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="append",
         timeMode="EventTime",
         eventTimeColumnName="t_end",
     )
+    last_avg = F.when(F.col("poisoned"), F.lit(float("nan"))).otherwise(F.col("last_avg"))
+    return decided.withColumn("last_avg", last_avg).drop("poisoned")

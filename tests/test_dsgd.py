@@ -11,7 +11,7 @@ from tesselar.operators.evaluate import model_error, rating_skew
 from tesselar.operators.factors import init_factors, observed_ids
 from tesselar.operators.grid import assign_blocks, measured_grid
 from tesselar.plans.files import score_files, train_files
-from tesselar.plans.train import TrainingParams, fitting_blocks, train_factors
+from tesselar.plans.train import TrainingParams, fitting_refinement, train_factors
 
 RANK = 4
 
@@ -140,11 +140,31 @@ def test_error_with_hot_ids_split(spark):
     assert model_error(df.withColumn("r", F.lit(0.0)), factors, RANK).first()["n"] == 600
 
 
-def test_fitting_blocks(spark):
+def test_fitting_refinement(spark):
     df = as_df(spark, make_ratings(40, 40, 900, hot=3))
-    assert fitting_blocks(df, 10_000) == 4
-    assert fitting_blocks(df, 9, least=1) >= 300 / 9
-    assert fitting_blocks(df.filter("j <> 3"), 1, least=1) >= 24
+    assert fitting_refinement(df, 4, 10_000) == 1
+    assert 4 * fitting_refinement(df, 4, 9) >= 300 / 9
+    assert 4 * fitting_refinement(df.filter("j <> 3"), 4, 1) >= 24
+
+
+@pytest.mark.parametrize("schedule", ["strata", "row_major"])
+@pytest.mark.parametrize("base", [0, 1])
+def test_refinement_keeps_the_model(spark, schedule, base):
+    df = as_df(spark, make_ratings(23, 19, 400, hot=5)).withColumns(
+        {"i": F.col("i") + base, "j": F.col("j") + base}
+    )
+    models = []
+    for refine in (1, 2, 3):
+        params = TrainingParams(RANK, blocks=3, epochs=2, schedule=schedule, base=base, refine=refine)
+        models.append(as_model(train_factors(df, params)[0]))
+    for model in models[1:]:
+        assert_same_model(models[0], model)
+
+
+def test_other_orders_are_not_refined(spark):
+    df = as_df(spark, make_ratings(5, 5, 20)).withColumn("line", F.col("i"))
+    with pytest.raises(ValueError):
+        train_factors(df, TrainingParams(RANK, blocks=2, epochs=1, order=("line",), refine=2))
 
 
 def test_files_train_and_score(spark, tmp_path):

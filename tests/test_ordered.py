@@ -88,3 +88,22 @@ def test_hot_keys_are_the_large_ones(spark, frame):
     hot = find_hot_keys(spark.createDataFrame(frame), ["key"], 200)
     assert [row["key"] for row in hot.table.collect()] == [0]
     assert hot.rows == (frame["key"] == 0).sum()
+
+
+ODD = [(key, order, value) for key in ("a", None) for order, value in zip("bbbbbacdefgh", [1.0, 2.0, None, 4.0, 5.0, 6.0, None, 8.0, 9.0, 10.0, None, 12.0])]
+
+
+@pytest.mark.parametrize("rows_per_chunk", [2, 5])
+def test_hot_path_equals_plain_path(spark, rows_per_chunk):
+    """Null keys, text orders, ties on the first order column and null values."""
+    rows = [(key, order, at, value) for at, (key, order, value) in enumerate(ODD)]
+    df = spark.createDataFrame(rows, "key STRING, o STRING, at LONG, v DOUBLE")
+
+    def result(size):
+        done = running(chunk(df, ["key"], ["o", "at"], size), sums={"n": F.lit(1).cast("long")})
+        done = key_totals(trailing(done, F.col("v"), 3, "latest"), sums={"whole": F.col("n")})
+        return {row["at"]: row.asDict() for row in finish(done).collect()}
+
+    assert result(rows_per_chunk) == result(1000)
+    parts = chunk(df, ["key"], ["o", "at"], rows_per_chunk).df.groupBy("key", CHUNK).count()
+    assert parts.agg(F.max("count")).first()[0] <= 2 * rows_per_chunk + 1

@@ -11,6 +11,7 @@ from tesselar.sources.ratings import (
     line_count,
     read_blocks,
     read_movielens,
+    parse_ratings,
     read_ratings,
     write_blocks,
 )
@@ -95,3 +96,9 @@ def test_observed_ids(spark):
     df = spark.createDataFrame([(1, 2, 3.0), (1, 5, 3.0)], "i LONG, j LONG, r DOUBLE")
     found = sorted(map(tuple, observed_ids(df).collect()))
     assert found == [("H", 2), ("H", 5), ("W", 1)]
+
+
+@pytest.mark.parametrize("line", ["1,2,5d", "1,2,5f", "1,2,0x1p3", "1,2,", "1.0,2,3"])
+def test_lines_that_are_no_ratings(spark, line):
+    with pytest.raises(Exception, match="not a rating line"):
+        parse_ratings(spark.createDataFrame([(line,)], "line STRING")).collect()

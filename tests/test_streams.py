@@ -54,3 +54,28 @@ def test_decisions(spark, feed):
     assert set(found) <= set(batch)
     assert len(found) >= len(batch) - 10
     assert any(row[4] for row in found)
+
+
+def test_decisions_on_missing_values(spark, tmp_path):
+    """A period that is no number spoils the next readings, one without values is left out: as in batch."""
+    nan = float("nan")
+    values = [60.0, nan, 60.0, 60.0, 60.0, None, None, None, 60.0, 10.0, None, 10.0, 10.0, 60.0]
+    seconds = [(600 * at, "a" if at % 2 else "b", value) for at, value in enumerate(v for v in values for _ in "ab")]
+    metrics = spark.createDataFrame(seconds, "s LONG, dim STRING, value DOUBLE").select(
+        F.timestamp_seconds("s").alias("ts"), "dim", "value"
+    )
+    path = str(tmp_path / "feed")
+    for low in range(0, 16_800, 4_200):
+        part = metrics.filter((F.unix_timestamp("ts") >= low) & (F.unix_timestamp("ts") < low + 4_200))
+        part.coalesce(1).write.mode("append").parquet(path)
+    params = ScalingParams(upper=55, lower=15, min_size=1, max_size=4, period=1200, count=2, cooldown=1200)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    streamed = run_available(stream_scaling_decisions(stream, params), "test-missing")
+    names = ["dim", "t", "label", "size", "action"]
+    labelled = threshold_label(last_n_avg(metric_period_stats(metrics, 1200)), 55, 15)
+    batch, found = rows(scaling_decisions(labelled, params).select(*names)), rows(streamed.select(*names))
+    assert set(found) <= set(batch) and len(found) >= len(batch) - 4
+    averages = {(r["dim"], r["t"]): r["last_avg"] for r in labelled.collect()}
+    for row in streamed.collect():
+        expected = averages[row["dim"], row["t"]]
+        assert row["last_avg"] == expected or (expected != expected and row["last_avg"] != row["last_avg"])
