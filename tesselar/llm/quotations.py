@@ -109,11 +109,16 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """``root_turn`` and ``depth`` of every reply by pointer doubling: as many rounds as the depth has binary digits."""
-    state = materialize(parents.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth")), "reply-roots")
+    """``root_turn`` and ``depth`` of every reply by pointer doubling.
+
+    A reply takes part until its pointer reaches a root: as many rounds as its depth has binary digits, and one more.
+    """
+    active = materialize(parents.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth")), "reply-roots")
+    settled = None
     while True:
-        further = state.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("depth").alias("more"))
-        joined = state.join(further, ["conv_id", "root_turn"], "left").select(
+        known = active if settled is None else active.unionByName(settled)
+        further = known.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("depth").alias("more"))
+        joined = active.join(further, ["conv_id", "root_turn"], "left").select(
             "conv_id",
             "turn",
             F.coalesce("next", "root_turn").alias("root_turn"),
@@ -121,9 +126,11 @@ def _roots(parents: DataFrame) -> DataFrame:
             F.col("next").isNotNull().alias("moved"),
         )
         joined = materialize(joined, "reply-roots")
-        state = joined.drop("moved")
-        if joined.where("moved").isEmpty():
-            return state
+        at_root = joined.where("NOT moved").drop("moved")
+        settled = at_root if settled is None else settled.unionByName(at_root)
+        active = joined.where("moved").drop("moved")
+        if active.isEmpty():
+            return settled
 
 
 def derived_messages(conversations: DataFrame) -> DataFrame:
