@@ -45,7 +45,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents with their sequence and place."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [

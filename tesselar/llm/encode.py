@@ -26,12 +26,16 @@ ID_BYTES = 4
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    Remembers the words of late: at most ``memory`` new ones, and as many of the time before.
+    Remembers the words of late: at most ``memory`` new ones, and as many of the time before. With ``added_tokens``
+    the tokenizer stays as loaded, so the content of an added token is that token's id; else it is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 150_000, longest: int = 48):
+    def __init__(self, path: str, memory: int = 150_000, longest: int = 48, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        contents = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts that are encoded in one piece.
+        self.whole = re.compile("|".join([OTHER_SPACE.pattern, *(contents if added_tokens else [])]))
         self.memory, self.longest = memory, longest
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -62,10 +66,10 @@ class WordEncoder:
     def _words(self, text: str | None) -> list[str]:
         if not text:
             return []
-        return [text] if OTHER_SPACE.search(text) else WORD.findall(text)
+        return [text] if self.whole.search(text) else WORD.findall(text)
 
 
 @functools.cache
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, added_tokens: bool = False) -> WordEncoder:
     """The encoder of this Python process: later tasks of the process know the words of earlier ones."""
-    return WordEncoder(path)
+    return WordEncoder(path, added_tokens=added_tokens)

@@ -38,9 +38,9 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, total, capacity))]
 
 
-def _pieces(path: str, end_id: int, capacity: int):
+def _pieces(path: str, end_id: int, capacity: int, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        words, end = encoder(path, added_tokens), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             columns: list[list[int]] = [[] for _ in range(5)]
             for first in range(0, batch.num_rows, 256):
@@ -166,15 +166,17 @@ def _pack_groups(capacity: int, first_round: bool):
     return run
 
 
-def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+def pack(
+    documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, group: int = GROUP, added_tokens: bool = False
+) -> DataFrame:
     """One row per token piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A null or empty text is its end id alone. Repeated rows and rows with a null id are packed each on its own.
     Other columns are ignored. A piece that fills a sequence is one at once; all others are dealt into groups of
-    about ``group`` pieces.
+    about ``group`` pieces. ``added_tokens`` as in ``WordEncoder``.
     """
     spark = documents.sparkSession
-    pieces = documents.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity), PIECE)
+    pieces = documents.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, added_tokens), PIECE)
     pieces = materialize(pieces, "pieces")
     out = [*pieces.columns, "sequence_id", "offset"]
     # The place of a row in the written table tells equal rows apart.
@@ -201,4 +203,4 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: i
 
 def op4_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(documents, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)

@@ -115,9 +115,9 @@ class Segment:
         return values
 
 
-def _segments(path: str, end_id: int):
+def _segments(path: str, end_id: int, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        words = encoder(path, added_tokens)
         end = np.array([end_id], np.uint32)
         held: list[tuple[int | None, np.ndarray]] = []
         tokens, segment, part, before = 0, 0, 0, 0
@@ -150,18 +150,19 @@ def _segments(path: str, end_id: int):
     return run
 
 
-def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
+def write_tokens(documents: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, added_tokens: bool = False) -> None:
     """Write the ids of all texts in ascending ``doc_id`` order as segments below ``path``.
 
     A null or empty text is its end id alone. Rows with a null ``doc_id`` come first; repeated rows are written each,
     in any order among themselves. Other columns are ignored. An empty table gives an empty folder.
+    ``added_tokens`` as in ``WordEncoder``.
     """
     spark = documents.sparkSession
     rows = documents.select("doc_id", "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     dealt = dealt.withColumn("part", F.spark_partition_id().cast("long"))
-    dealt.mapInArrow(_segments(tokenizer, end_id), SEGMENT).write.parquet(path)
+    dealt.mapInArrow(_segments(tokenizer, end_id, added_tokens), SEGMENT).write.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,5 +194,5 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def op3_token_files(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = new_path(spark, "tokens")
-    write_tokens(documents, public_tokenizers.path("word_bpe_49k.json"), path)
+    write_tokens(documents, public_tokenizers.path("word_bpe_49k.json"), path, added_tokens=True)
     return read_index(spark, path)
