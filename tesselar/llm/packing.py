@@ -26,9 +26,7 @@ END_ID = 0
 #: Pieces of a group that is packed together.
 GROUP = 2_048
 #: Rounds after the first, each over the underfull bins of the round before.
-ROUNDS = 1
-#: Effort of the local search in a group.
-PASSES, SOURCES = 40, 4
+ROUNDS = 2
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -82,65 +80,122 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
+def fewest_bins(lengths: np.ndarray, capacity: int) -> int:
+    """A number of bins that no packing can do with less.
+
+    For every small size: pieces too long to share a bin with one of it, pieces longer than half a bin, and the bins
+    that the pieces between need beyond the space the latter leave.
+    """
+    sizes = np.sort(lengths)
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    half = int(np.searchsorted(sizes, capacity // 2, "right"))
+    small = np.unique(np.concatenate([[0], sizes[:half]]))
+    long_from = np.maximum(np.searchsorted(sizes, capacity - small, "right"), half)
+    space = (long_from - half) * capacity - (sums[long_from] - sums[half])
+    rest = sums[half] - sums[np.searchsorted(sizes[:half], small, "left")]
+    return int((len(sizes) - half + np.maximum(0, -(-(rest - space) // capacity))).max())
+
+
 def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Local search: empty the emptiest bins while there are more bins than the tokens need.
+    """Local search: empty the emptiest bins while there are more bins than the pieces need.
 
     A step that takes d tokens from bin A to a bin B at least as full raises the sum of squared fills by
-    2 d (fill B - fill A + d) > 0. The search ends when the bins are as few as can be, when no step from the
-    emptiest ``SOURCES`` bins helps, or after ``PASSES`` passes over the open bins.
+    2 d (fill B - fill A + d) > 0; the sum is a bounded integer, so the search ends: when the bins are as few as
+    can be, or when no step from any of the bins helps.
     """
-    fill = [int(lengths[b].sum()) for b in bins]
-    fewest = -(-sum(fill) // capacity)
-    left = len(bins)
-    stuck: set[int] = set()
-    for _ in range(PASSES):
-        if left <= fewest or len(stuck) >= SOURCES:
-            break
-        open_bins = sorted((at for at in range(len(bins)) if 0 < fill[at] < capacity), key=lambda at: (fill[at], at))
-        source = next((at for at in open_bins if at not in stuck), None)
+    search = _Search(lengths, bins, capacity)
+    fewest, left = fewest_bins(lengths, capacity), len(bins)
+    while left > fewest:
+        source = search.next_source()
         if source is None:
             break
-        moved = False
-        for target in reversed(open_bins):
-            if target != source and fill[target] >= fill[source] > 0:
-                moved |= _exchange(lengths, bins, fill, source, target, capacity)
-        if not fill[source]:
-            left -= 1
-        if not moved:
-            stuck.add(source)
-    return [b for b in bins if b]
-
-
-def _exchange(lengths, bins, fill, source: int, target: int, capacity: int) -> bool:
-    """Take as many tokens as fit from ``source`` to ``target`` by one move or exchange."""
-    room = capacity - fill[target]
-    if not room:
-        return False
-    give, take = bins[source], bins[target]
-    ones = [(int(lengths[a]), (a,)) for a in give]
-    twos = [(x + y, a + b) for i, (x, a) in enumerate(ones) for y, b in ones[i + 1 :]]
-    best, chosen = 0, None
-    for size, out in ones:  # move
-        if best < size <= room:
-            best, chosen = size, (out, ())
-    if best < room:
-        back_sizes = np.sort(lengths[take])
-        for size, out in ones + twos:  # exchange for one: the smallest that still fits wins most
-            at = int(np.searchsorted(back_sizes, size - room))
-            if at < len(back_sizes) and best < size - back_sizes[at]:
-                best, chosen = size - int(back_sizes[at]), (out, int(back_sizes[at]))
-    if chosen is None:
-        return False
-    out, back = chosen
-    bins[source] = [a for a in give if a not in out]
-    if back:
-        returned = next(b for b in take if lengths[b] == back)
-        bins[target] = [b for b in take if b != returned]
-        bins[source].append(returned)
-    bins[target] = [*bins[target], *out]
-    fill[source] -= best
-    fill[target] += best
-    return True
+        while search.step(source):
+            pass
+        left -= not search.fill[source]
+    return [b.tolist() for b in search.bins() if len(b)]
+
+
+class _Search:
+    """The bin of each piece, and when bins changed last: a bin without a step is tried again on changed bins only."""
+
+    def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
+        self.lengths, self.capacity, self.n_bins = np.asarray(lengths, np.int64), capacity, len(bins)
+        self.owner = np.empty(len(lengths), np.int64)
+        for at, rows in enumerate(bins):
+            self.owner[rows] = at
+        self.fill = np.bincount(self.owner, self.lengths, self.n_bins).astype(np.int64)
+        self.clock = 0
+        #: Clock of a bin's last change, and of the last time it had no step to any other.
+        self.changed = np.zeros(self.n_bins, np.int64)
+        self.tried = np.full(self.n_bins, -1)
+
+    def bins(self) -> list[np.ndarray]:
+        order = np.argsort(self.owner, kind="stable")
+        return np.split(order, np.searchsorted(self.owner[order], np.arange(1, self.n_bins)))
+
+    def next_source(self) -> int | None:
+        """The emptiest open bin of those not tried since the last change."""
+        found = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & (self.tried < self.clock))
+        return int(found[np.argmin(self.fill[found])]) if len(found) else None
+
+    def step(self, source: int) -> bool:
+        """The move or exchange from ``source`` to a bin at least as full that raises the sum of squared fills most."""
+        room = self.capacity - self.fill
+        target = (self.fill >= self.fill[source]) & (room > 0) & (self.changed > self.tried[source])
+        target[source] = False
+        targets = np.flatnonzero(target)
+        mine = np.flatnonzero(self.owner == source)
+        ones, first, count = np.unique(self.lengths[mine], return_index=True, return_counts=True)
+        best = None
+        if len(targets):
+            # Moves: the largest piece that fits.
+            at = np.searchsorted(ones, room[targets], "right") - 1
+            gain = np.where(at >= 0, ones[at], 0)
+            best = self._best(source, targets, gain)
+            if best is not None:
+                rise, k = best
+                best = rise, int(targets[k]), [int(mine[first[at[k]]])], None
+            # Exchanges of one or two pieces for one: the largest that fit in its place.
+            back = np.flatnonzero(target[self.owner])
+            a, b = np.triu_indices(len(ones))
+            kept = (a != b) | (count[a] > 1)
+            outs = np.concatenate([ones, ones[a[kept]] + ones[b[kept]]])
+            order = np.argsort(outs, kind="stable")
+            outs = outs[order]
+            at = np.searchsorted(outs, room[self.owner[back]] + self.lengths[back], "right") - 1
+            gain = np.where(at >= 0, outs[at] - self.lengths[back], 0)
+            other = self._best(source, self.owner[back], gain)
+            if other is not None and (best is None or other[0] > best[0]):
+                rise, k = other
+                chosen = int(order[at[k]])
+                if chosen < len(ones):
+                    out = [int(mine[first[chosen]])]
+                else:
+                    x, y = int(a[kept][chosen - len(ones)]), int(b[kept][chosen - len(ones)])
+                    equal = np.flatnonzero(self.lengths[mine] == ones[y])
+                    out = [int(mine[first[x]]), int(mine[equal[1 if x == y else 0]])]
+                best = rise, int(self.owner[back[k]]), out, int(back[k])
+        if best is None:
+            self.tried[source] = self.clock
+            return False
+        _, chosen_bin, out, returned = best
+        moved = int(self.lengths[out].sum()) - (0 if returned is None else int(self.lengths[returned]))
+        self.owner[out] = chosen_bin
+        if returned is not None:
+            self.owner[returned] = source
+        self.fill[source] -= moved
+        self.fill[chosen_bin] += moved
+        self.clock += 1
+        for changed in (source, chosen_bin):
+            self.changed[changed], self.tried[changed] = self.clock, -1
+        return bool(self.fill[source])
+
+    def _best(self, source: int, targets: np.ndarray, gain: np.ndarray) -> tuple[int, int] | None:
+        if not len(gain):
+            return None
+        rise = np.where(gain > 0, gain * (self.fill[targets] - self.fill[source] + gain), 0)
+        at = int(np.argmax(rise))
+        return (int(rise[at]), at) if rise[at] > 0 else None
 
 
 def _pack_groups(capacity: int, first_round: bool):

@@ -43,3 +43,27 @@ def test_queries_use_the_tokenizer_as_loaded(spark, sf_dir):
     for packed in (packing.op4_best_fit_packing(spark, sf_dir), corpus_pipeline.pack_sequences(spark, docs, sf_dir)):
         found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packed.collect()}
         assert {i: found[i] for i in wanted} == wanted
+
+
+def test_local_search_empties_bins_until_none_has_a_step():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(300, 1500, 700)
+    bins = packing.best_fit(lengths, packing.CAPACITY)
+    better = packing.improve(lengths, [list(b) for b in bins], packing.CAPACITY)
+    assert sorted(i for b in better for i in b) == list(range(700))
+    assert max(lengths[b].sum() for b in better) <= packing.CAPACITY
+    # Best fit alone is above the bound here: the search must remove bins.
+    assert packing.fewest_bins(lengths, packing.CAPACITY) <= len(better) < len(bins)
+    # More than forty single pieces to empty, and again a local optimum or the bound.
+    apart = packing.improve(lengths, [[i] for i in range(700)], packing.CAPACITY)
+    assert len(apart) <= len(bins)
+    for found in (better, apart):
+        again = packing._Search(lengths, found, packing.CAPACITY)
+        open_bins = [b for b in range(len(found)) if again.fill[b] < packing.CAPACITY]
+        assert len(found) == packing.fewest_bins(lengths, packing.CAPACITY) or not any(again.step(b) for b in open_bins)
+
+
+def test_fewest_bins_is_a_bound():
+    assert packing.fewest_bins(np.array([6, 6, 6]), 10) == 3 and packing.fewest_bins(np.array([5, 5, 5]), 10) == 2
+    assert packing.fewest_bins(np.array([10]), 10) == 1 and packing.fewest_bins(np.array([7, 4, 4, 4]), 10) == 3
+    assert packing.fewest_bins(np.empty(0, int), 10) == 0
