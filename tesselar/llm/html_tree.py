@@ -16,6 +16,9 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split()
 )
+#: Elements that stay in an open head: the start of any other, and text, ends it.
+IN_HEAD = frozenset("head title meta link base style script noscript template".split())
+BLANK = " \t\n\f\r"
 #: An opening tag ends an open element of these, if it is nearer than the container named behind.
 IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -96,6 +99,8 @@ def parse(page: str | None) -> Tree:
         at = match.end()
         text = match["text"] or match["lone"]
         if text is not None:
+            if stack[-1][0] == "head" and html.unescape(text).strip(BLANK):
+                pop_to(len(stack) - 1)
             if not stack[-1][2]:
                 decoded = html.unescape(text) if "&" in text else text
                 pieces.append(decoded)
@@ -108,6 +113,8 @@ def parse(page: str | None) -> Tree:
         tag = tag.lower()
         if match["close"]:
             if tag in ("html", "body"):
+                if stack[-1][0] == "head":
+                    pop_to(len(stack) - 1)
                 continue
             place = nearest((tag,), ("td", "th") if tag in INLINE else ())
             if place is not None:
@@ -119,6 +126,8 @@ def parse(page: str | None) -> Tree:
                 if place is not None:
                     pop_to(place)
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop_to(len(stack) - 1)
         if tag == "br" or tag in VOID:
             pieces.append(" ")
             if tag == "hr":

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tesselar.llm import packing, token_files
+from tesselar.llm import html_tree, packing, token_files
 from tesselar.llm.encode import WordEncoder
 from tests.llm.test_free import DOCS, TEXTS
 
@@ -67,3 +67,20 @@ def test_fewest_bins_is_a_bound():
     assert packing.fewest_bins(np.array([6, 6, 6]), 10) == 3 and packing.fewest_bins(np.array([5, 5, 5]), 10) == 2
     assert packing.fewest_bins(np.array([10]), 10) == 1 and packing.fewest_bins(np.array([7, 4, 4, 4]), 10) == 3
     assert packing.fewest_bins(np.empty(0, int), 10) == 0
+
+
+def texts_of(page):
+    return [text for _, text, _ in html_tree.parse(page).segments]
+
+
+def test_head_without_end_tag():
+    article = "<article><p>Text"
+    for page in (
+        "<html><head><title>T</title>" + article,
+        "<head><meta charset=utf-8><link rel=x><base href=y><style>p{}</style><script>s</script><noscript>n</noscript><template><p>no</p></template>" + article,
+        "<head><title>T</title></html>" + article,
+        "<html><head><title>T</title></head><body>" + article,
+    ):
+        assert texts_of(page) == ["Text"], page
+    assert texts_of("<head><title>T</title> \n Bare &amp; text<p>Text") == ["Bare & text", "Text"]
+    assert texts_of("<head><title>T</title>\n<script>s</script>\n</head>") == []
