@@ -1,6 +1,7 @@
 """N-gram Jaccard join: MinHash bands find candidates, full n-gram sets verify them.
 
-Texts with the same words form one class, of which one text (the smallest ``doc_id``) is compared. Bands and rows
+Every row gets a written number. Texts with the same words form one class, of which one row (the smallest ``doc_id``,
+nulls last, then the smallest number) is compared. Bands and rows
 are chosen for the wanted recall at the threshold. A pair is verified only in the first band that it shares, so each
 is counted once. A large bucket is cut into blocks and every pair of blocks is a unit of work of its own. A
 unit returns link counts and a spanning forest of its links, never the pairs.
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tesselar.llm.components import connected_components
 from tesselar.llm.grams import digest, gram_hashes, mix, normalised
+from tesselar.llm.training import free_name
 from tesselar.workspace import materialize
 
 GRAM = 5
@@ -62,16 +64,16 @@ def _signatures(n: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, values = [], [], []
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
+            columns = [batch.column(name).to_pylist() for name in ("doc_id", "row", "text")]
+            for doc_id, row, text in zip(*columns, strict=True):
                 words = normalised(text)
                 grams = gram_hashes(words, n)
-                keys.append(digest(words) if words else digest(f" {doc_id}".encode()))
+                keys.append(digest(words) if words else digest((f" {doc_id}" if doc_id is not None else f" row {row}").encode()))
                 sizes.append(len(grams))
                 values.append(band_hashes(grams, bands, rows).tolist() if words else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64()))],
-                ["doc_id", "key", "n_grams", "bands"],
+                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64()))],
+                ["doc_id", "row", "key", "n_grams", "bands"],
             )
 
     return run
@@ -80,15 +82,8 @@ def _signatures(n: int, bands: int, rows: int):
 def _gram_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets = [], []
-            for text in batch.column("text").to_pylist():
-                words = normalised(text)
-                keys.append(digest(words))
-                sets.append(gram_hashes(words, n).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(keys, pa.binary()), batch.column("key"), pa.array(sets, pa.binary())],
-                ["node", "found", "key", "grams"],
-            )
+            sets = [gram_hashes(normalised(text), n).tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "grams"])
 
     return run
 
@@ -223,23 +218,25 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(total).astype(int)
 
 
-def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, n: int = GRAM, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``documents``: ``doc_id``, ``class_id``, ``n_links``, ``group_id``.
+def _numbered(documents: DataFrame, row: str) -> DataFrame:
+    """The rows as written, each with a number of its own."""
+    return materialize(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
-    ``class_id`` is the smallest ``doc_id`` with the same word sequence, ``n_links`` the number of other classes
-    whose n-gram sets have Jaccard similarity ``threshold`` or more, ``group_id`` the smallest ``class_id`` that
-    links lead to. Texts of fewer than n words are one n-gram. Null, empty and blank texts have no n-grams: each is
-    its own class without links. A null ``doc_id`` belongs to its class (null if no row of the class has an id).
-    Repeated rows give repeated rows; other columns are ignored.
+
+def _groups(rows: DataFrame, threshold: float, n: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``key`` of each of ``rows`` (``doc_id``, ``row``, ``text``), and one row per class.
+
+    A class has its ``key``, ``node`` and ``class_id`` (number and id of its first row), ``n_links``, and of the first
+    row of its group ``group`` and ``group_id``.
     """
-    bands, rows = banding(threshold, recall)
-    signatures = documents.select("doc_id", "text").mapInArrow(
-        _signatures(n, bands, rows), "doc_id long, key binary, n_grams long, bands array<long>"
-    )
+    bands, size = banding(threshold, recall)
+    signatures = rows.mapInArrow(_signatures(n, bands, size), "doc_id long, row long, key binary, n_grams long, bands array<long>")
     signatures = materialize(signatures, "signatures")
-    classes = signatures.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    classes = signatures.groupBy("key").agg(first, F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"))
+    classes = classes.select("key", F.col("first.row").alias("node"), F.col("first.doc_id").alias("class_id"), "n_grams", "bands")
     classes = materialize(classes, "classes")
-    texts = classes.where(F.col("node").isNotNull() & F.col("bands").isNotNull())
+    texts = classes.where(F.col("bands").isNotNull())
 
     entries = texts.select("node", "n_grams", F.posexplode("bands").alias("band", "value"))
     buckets = entries.groupBy("band", "value").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams")).where("n > 1")
@@ -256,38 +253,57 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, n: int =
     needed = members.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_needed, shape)
     needed = materialize(needed, "candidates")
 
-    wanted = needed.select("node").distinct().join(texts.select("node", "key"), "node")
-    sets = (
-        documents.select(F.col("doc_id").alias("node"), "text")
-        .join(wanted, "node")
-        .mapInArrow(_gram_sets(n), "node long, found binary, key binary, grams binary")
-        .where("found = key")
-        .select("node", "grams")
-    )
+    wanted = needed.select("node").distinct()
+    sets = rows.select(F.col("row").alias("node"), "text").join(wanted, "node").mapInArrow(_gram_sets(n), "node long, grams binary")
     units = needed.join(sets, "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
     links = materialize(units.mapInArrow(_verify(threshold), "node long, root long, links long"), "links")
 
-    groups = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    components = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    members = components.join(classes.select("node", "class_id"), "node")
+    first = F.min(F.struct(F.col("class_id").isNull().alias("no_id"), "class_id", "node")).alias("first")
+    groups = components.join(members.groupBy("component").agg(first), "component")
+    groups = groups.select("node", F.col("first.node").alias("group"), F.col("first.class_id").alias("group_id"))
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     told = (
-        classes.select("key", "node")
+        classes.select("key", "node", "class_id")
         .join(counts, "node", "left")
         .join(groups, "node", "left")
         .select(
             "key",
-            F.col("node").alias("class_id"),
+            "node",
+            "class_id",
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
-            F.coalesce("component", "node").alias("group_id"),
+            F.coalesce("group", "node").alias("group"),
+            # A group without any id has a null here, as its class has.
+            F.coalesce("group_id", "class_id").alias("group_id"),
         )
     )
-    return signatures.select("doc_id", "key").join(told, "key").select("doc_id", "class_id", "n_links", "group_id")
+    return signatures.select("doc_id", "key"), told
 
 
-def one_of_each_group(documents: DataFrame, **options) -> DataFrame:
-    """The rows of ``documents`` whose ``doc_id`` stands for its group, each once; rows without an id go."""
-    result = near_duplicates(documents, **options)
-    kept = result.where(F.col("doc_id") == F.col("group_id")).select("doc_id").distinct()
-    return documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*documents.columns)
+def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, n: int = GRAM, recall: float = RECALL) -> DataFrame:
+    """One row per row of ``documents``: ``doc_id``, ``class_id``, ``n_links``, ``group_id``.
+
+    ``class_id`` is the smallest ``doc_id`` with the same word sequence, ``n_links`` the number of other classes
+    whose n-gram sets have Jaccard similarity ``threshold`` or more, ``group_id`` the smallest ``class_id`` that
+    links lead to. Texts of fewer than n words are one n-gram. Null, empty and blank texts have no n-grams: each is
+    its own class without links. Rows with a null ``doc_id`` are compared like others; an id is null only if no row of
+    the class or group has one. Repeated rows give repeated rows; other columns are ignored.
+    """
+    signatures, told = _groups(_numbered(documents.select("doc_id", "text"), "row"), threshold, n, recall)
+    return signatures.join(told, "key").select("doc_id", "class_id", "n_links", "group_id")
+
+
+def one_of_each_group(documents: DataFrame, threshold: float = THRESHOLD, n: int = GRAM, recall: float = RECALL) -> DataFrame:
+    """Of each group the row of the smallest ``doc_id``, nulls last; of several with that id the first as written.
+
+    Blank texts are one group for each ``doc_id``, and each its own where it is null.
+    """
+    row = free_name(documents, "row")
+    numbered = _numbered(documents, row)
+    told = _groups(numbered.select("doc_id", F.col(row).alias("row"), "text"), threshold, n, recall)[1]
+    kept = told.where(F.col("node") == F.col("group")).select(F.col("node").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*documents.columns)
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

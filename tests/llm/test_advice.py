@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tesselar.llm import html_tree, packing, token_files
+from tesselar.llm import html_tree, near_duplicates, packing, token_files
 from tesselar.llm.encode import WordEncoder
 from tests.llm.test_free import DOCS, TEXTS
 
@@ -84,3 +84,34 @@ def test_head_without_end_tag():
         assert texts_of(page) == ["Text"], page
     assert texts_of("<head><title>T</title> \n Bare &amp; text<p>Text") == ["Bare & text", "Text"]
     assert texts_of("<head><title>T</title>\n<script>s</script>\n</head>") == []
+
+
+def test_one_of_each_group_keeps_every_group(spark):
+    near = [f"w{i}" for i in range(60)]
+    rows = [
+        (None, "a unique text without an id"),
+        (None, "two copies both without an id"),
+        (None, "two copies both  without an id"),
+        (None, " ".join(near)),
+        (None, " ".join([*near[:-1], "other"])),
+        (None, None),
+        (None, ""),
+        (5, "one text of the id five"),
+        (5, "quite another text under the same id"),
+        (7, "a copy with and without id"),
+        (None, "a copy with and without id"),
+        (9, " ".join(f"v{i}" for i in range(60))),
+        (8, " ".join([*(f"v{i}" for i in range(59)), "z"])),
+        (1, ""),
+        (1, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, str(k), "") for k, (i, t) in enumerate(rows)], "doc_id long, text string, row string, piece string").repartition(4)
+    kept = near_duplicates.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    found = sorted(int(r["row"]) for r in kept.collect())
+    one_of = lambda *some: len(set(found) & set(some)) == 1
+    assert one_of(1, 2) and one_of(3, 4) and one_of(13, 14)
+    assert set(found) - {1, 2, 3, 4, 13, 14} == {0, 5, 6, 7, 8, 9, 12}
+    result = near_duplicates.near_duplicates(docs)
+    assert result.count() == len(rows)
+    assert sorted(r["n_links"] for r in result.where("doc_id is null").collect()) == [0] * 6 + [1] * 2
