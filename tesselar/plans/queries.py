@@ -200,7 +200,7 @@ def stratum_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rotate_item_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed_factors(spark, sf_dir, OFFSET)[1]
+    return _keyed_factors(_written_ratings(spark, sf_dir), OFFSET)[1]
 
 
 @query
