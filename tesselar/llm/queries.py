@@ -9,6 +9,7 @@ from tesselar.llm.packing import op4_best_fit_packing
 from tesselar.llm.quality_model import op8_quality
 from tesselar.llm.quality_rules import OP2_SQL, op2_quality_rules
 from tesselar.llm.quotations import OP5_SQL, op5_quotation_links
+from tesselar.llm.source_divergence import OP13_SQL, op13_source_divergence
 from tesselar.llm.token_files import op3_token_files
 from tesselar.llm.toxicity import op7_toxicity
 from tesselar.llm.url_lists import OP1_SQL, op1_url_lists
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontaminate": op10_decontaminate,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLE = {
     "op1_url_lists": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
     "op5_quotation_links": OP5_SQL,
     "op10_decontaminate": OP10_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
