@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tesselar.llm.collocations import OP12_SQL, op12_collocations
 from tesselar.llm.decontamination import OP10_SQL, op10_decontaminate
 from tesselar.llm.html_extraction import op9_html_extraction
 from tesselar.llm.near_duplicates import op6_ngram_join
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontaminate": op10_decontaminate,
+    "op12_collocations": op12_collocations,
     "op13_source_divergence": op13_source_divergence,
 }
 ORACLE = {
@@ -32,5 +34,7 @@ ORACLE = {
     "op2_quality_rules": OP2_SQL,
     "op5_quotation_links": OP5_SQL,
     "op10_decontaminate": OP10_SQL,
+    "op12_collocations": op12_collocations,
+    "op12_collocations": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
 }
