@@ -14,6 +14,7 @@ from tesselar.llm.source_divergence import OP13_SQL, op13_source_divergence
 from tesselar.llm.token_files import op3_token_files
 from tesselar.llm.toxicity import op7_toxicity
 from tesselar.llm.url_lists import OP1_SQL, op1_url_lists
+from tesselar.llm.vector_links import op11_vector_links
 
 QUERIES = {
     "op1_url_lists": op1_url_lists,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontaminate": op10_decontaminate,
+    "op11_vector_links": op11_vector_links,
     "op12_collocations": op12_collocations,
     "op13_source_divergence": op13_source_divergence,
 }
