@@ -19,62 +19,21 @@ def block_index(id_col: Column, max_id: Column | int, n: int, base: int = 0) ->
     return F.call_function("div", offset, block_width(max_id, n, base)).cast("int")
 
 
-def sub_block_index(
-    id_col: Column, max_id: Column | int, n: int, refine: int, base: int = 0
-) -> Column:
-    """Block of an id when each of the ``n`` blocks is cut into ``refine`` sub-blocks."""
-    if refine == 1:
-        return block_index(id_col, max_id, n, base)
-    offset = id_col if base == 0 else F.greatest(id_col - 1, F.lit(0))
-    width = block_width(max_id, n, base)
-    inside = F.call_function("div", F.pmod(offset, width) * refine, width)
-    return (F.call_function("div", offset, width) * refine + inside).cast("int")
-
-
 STRATA = "strata"
 ROW_MAJOR = "row_major"
 
 
-def turns(n: int, schedule: str = STRATA, refine: int = 1) -> int:
-    """Sub-epochs of an epoch."""
-    return {STRATA: n * (2 * refine - 1), ROW_MAJOR: 2 * n * refine - 1}[schedule]
-
-
-def _parent(sub_block: Column, refine: int) -> Column:
-    return F.call_function("div", sub_block, F.lit(refine))
-
-
-def turn(
-    row_block: Column, col_block: Column, n: int, schedule: str = STRATA, refine: int = 1
-) -> Column:
+def turn(row_block: Column, col_block: Column, n: int, schedule: str = STRATA) -> Column:
     """The sub-epoch of a block; blocks of one sub-epoch share no row block and no column block.
 
-    Strata are the wrapped diagonals of the ``n`` by ``n`` blocks. With ``refine`` above 1 the blocks given
-    are sub-blocks and those of a stratum take turns by anti-diagonals. The anti-diagonals give the same
-    result as visiting the blocks row by row: whatever shares a row or column with a block and precedes
-    it has an earlier turn.
+    Strata are the wrapped diagonals. The anti-diagonals of ``ROW_MAJOR`` give the same result as visiting the blocks
+    row by row: whatever shares a row or column with a block and precedes it has an earlier turn.
     """
     if schedule == ROW_MAJOR:
         return (row_block + col_block).cast("int")
-    if refine == 1:
-        return F.pmod(col_block - row_block, F.lit(n)).cast("int")
-    stratum = F.pmod(_parent(col_block, refine) - _parent(row_block, refine), F.lit(n))
-    diagonal = F.pmod(row_block, F.lit(refine)) + F.pmod(col_block, F.lit(refine))
-    return (stratum * (2 * refine - 1) + diagonal).cast("int")
-
+    return F.pmod(col_block - row_block, F.lit(n)).cast("int")
 
-def meeting_row_block(
-    col_block: Column, offset: int, n: int, schedule: str = STRATA, refine: int = 1
-) -> Column:
-    """The row block that column block ``col_block`` meets in sub-epoch ``offset``.
 
-    One that meets none is sent to a row block that meets none either.
-    """
-    if schedule == ROW_MAJOR:
-        return F.pmod(F.lit(offset) - col_block, F.lit(n * refine)).cast("int")
-    if refine == 1:
-        return F.pmod(col_block - F.lit(offset), F.lit(n)).cast("int")
-    stratum, diagonal = divmod(offset, 2 * refine - 1)
-    row = F.pmod(_parent(col_block, refine) - F.lit(stratum), F.lit(n))
-    inside = F.pmod(F.lit(diagonal) - F.pmod(col_block, F.lit(refine)), F.lit(refine))
-    return (row * refine + inside).cast("int")
+def meeting_row_block(col_block: Column, offset: int, n: int) -> Column:
+    """The row block that column block ``col_block`` meets in stratum ``offset``."""
+    return F.pmod(col_block - F.lit(offset), F.lit(n)).cast("int")

@@ -1,198 +1,350 @@
-"""Stratified distributed SGD on the block grid.
+"""Stratified distributed SGD on stored blocks.
 
-The blocks of one stratum share no user and no item, so they are updated in parallel, one task per
-block. Inside a block the samples are taken in ``(i, j, r)`` order. Samples that share neither
-user nor item do not affect each other, so each sample gets a level, one more than the last
-level of its user and of its item; the samples of a level are updated together with the same result
-as one by one. Levels depend on the ratings only and are stored with them, once per training.
+Ratings are stored once, in folders by turn and buckets by row strip, with the levels of their samples. Factors are
+stored in buckets too: a user vector in the bucket of its row strip, an item vector in that of the row strip it meets
+in the next turn. A turn reads both bucket by bucket, updates every sub-block in one task and writes the factors to
+the buckets of the turn after: nothing is shuffled, and only item vectors change their bucket.
 
-Tasks read their block as a stream of Arrow batches: the block's factor rows first, then its
-samples. Only the factor rows are held in memory, whatever the number of samples.
+The sub-blocks of one turn share no user and no item. Inside one the samples are taken in a given order. Samples that
+share neither user nor item do not affect each other, so each sample gets a level, one more than the last level of its
+user and of its item; the samples of a level are updated together with the same result as one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tesselar.functions.grid import meeting_row_block
-from tesselar.operators.grid import Grid, assign_blocks, select_stratum
+from tesselar.operators.cuts import Cuts
+from tesselar.operators.skew import ROWS_PER_TASK
+from tesselar.workspace import BucketedTable, drop_table, new_path, write_buckets
 
-LAYOUT_SCHEMA = "s INT, rb INT, cb INT, lvl LONG, i LONG, j LONG, r DOUBLE"
-FACTOR_SCHEMA = "role STRING, id LONG, vec ARRAY<DOUBLE>"
-BATCH_ROWS = 10_000
-# Factor rows come before the samples, whose levels start at 1.
-USER_ROW, ITEM_ROW = -1, 0
+IN_ORDER = ("i", "j", "r")
+LAYOUT_SCHEMA = "s INT, bk INT, rs INT, cs INT, lvl LONG, i LONG, j LONG, r DOUBLE"
+FACTOR_SCHEMA = "role STRING, id LONG, vec ARRAY<DOUBLE>, key INT, bk INT"
+#: Rows of this role carry the error of a block: its number and (squared error, samples).
+ERROR = "E"
+#: A frontier of fewer samples is not worth an array operation.
+NARROW = 48
 
 
-def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the level to rows sorted by block, then by the order of the samples."""
-    block = None
+def sample_levels(users: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """The level of every sample of a block, given in order: 1 + the larger level of the samples before it with its
+    user or item.
+
+    The samples without an unlevelled one before them are peeled off together, as long as there are many; the rest is
+    walked through in order.
+    """
+    n = len(users)
+    waits, after = np.zeros(n, np.int8), []
+    for ids in (users, items):
+        order = np.argsort(ids, kind="stable")
+        same = ids[order[1:]] == ids[order[:-1]]
+        next_one = np.full(n, -1)
+        next_one[order[:-1][same]] = order[1:][same]
+        waits[order[1:][same]] += 1
+        after.append(next_one)
+    levels = np.zeros(n, np.int64)
+    frontier, level = np.flatnonzero(waits == 0), 0
+    while len(frontier) >= NARROW:
+        level += 1
+        levels[frontier] = level
+        freed = np.concatenate([next_one[frontier] for next_one in after])
+        freed = freed[freed >= 0]
+        # At most two in the frontier wait for one sample: once as its user, once as its item.
+        np.subtract.at(waits, freed, 1)
+        frontier = np.unique(freed[waits[freed] == 0])
+    rest = np.flatnonzero(levels == 0)
+    if len(rest):
+        _walk(users, items, levels, rest)
+    return levels
+
+
+def _walk(users: np.ndarray, items: np.ndarray, levels: np.ndarray, rest: np.ndarray) -> None:
+    last: tuple[dict[int, int], dict[int, int]] = ({}, {})
+    done = np.flatnonzero(levels)
+    for ids, found in zip((users, items), last, strict=True):
+        # The last levelled sample of an id has its largest level.
+        unique, place = np.unique(ids[done][::-1], return_index=True)
+        found.update(zip(unique.tolist(), levels[done][::-1][place].tolist(), strict=True))
+    user_level, item_level = last
+    walked = []
+    for user, item in zip(users[rest].tolist(), items[rest].tolist(), strict=True):
+        level = 1 + max(user_level.get(user, 0), item_level.get(item, 0))
+        user_level[user] = item_level[item] = level
+        walked.append(level)
+    levels[rest] = walked
+
+
+def _sub_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (rs, cs) from a partition sorted by them."""
+    parts: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        turns, row_blocks = (batch.column(name).to_numpy() for name in ("s", "rb"))
-        users, items = (batch.column(name).to_numpy().tolist() for name in ("i", "j"))
-        changes = np.flatnonzero(np.diff(turns) | np.diff(row_blocks)) + 1
-        levels = []
-        for start, end in pairwise([0, *changes.tolist(), len(users)]):
-            if (turns[start], row_blocks[start]) != block:
-                block, user_level, item_level = (turns[start], row_blocks[start]), {}, {}
-            for user, item in zip(users[start:end], items[start:end]):
-                level = 1 + max(user_level.get(user, 0), item_level.get(item, 0))
-                user_level[user] = item_level[item] = level
-                levels.append(level)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(levels, pa.int64()), *batch.columns[3:]],
-            ["s", "rb", "cb", "lvl", "i", "j", "r"],
-        )
+        rows, cols = batch.column("rs").to_numpy(), batch.column("cs").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(rows) | np.diff(cols)) + 1).tolist(), len(rows)]
+        for start, end in pairwise(edges):
+            if start == end:
+                continue
+            if parts and (rows[start], cols[start]) != last:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            last = (rows[start], cols[start])
+            parts.append(batch.slice(start, end - start))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [field.split()[0] for field in LAYOUT_SCHEMA.split(", ")]
+    for block in _sub_blocks(batches):
+        levels = sample_levels(block.column("i").to_numpy(), block.column("j").to_numpy())
+        yield from block.append_column("lvl", pa.array(levels)).select(names).to_batches()
+
+
+def bucket_keys(spark: SparkSession, n: int) -> tuple[int, ...]:
+    """For each of ``n`` buckets a number that Spark's bucketing puts there."""
+    found: dict[int, int] = {}
+    tried = 16 * n
+    while len(found) < n:
+        number = F.col("id").cast("int")
+        keys = spark.range(tried).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("bucket")).agg(F.min(number).alias("number"))
+        found = {row["bucket"]: row["number"] for row in keys.collect()}
+        tried *= 2
+    return tuple(found[bucket] for bucket in range(n))
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Stored samples: ``s`` (turn), ``bk`` (bucket key of the row strip), strips, level, ``i``, ``j``, ``r``."""
+
+    table: BucketedTable
+    cuts: Cuts
+    keys: tuple[int, ...]
+
+    @property
+    def buckets(self) -> int:
+        return len(self.keys)
+
+    @property
+    def samples(self) -> DataFrame:
+        return self.table.read()
+
+    def turn(self, turn: int) -> DataFrame:
+        return self.samples.where(F.col("s") == turn)
+
+    def drop(self) -> None:
+        """Take the table's name out of the catalog; its files stay."""
+        drop_table(self.table)
+
+
+def _placed(cuts: Cuts, keys: tuple[int, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = cuts.strip(cuts.rows, batch.column("i").to_numpy())
+            col = cuts.strip(cuts.cols, batch.column("j").to_numpy())
+            added = {"s": cuts.turn(row, col), "bk": np.array(keys)[row], "rs": row, "cs": col}
+            columns = [pa.array(values.astype(np.int32)) for values in added.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
+
+    return run
 
 
 def block_layout(
-    ratings: DataFrame, grid: Grid, order: tuple[str, ...] = ("i", "j", "r")
-) -> DataFrame:
-    """Ratings with block, sub-epoch and level. Rows of a block pass through one task as a stream.
+    ratings: DataFrame, cuts: Cuts, order: tuple[str, ...] = IN_ORDER, rows_per_block: int = ROWS_PER_TASK
+) -> Layout:
+    """Store the ratings by sub-block; one shuffle of the ratings, whose tasks follow their number.
 
-    ``order`` names the columns that order the samples of a block, such as a line number.
+    ``order`` names the columns that order the samples of a block, such as a line number. A null id or rating raises.
     """
-    columns = ["s", "rb", "cb", "i", "j", "r"]
-    blocked = assign_blocks(ratings, grid.n, grid=grid).select(
-        *columns, *[name for name in order if name not in columns]
-    )
-    if grid.refine > 1 and tuple(order) != ("i", "j", "r"):
-        raise ValueError("sub-blocks keep the result only for samples in (i, j, r) order")
-    # One task per block: of a row block's blocks each has another column block.
-    parts = grid.side * grid.side
-    part = (F.col("rb").cast("long") * grid.side + F.col("cb")).cast("int")
-    by_block = blocked.repartitionById(parts, part)
-    in_order = by_block.sortWithinPartitions("s", "rb", *order).select(*columns)
-    return in_order.mapInArrow(_add_levels, LAYOUT_SCHEMA)
-
-
-def _block_kernel(eta: float, update: str):
-    sequential = update == "sequential"
-
-    class Side:
-        """The factor rows of one role in a block, looked up by id."""
-
-        def __init__(self, role: str):
-            self.role, self.ids, self.rows = role, [], []
-
-        def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
-            self.ids.append(ids)
-            self.rows.append(rows)
-
-        def seal(self) -> None:
-            ids = np.concatenate(self.ids) if self.ids else np.empty(0, np.int64)
-            rows = np.concatenate(self.rows) if self.rows else np.empty((0, 0))
-            order = np.argsort(ids, kind="stable")
-            self.ids, self.rows = ids[order], rows[order]
-
-        def index(self, ids: np.ndarray) -> np.ndarray:
-            found = np.searchsorted(self.ids, ids)
-            known = found < len(self.ids)
-            known[known] = self.ids[found[known]] == ids[known]
-            if not known.all():
-                raise ValueError(f"no {self.role} vector for id {ids[~known][0]}")
-            return found
-
-        def batches(self) -> Iterator[pa.RecordBatch]:
-            for start in range(0, len(self.ids), BATCH_ROWS):
-                ids, rows = self.ids[start : start + BATCH_ROWS], self.rows[start : start + BATCH_ROWS]
-                ends = np.arange(len(ids) + 1, dtype=np.int32) * rows.shape[1]
-                vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
-                roles = pa.array([self.role] * len(ids), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [roles, pa.array(ids), vectors], ["role", "id", "vec"]
-                )
-
-    def learn(w: Side, h: Side, samples: pa.RecordBatch) -> None:
-        users = w.index(samples.column("i").to_numpy())
-        items = h.index(samples.column("j").to_numpy())
-        ratings = samples.column("r").to_numpy()
-        levels = samples.column("lvl").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(levels)) + 1).tolist(), len(levels)]
-        for start, end in pairwise(cuts):
-            a, b = users[start:end], items[start:end]
-            w_old, h_old = w.rows[a], h.rows[b]
-            step = ratings[start:end] - np.einsum("nk,nk->n", w_old, h_old)
-            step = (2.0 * eta * step)[:, None]
-            w_new = w_old + step * h_old
-            w.rows[a] = w_new
-            h.rows[b] = h_old + step * (w_new if sequential else w_old)
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, h = Side("W"), Side("H")
-        sealed = False
+    spark = ratings.sparkSession
+    if tuple(order) != IN_ORDER and cuts != Cuts.whole_blocks(cuts.grid):
+        raise ValueError("cut blocks keep the result only for samples in (i, j, r) order")
+    keys = bucket_keys(spark, len(cuts.rows))
+    wanted = [*IN_ORDER, *[name for name in order if name not in IN_ORDER]]
+    complete = F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("r").isNotNull()
+    checked = F.when(complete, F.col("i")).otherwise(F.raise_error(F.lit("a rating without user, item or value")).cast("long"))
+    rows = ratings.select(*wanted).withColumn("i", checked)
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs")]])
+    placed = rows.mapInArrow(_placed(cuts, keys), schema)
+    # Sub-blocks in as many tasks as the rows need, but no more than there are sub-blocks.
+    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(len(cuts.rows) * len(cuts.cols), max(at_least, -(-ratings.count() // rows_per_block)))
+    part = F.pmod(F.col("rs").cast("long") * len(cuts.cols) + F.col("cs"), F.lit(tasks)).cast("int")
+    by_block = placed.repartitionById(tasks, part).sortWithinPartitions("rs", "cs", *order)
+    levelled = by_block.mapInArrow(_add_levels, LAYOUT_SCHEMA)
+    table = write_buckets(levelled, new_path(spark, "layout"), len(keys), "bk", partition_by="s", sort_by="lvl")
+    return Layout(table, cuts, keys)
+
+
+def _stored_vectors(ids: np.ndarray, rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(ids) + 1, dtype=np.int32) * (rows.shape[1] if len(ids) else 0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel(), pa.float64()))
+
+
+class _Side:
+    """The factor rows of one role in a bucket, looked up by id."""
+
+    def __init__(self, role: str, stored: pa.Table):
+        self.role = role
+        mine = stored.filter(pc.equal(stored.column("role"), role)).combine_chunks()
+        ids = mine.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        vectors = mine.column("vec").combine_chunks()
+        values = vectors.flatten().to_numpy(zero_copy_only=False)
+        self.ids = ids[order]
+        self.rows = values.reshape(len(ids), -1 if len(ids) else 0)[order]
+
+    def index(self, ids: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(self.ids, ids)
+        known = found < len(self.ids)
+        known[known] = self.ids[found[known]] == ids[known]
+        if not known.all():
+            raise ValueError(f"no {self.role} vector for id {ids[~known][0]}")
+        return found
+
+
+def _learn(w: _Side, h: _Side, samples: pa.Table, eta: float, sequential: bool) -> None:
+    levels = samples.column("lvl").to_numpy()
+    # Stored by level; a reader that mixes files may not keep that.
+    order = None if (levels[1:] >= levels[:-1]).all() else np.argsort(levels, kind="stable")
+    columns = [samples.column(name).to_numpy() for name in ("i", "j", "r", "lvl")]
+    ids, other, ratings, levels = columns if order is None else [column[order] for column in columns]
+    users, items = w.index(ids), h.index(other)
+    cuts = [0, *(np.flatnonzero(np.diff(levels)) + 1).tolist(), len(levels)]
+    for start, end in pairwise(cuts):
+        a, b = users[start:end], items[start:end]
+        w_old, h_old = w.rows[a], h.rows[b]
+        step = ratings[start:end] - np.einsum("nk,nk->n", w_old, h_old)
+        step = (2.0 * eta * step)[:, None]
+        w_new = w_old + step * h_old
+        w.rows[a] = w_new
+        h.rows[b] = h_old + step * (w_new if sequential else w_old)
+
+
+def _error(w: _Side, h: _Side, samples: pa.Table) -> tuple[float, int]:
+    users, items = w.index(samples.column("i").to_numpy()), h.index(samples.column("j").to_numpy())
+    ratings, total = samples.column("r").to_numpy(), 0.0
+    for start in range(0, len(users), 1 << 16):
+        part = slice(start, start + (1 << 16))
+        difference = ratings[part] - np.einsum("nk,nk->n", w.rows[users[part]], h.rows[items[part]])
+        total += float(difference @ difference)
+    return total, len(users)
+
+
+def _turn_kernel(layout: Layout, turn: int, work: str, eta: float = 0.0, sequential: bool = False):
+    """Learn the samples of a bucket, or measure their error, and send every factor row to its next bucket."""
+    cuts, keys = layout.cuts, np.array(layout.keys)
+    following = cuts.met_by((turn + 1) % cuts.turns)
+
+    def run(samples: pa.Table, stored: pa.Table) -> pa.Table:
+        w, h = _Side("W", stored), _Side("H", stored)
+        parts = []
+        if samples.num_rows and work == "learn":
+            _learn(w, h, samples, eta, sequential)
+        elif samples.num_rows:
+            block = int(cuts.row_blocks[samples.column("rs")[0].as_py()]) * cuts.grid.n + int(cuts.col_blocks[samples.column("cs")[0].as_py()])
+            error, n = _error(w, h, samples)
+            strip = samples.column("rs")[0].as_py()
+            parts.append(_factor_table(ERROR, np.array([block]), np.array([[error, n]]), np.array([strip]), keys))
+        if work == "measure":
+            # Errors of earlier turns.
+            parts.append(stored.filter(pc.equal(stored.column("role"), ERROR)).select(["role", "id", "vec", "key", "bk"]))
+        parts.append(_factor_table("W", w.ids, w.rows, cuts.strip(cuts.rows, w.ids), keys))
+        parts.append(_factor_table("H", h.ids, h.rows, following[cuts.strip(cuts.cols, h.ids)], keys))
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def _factor_table(role: str, ids: np.ndarray, rows: np.ndarray, strips: np.ndarray, keys: np.ndarray) -> pa.Table:
+    columns = {
+        "role": pa.array([role] * len(ids), pa.string()),
+        "id": pa.array(ids.astype(np.int64)),
+        "vec": _stored_vectors(ids, rows),
+        "key": pa.array(strips.astype(np.int32)),
+        "bk": pa.array(keys[strips].astype(np.int32)),
+    }
+    return pa.table(columns)
+
+
+def place_factors(factors: DataFrame, layout: Layout, turn: int = 0) -> DataFrame:
+    """Factor rows with the row strip (``key``) and the bucket where they are needed in ``turn``. No shuffle."""
+    cuts, keys = layout.cuts, np.array(layout.keys)
+    met = cuts.met_by(turn)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            levels = batch.column("lvl").to_numpy()
-            first_item, first_sample = np.searchsorted(levels, [ITEM_ROW, 1]).tolist()
-            for side, axis, start, end in (
-                (w, "i", 0, first_item),
-                (h, "j", first_item, first_sample),
-            ):
-                if start < end:
-                    part = batch.slice(start, end - start)
-                    values = part.column("vec").flatten().to_numpy(zero_copy_only=False)
-                    side.add(part.column(axis).to_numpy(), values.reshape(end - start, -1).copy())
-            if first_sample < len(levels):
-                if not sealed:
-                    w.seal(), h.seal()
-                    sealed = True
-                learn(w, h, batch.slice(first_sample))
-        if not sealed:
-            w.seal(), h.seal()
-        yield from w.batches()
-        yield from h.batches()
-
-    return kernel
-
-
-def regroup_factors(factors: DataFrame, offset: int, grid: Grid) -> DataFrame:
-    """Key every factor row by the row block it takes part in at sub-epoch ``offset``."""
-    item_block = grid.col_block(F.col("id"))
-    home = meeting_row_block(item_block, offset, grid.n, grid.schedule, grid.refine)
-    is_user = F.col("role") == "W"
-    return factors.withColumn("key", F.when(is_user, grid.row_block(F.col("id"))).otherwise(home))
-
-
-def dsgd_update(
-    layout: DataFrame,
-    factors: DataFrame,
-    offset: int,
-    grid: Grid,
-    eta: float,
-    update: str = "simultaneous",
-) -> DataFrame:
-    """One sub-epoch: update the factors on the blocks whose turn is ``offset``.
-
-    ``layout`` comes from ``block_layout``. With ``update="sequential"`` an item's step uses the
-    user row that was just updated. Factors of blocks without samples pass through.
+            ids = batch.column("id").to_numpy()
+            user = pc.equal(batch.column("role"), "W").to_numpy(zero_copy_only=False)
+            strips = np.where(user, cuts.strip(cuts.rows, ids), met[cuts.strip(cuts.cols, ids)])
+            added = [pa.array(strips.astype(np.int32)), pa.array(keys[strips].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], ["role", "id", "vec", "key", "bk"])
+
+    return factors.select("role", F.col("id").cast("long").alias("id"), "vec").mapInArrow(run, FACTOR_SCHEMA)
+
+
+class FactorStore:
+    """Factors in the buckets of a layout: two tables, written in turn, so a lost executor repeats one turn at most."""
+
+    def __init__(self, layout: Layout, factors: DataFrame, turn: int = 0):
+        self.layout, self.spark = layout, factors.sparkSession
+        self.paths = [new_path(self.spark, "factors") for _ in range(2)]
+        self.tables: list[BucketedTable | None] = [None, None]
+        self.current = 1
+        self.write(place_factors(factors, layout, turn))
+
+    def write(self, placed: DataFrame) -> None:
+        at = 1 - self.current
+        old, self.tables[at] = self.tables[at], None
+        if old is not None:
+            drop_table(old)
+        self.tables[at] = write_buckets(placed, self.paths[at], self.layout.buckets, "bk", mode="overwrite")
+        self.current = at
+
+    def read(self) -> DataFrame:
+        return self.tables[self.current].read()
+
+    def drop(self) -> None:
+        """Take the names of both tables out of the catalog; the files stay."""
+        for table in self.tables:
+            if table is not None:
+                drop_table(table)
+
+    def files(self) -> DataFrame:
+        """The current rows from their files, also once the tables are dropped."""
+        return self.tables[self.current].files()
+
+    def model(self) -> DataFrame:
+        return self.files().where(F.col("role") != ERROR).select("role", "id", "vec")
+
+
+def _in_buckets(layout: Layout, turn: int, stored: DataFrame, kernel, columns: list[str]) -> DataFrame:
+    samples = layout.turn(turn).select("bk", *columns)
+    return samples.groupBy("bk").cogroup(stored.groupBy("bk")).applyInArrow(kernel, FACTOR_SCHEMA)
+
+
+def dsgd_update(layout: Layout, stored: DataFrame, turn: int, eta: float, update: str = "simultaneous") -> DataFrame:
+    """One turn: the factors after learning the sub-blocks of ``turn``, placed for the turn after.
+
+    ``stored`` is what ``place_factors``, a ``FactorStore`` or the turn before returned. With ``update="sequential"``
+    an item's step uses the user row that was just updated. Factors of blocks without samples pass through.
     """
     if update not in ("simultaneous", "sequential"):
         raise ValueError(f"unknown update rule {update!r}")
-    is_user = F.col("role") == "W"
-    factor_rows = regroup_factors(factors, offset, grid).select(
-        F.col("key").alias("blk"),
-        F.when(is_user, USER_ROW).otherwise(ITEM_ROW).cast("long").alias("lvl"),
-        F.when(is_user, F.col("id")).alias("i"),
-        F.when(~is_user, F.col("id")).alias("j"),
-        F.lit(None).cast("double").alias("r"),
-        "vec",
-    )
-    samples = select_stratum(layout, offset).select(
-        F.col("rb").alias("blk"),
-        "lvl",
-        "i",
-        "j",
-        "r",
-        # Empty, not null: writing runs of null lists to Arrow takes quadratic time.
-        F.array().cast("array<double>").alias("vec"),
-    )
-    # Block b goes to partition b, so no two blocks share a task.
-    by_block = factor_rows.unionAll(samples).repartitionById(grid.side, "blk")
-    in_order = by_block.sortWithinPartitions("lvl")
-    return in_order.drop("blk").mapInArrow(_block_kernel(eta, update), FACTOR_SCHEMA)
+    kernel = _turn_kernel(layout, turn, "learn", eta, update == "sequential")
+    return _in_buckets(layout, turn, stored, kernel, ["lvl", "i", "j", "r"])
+
+
+def turn_error(layout: Layout, stored: DataFrame, turn: int) -> DataFrame:
+    """The factors, unchanged but placed for the turn after, and a row of role ``E`` for every sub-block of ``turn``."""
+    kernel = _turn_kernel(layout, turn, "measure")
+    return _in_buckets(layout, turn, stored, kernel, ["rs", "cs", "i", "j", "r"])

@@ -8,9 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesselar.functions.vectors import dot
+from tesselar.operators.cuts import fitting_cuts, id_counts
+from tesselar.operators.dsgd import ERROR, FactorStore, block_layout, turn_error
 from tesselar.operators.factors import rating_sides
+from tesselar.operators.grid import Grid, measured_grid
 from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, skew_join
 
+#: Blocks per side for an error that is not part of a training.
+BLOCKS = 8
+
 
 @dataclass(frozen=True)
 class RatingSkew:
@@ -63,28 +69,45 @@ def predict(joined: DataFrame, rank: int | None = None) -> DataFrame:
     return joined.withColumn("prediction", dot("w", "h", rank))
 
 
-def _errors(
-    ratings: DataFrame, factors: DataFrame, rank: int | None, skew: RatingSkew | None
-) -> DataFrame:
-    predicted = predict(rating_factor_join(ratings, factors, skew), rank)
-    difference = F.col("r") - F.col("prediction")
-    return predicted.withColumn("error", difference * difference)
+def stored_block_error(store: FactorStore) -> DataFrame:
+    """Squared error and sample count of every (row block, column block) that has samples.
+
+    Item vectors pass through the turns of the layout, each bucket adds up its sub-block, and one row per sub-block
+    remains: no vector is shuffled. The store must be placed for turn 0 and is so again afterwards.
+    """
+    layout = store.layout
+    for turn in range(layout.cuts.turns):
+        store.write(turn_error(layout, store.read(), turn))
+    number, n = F.col("id"), F.lit(layout.cuts.grid.n)
+    found = store.files().where(F.col("role") == ERROR).select(
+        F.call_function("div", number, n).cast("int").alias("rb"),
+        F.pmod(number, n).cast("int").alias("cb"),
+        F.col("vec")[0].alias("squared_error"),
+        F.col("vec")[1].cast("long").alias("n"),
+    )
+    return found.groupBy("rb", "cb").agg(F.sum("squared_error").alias("squared_error"), F.sum("n").alias("n"))
 
 
-def block_error(
-    blocked: DataFrame, factors: DataFrame, rank: int | None = None, skew: RatingSkew | None = None
-) -> DataFrame:
-    """Squared error and sample count of every (row block, column block)."""
-    return _errors(blocked, factors, rank, skew).groupBy("rb", "cb").agg(
-        F.sum("error").alias("squared_error"), F.count("*").alias("n")
-    )
+def block_error(ratings: DataFrame, factors: DataFrame, grid: Grid, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+    """Squared error and sample count of every (row block, column block). A missing vector raises.
 
+    Samples and vectors are stored in the buckets of the grid first, hot ids in strips of about ``rows_per_block``.
+    """
+    cuts = fitting_cuts(grid, id_counts(ratings), rows_per_block)
+    layout = block_layout(ratings, cuts, rows_per_block=rows_per_block)
+    store = FactorStore(layout, factors)
+    errors = stored_block_error(store)
+    store.drop()
+    layout.drop()
+    return errors
 
-def model_error(
-    ratings: DataFrame, factors: DataFrame, rank: int | None = None, skew: RatingSkew | None = None
-) -> DataFrame:
-    """Squared error, sample count and RMSE over all ratings."""
-    total = _errors(ratings, factors, rank, skew).agg(
-        F.sum("error").alias("squared_error"), F.count("*").alias("n")
-    )
+
+def total_error(errors: DataFrame) -> DataFrame:
+    """Squared error, sample count and RMSE over all blocks."""
+    total = errors.agg(F.sum("squared_error").alias("squared_error"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     return total.withColumn("rmse", F.sqrt(F.col("squared_error") / F.col("n")))
+
+
+def model_error(ratings: DataFrame, factors: DataFrame, blocks: int = BLOCKS, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+    """Squared error, sample count and RMSE over all ratings."""
+    return total_error(block_error(ratings, factors, measured_grid(ratings, blocks), rows_per_block))

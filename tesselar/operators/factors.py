@@ -42,11 +42,9 @@ def dense_ids(ratings: DataFrame) -> DataFrame:
     return roles[0].unionAll(roles[1])
 
 
-def fill_missing_factors(
-    factors: DataFrame, ratings: DataFrame, rank: int, seed: int
-) -> DataFrame:
-    """Give a fresh start vector to every rated id that has none."""
-    missing = observed_ids(ratings).join(factors.select("role", "id"), ["role", "id"], "left_anti")
+def fill_missing_factors(factors: DataFrame, ids: DataFrame, rank: int, seed: int) -> DataFrame:
+    """Give a fresh start vector to every ``(role, id)`` of ``ids`` that has none; each is there once."""
+    missing = ids.join(factors.select("role", "id"), ["role", "id"], "left_anti")
     return factors.unionByName(init_factors(missing, rank, seed))
 
 

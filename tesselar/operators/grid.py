@@ -7,38 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselar.functions.grid import STRATA, meeting_row_block, sub_block_index, turn, turns
+from tesselar.functions.grid import STRATA, block_index, meeting_row_block, turn
 
 
 @dataclass(frozen=True)
 class Grid:
-    """``n`` by ``n`` blocks over ids up to ``max_i`` and ``max_j``.
-
-    ``n`` decides in which order samples are learned. ``refine`` cuts every block into ``refine`` by ``refine``
-    sub-blocks of task size and, with samples in ``(i, j, r)`` order, changes no result.
-    """
+    """``n`` by ``n`` blocks over ids up to ``max_i`` and ``max_j``; ``n`` decides in which order samples are learned."""
 
     n: int
     max_i: int | Column
     max_j: int | Column
     base: int = 0
     schedule: str = STRATA
-    refine: int = 1
-
-    @property
-    def side(self) -> int:
-        """Sub-blocks per side."""
-        return self.n * self.refine
-
-    @property
-    def turns(self) -> int:
-        return turns(self.n, self.schedule, self.refine)
 
     def row_block(self, id_col: Column) -> Column:
-        return sub_block_index(id_col, self.max_i, self.n, self.refine, self.base)
+        return block_index(id_col, self.max_i, self.n, self.base)
 
     def col_block(self, id_col: Column) -> Column:
-        return sub_block_index(id_col, self.max_j, self.n, self.refine, self.base)
+        return block_index(id_col, self.max_j, self.n, self.base)
 
 
 def matrix_extent(ratings: DataFrame) -> DataFrame:
@@ -46,11 +32,9 @@ def matrix_extent(ratings: DataFrame) -> DataFrame:
     return ratings.agg(F.max("i").alias("max_i"), F.max("j").alias("max_j"))
 
 
-def measured_grid(
-    ratings: DataFrame, n: int, base: int = 0, schedule: str = STRATA, refine: int = 1
-) -> Grid:
+def measured_grid(ratings: DataFrame, n: int, base: int = 0, schedule: str = STRATA) -> Grid:
     extent = matrix_extent(ratings).first()
-    return Grid(n, extent["max_i"] or 0, extent["max_j"] or 0, base, schedule, refine)
+    return Grid(n, extent["max_i"] or 0, extent["max_j"] or 0, base, schedule)
 
 
 def distinct_entities(ratings: DataFrame, axis: str) -> DataFrame:
@@ -66,7 +50,7 @@ def assign_blocks(ratings: DataFrame, n: int, base: int = 0, grid: Grid | None =
     blocked = ratings.withColumns(
         {"rb": grid.row_block(F.col("i")), "cb": grid.col_block(F.col("j"))}
     )
-    return blocked.withColumn("s", turn(F.col("rb"), F.col("cb"), grid.n, grid.schedule, grid.refine))
+    return blocked.withColumn("s", turn(F.col("rb"), F.col("cb"), grid.n, grid.schedule))
 
 
 def select_stratum(blocked: DataFrame, offset: int) -> DataFrame:

@@ -220,10 +220,10 @@ SELECT seq, ip, CAST(CASE WHEN regexp_matches(ip, '^{IPV4}$') OR regexp_matches(
 FROM plain"""
 
 
-def _vector_rows(source: str) -> str:
+def _vector_rows(source: str, digits: int = 9, table: str = "factors") -> str:
     return (
-        f"WITH {source} SELECT role, id, CAST(k AS INTEGER) AS k, round(vec[k + 1], 9) AS value "
-        f"FROM factors, range({RANK}) AS positions(k)"
+        f"WITH {source} SELECT role, id, CAST(k AS INTEGER) AS k, round(vec[k + 1], {digits}) AS value "
+        f"FROM {table}, range({RANK}) AS positions(k)"
     )
 
 
@@ -272,11 +272,11 @@ def _model(name: str, last_step: str, w_used: str = "w") -> str:
 
 
 def _learned(
-    chosen: str, epochs: int, w_used: str = "w", eta: float = 0.015, turn: str = "s"
+    chosen: str, epochs: int, w_used: str = "w", eta: float = 0.015, turn: str = "s", more: str = ""
 ) -> str:
     return (
         f"WITH RECURSIVE {_steps(chosen, epochs, eta, turn)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
-        "SELECT role, id, round(list_dot_product(vec, vec), 6) AS squared_norm FROM model"
+        f"SELECT role, id, {more}CAST(k AS INTEGER) AS k, round(vec[k + 1], 6) AS value FROM model, range({RANK}) AS positions(k)"
     )
 
 
@@ -354,7 +354,8 @@ tagged AS (SELECT rb AS key, 'z' AS side FROM blocked WHERE s = {OFFSET}
 SELECT key, count(*) FILTER (side = 'z') AS samples, count(*) FILTER (side = 'w') AS w_rows,
        count(*) FILTER (side = 'h') AS h_rows FROM tagged GROUP BY key""",
     "rating_factor_join": f"""WITH {RATINGS}, {FACTORS}, {JOINED.format(side='ratings')}
-SELECT i, j, r, round(w[1], 6) AS w_first, round(h[{RANK}], 6) AS h_last FROM joined""",
+SELECT i, j, r, CAST(k AS INTEGER) AS k, round(w[k + 1], 6) AS w, round(h[k + 1], 6) AS h
+FROM joined, range({RANK}) AS positions(k)""",
     "matrix_extent": f"WITH {RATINGS} SELECT max(i) AS max_i, max(j) AS max_j FROM ratings",
     "distinct_entities": f"WITH {RATINGS}, {IDS} SELECT role, id FROM ids",
     "block_sizes": f"WITH {BLOCKED} SELECT rb, cb, count(*) AS samples FROM blocked GROUP BY rb, cb",
@@ -411,25 +412,26 @@ asked AS (
          row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS k
   FROM events WHERE event_type IN ('view', 'click', 'purchase'))
 SELECT balancer, slot, seq, ip FROM asked JOIN slots USING (balancer) WHERE slot = k % n""",
-    "factors_sorted": f"""WITH {RATINGS}, {FACTORS}
-SELECT role, id, round(vec[1], 6) AS first_value FROM factors WHERE role = 'H' ORDER BY id""",
-    "factors_head": f"""WITH {RATINGS}, {FACTORS}
-SELECT role, id, round(vec[1], 6) AS first_value FROM factors WHERE role = 'W' ORDER BY id LIMIT 15""",
+    "factors_sorted": _vector_rows(f"{RATINGS}, {FACTORS}", 6),
+    "factors_head": _vector_rows(
+        f"{RATINGS}, {FACTORS}, heads AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY id) AS place FROM factors), "
+        "head AS (SELECT * FROM heads WHERE place <= 15)", 6, "head"
+    ),
     "init_factors": _vector_rows(f"{RATINGS}, {FACTORS}"),
     "init_factors_dense": _vector_rows(DENSE),
-    "fill_missing_factors": f"""WITH {RATINGS}, {IDS},
+    "fill_missing_factors": _vector_rows(f"""{RATINGS}, {IDS},
 known AS (SELECT DISTINCT 'W' AS role, i AS id FROM ratings WHERE r >= 5
-  UNION ALL SELECT DISTINCT 'H', j FROM ratings WHERE r >= 5)
-SELECT role, id, round(CASE WHEN k.id IS NULL THEN {_vec('role', SEED + 2)}[1] ELSE {_vec('role', SEED)}[1] END, 9) AS first_value
-FROM ids LEFT JOIN known k USING (role, id)""",
+  UNION ALL SELECT DISTINCT 'H', j FROM ratings WHERE r >= 5),
+factors AS (SELECT role, id, CASE WHEN k.id IS NULL THEN {_vec('role', SEED + 2)} ELSE {_vec('role', SEED)} END AS vec
+  FROM ids LEFT JOIN known k USING (role, id))"""),
     "dsgd_update": _learned(f"s = {OFFSET}", 1),
     "sgd_update_sequential": _learned(f"s = {OFFSET}", 1, "w_new"),
     "train_factors": _learned("true", 2),
     "train_row_major": _learned("true", 2, "w_new", 0.001, "rb + cb"),
-    "factor_regroup": f"""WITH {BLOCKED}
-SELECT DISTINCT 'W' AS role, i AS id, rb AS key FROM blocked
-UNION ALL
-SELECT DISTINCT 'H', j, CAST((cb - {OFFSET + 1} + {BLOCKS}) % {BLOCKS} AS INTEGER) FROM blocked""",
+    "factor_regroup": _learned(
+        f"s = {OFFSET}", 1, more=f"""CAST(CASE WHEN role = 'W' THEN id // (SELECT di FROM dims)
+  ELSE (id // (SELECT dj FROM dims) - {OFFSET + 1} + {BLOCKS}) % {BLOCKS} END AS INTEGER) AS key, """
+    ),
     "training_log": _log(2),
     "scaling_decisions": _scaling(),
     "policy_actions": _policy(),

@@ -8,7 +8,6 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselar.functions.vectors import dot
 from tesselar.operators import (
     alarms,
     dsgd,
@@ -20,9 +19,11 @@ from tesselar.operators import (
     membership,
     scaling,
 )
+from tesselar.operators.cuts import fitting_cuts, id_counts
+from tesselar.operators.skew import ROWS_PER_TASK
 from tesselar.plans import views
 from tesselar.plans.files import score_files as score_factor_files
-from tesselar.plans.train import TrainingParams, fitting_refinement, train_factors
+from tesselar.plans.train import TrainingParams, train_factors
 from tesselar.sources import factors as factor_files
 from tesselar.sources import logs
 from tesselar.sources import ratings as rating_files
@@ -273,8 +274,8 @@ def block_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rating_factor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _written_ratings(spark, sf_dir)
     joined = evaluate.rating_factor_join(ratings, _start_factors(ratings))
-    first, last = F.col("w")[0], F.col("h")[RANK - 1]
-    return joined.select("i", "j", "r", _rounded(first).alias("w_first"), _rounded(last).alias("h_last"))
+    both = joined.select("i", "j", "r", F.posexplode(F.arrays_zip("w", "h")).alias("k", "both"))
+    return both.select("i", "j", "r", "k", _rounded("both.w").alias("w"), _rounded("both.h").alias("h"))
 
 
 # Aggregations
@@ -297,15 +298,15 @@ def block_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def block_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocked = _blocked(spark, sf_dir)
-    errors = evaluate.block_error(blocked, _start_factors(blocked), RANK)
+    ratings = _written_ratings(spark, sf_dir)
+    errors = evaluate.block_error(ratings, _start_factors(ratings), grid.measured_grid(ratings, BLOCKS))
     return errors.withColumn("squared_error", _rounded("squared_error"))
 
 
 @query
 def model_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _written_ratings(spark, sf_dir)
-    error = evaluate.model_error(ratings, _start_factors(ratings), RANK)
+    error = evaluate.model_error(ratings, _start_factors(ratings), BLOCKS)
     return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
 
 
@@ -405,14 +406,17 @@ def round_robin_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def factors_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = factors.factors_sorted(_start_factors(views.ratings(spark, sf_dir)), "H")
-    return ordered.select("role", "id", _rounded(F.col("vec")[0]).alias("first_value"))
+    """Both roles, each in id order."""
+    start = materialize(_start_factors(views.ratings(spark, sf_dir)), "factors")
+    ordered = [_vector_rows(factors.factors_sorted(start, role)) for role in factors.AXES]
+    return ordered[0].unionAll(ordered[1])
 
 
 @query
 def factors_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = factors.factors_head(_start_factors(views.ratings(spark, sf_dir)), "W")
-    return head.select("role", "id", _rounded(F.col("vec")[0]).alias("first_value"))
+    start = materialize(_start_factors(views.ratings(spark, sf_dir)), "factors")
+    heads = [_vector_rows(factors.factors_head(start, role)) for role in factors.AXES]
+    return heads[0].unionAll(heads[1])
 
 
 # Factorization
@@ -421,17 +425,13 @@ def factors_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = _start_factors(views.ratings(spark, sf_dir))
-    return start.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
-        "value", _rounded("value", 9)
-    )
+    return _vector_rows(start, digits=9)
 
 
 @query
 def init_factors_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = factors.init_factors(factors.dense_ids(_written_ratings(spark, sf_dir)), RANK, SEED)
-    return start.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
-        "value", _rounded("value", 9)
-    )
+    return _vector_rows(start, digits=9)
 
 
 @query
@@ -439,77 +439,80 @@ def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users and items of the high ratings have vectors, all others get theirs from a new seed."""
     ratings = _written_ratings(spark, sf_dir)
     known = _start_factors(ratings.filter(F.col("r") >= 5))
-    filled = factors.fill_missing_factors(known, ratings, RANK, SEED + 2)
-    return filled.select("role", "id", _rounded(F.col("vec")[0], 9).alias("first_value"))
+    filled = factors.fill_missing_factors(known, factors.observed_ids(ratings), RANK, SEED + 2)
+    return _vector_rows(filled, digits=9)
 
 
-def _one_sub_epoch(
-    spark: SparkSession, sf_dir: str, update: str, refine: int | None = None
-) -> tuple[grid.Grid, DataFrame]:
-    """The factors after stratum ``OFFSET`` of the fixed grid, in as many turns as its sub-blocks need."""
+def _learned_stratum(spark: SparkSession, sf_dir: str, update: str, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+    """The factors after stratum ``OFFSET`` of the fixed grid, in as many turns as its strips need."""
     ratings = _written_ratings(spark, sf_dir)
-    whole = grid.measured_grid(ratings, BLOCKS)
-    cut = replace(whole, refine=refine or fitting_refinement(ratings, BLOCKS))
-    met = grid.select_stratum(grid.assign_blocks(ratings, BLOCKS, grid=whole), OFFSET)
-    layout = materialize(dsgd.block_layout(met.select("i", "j", "r"), cut), "stratum-layout")
-    model = _start_factors(ratings)
-    each = 2 * cut.refine - 1
-    for turn in range(OFFSET * each, (OFFSET + 1) * each):
-        model = dsgd.dsgd_update(layout, model, turn, cut, 0.015, update)
-        if turn + 1 < (OFFSET + 1) * each:
-            model = materialize(model, "turn-factors")
-    return whole, model
+    params = TrainingParams(rank=RANK, blocks=BLOCKS)
+    cuts = fitting_cuts(grid.measured_grid(ratings, BLOCKS), id_counts(ratings), rows_per_block)
+    layout = dsgd.block_layout(ratings, cuts, rows_per_block=rows_per_block)
+    turns = cuts.stratum_turns(OFFSET)
+    store = dsgd.FactorStore(layout, _start_factors(ratings), turns[0])
+    for turn in turns:
+        store.write(dsgd.dsgd_update(layout, store.read(), turn, params.eta, update))
+    store.drop()
+    layout.drop()
+    return store.files()
+
+
+def _vector_rows(model: DataFrame, *more: str, digits: int = 6) -> DataFrame:
+    """Every value of every vector."""
+    values = model.select("role", "id", *more, F.posexplode_outer("vec").alias("k", "value"))
+    return values.withColumn("value", _rounded("value", digits))
+
+
+def _trained(spark: SparkSession, sf_dir: str, params: TrainingParams) -> DataFrame:
+    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
 
 
-def _vector_rows(model: DataFrame) -> DataFrame:
-    return model.select("role", "id", _rounded(dot("vec", "vec", RANK)).alias("squared_norm"))
+# Ratings of a sub-block in the queries that cut blocks.
+CUT_ROWS = 500
 
 
 @query
 def factor_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The factors after a sub-epoch, keyed for the next one."""
-    measured, updated = _one_sub_epoch(spark, sf_dir, "simultaneous")
-    return dsgd.regroup_factors(updated, OFFSET + 1, measured).select("role", "id", "key")
+    return _vector_rows(_learned_stratum(spark, sf_dir, "simultaneous"), "key")
 
 
 @query
 def dsgd_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "simultaneous")[1])
+    return _vector_rows(_learned_stratum(spark, sf_dir, "simultaneous"))
 
 
 @query
 def sgd_update_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential")[1])
+    return _vector_rows(_learned_stratum(spark, sf_dir, "sequential"))
 
 
 @query
 def dsgd_update_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same sub-epoch with every block cut into sub-blocks."""
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "simultaneous", refine=2)[1])
+    """The same sub-epoch with blocks cut into strips."""
+    return _vector_rows(_learned_stratum(spark, sf_dir, "simultaneous", CUT_ROWS))
 
 
 @query
 def sgd_update_sequential_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_rows(_one_sub_epoch(spark, sf_dir, "sequential", refine=3)[1])
+    return _vector_rows(_learned_stratum(spark, sf_dir, "sequential", CUT_ROWS))
 
 
 @query
 def train_factors_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2, refine=2)
-    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
+    return _trained(spark, sf_dir, TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2, rows_per_block=CUT_ROWS))
 
 
 @query
 def train_factors_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
-    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
+    return _trained(spark, sf_dir, TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2))
 
 
 @query
 def train_row_major(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two epochs that visit the blocks row by row, with the single-machine update rule."""
-    params = replace(TrainingParams.out_of_core(RANK, BLOCKS), epochs=2)
-    return _vector_rows(train_factors(_written_ratings(spark, sf_dir), params)[0])
+    return _trained(spark, sf_dir, replace(TrainingParams.out_of_core(RANK, BLOCKS), epochs=2))
 
 
 @query
@@ -583,8 +586,7 @@ def scaling_decisions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_error_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _written_ratings(spark, sf_dir)
-    skew = evaluate.rating_skew(ratings, HOT_ROWS)
-    error = evaluate.model_error(ratings, _start_factors(ratings), RANK, skew)
+    error = evaluate.model_error(ratings, _start_factors(ratings), BLOCKS, CUT_ROWS)
     return error.withColumns({name: _rounded(name) for name in ("squared_error", "rmse")})
 
 

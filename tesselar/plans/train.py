@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from dataclasses import dataclass
 
@@ -10,17 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselar.functions.grid import ROW_MAJOR, STRATA
-from tesselar.operators.dsgd import block_layout, dsgd_update
-from tesselar.operators.evaluate import model_error, rating_skew
-from tesselar.operators.factors import (
-    fill_missing_factors,
-    init_factors,
-    observed_ids,
-    rating_sides,
-)
-from tesselar.operators.grid import measured_grid
+from tesselar.operators.cuts import Cuts, fitting_cuts, id_counts
+from tesselar.operators.dsgd import IN_ORDER, FactorStore, block_layout, dsgd_update
+from tesselar.operators.evaluate import stored_block_error, total_error
+from tesselar.operators.factors import fill_missing_factors, init_factors
+from tesselar.operators.grid import Grid
 from tesselar.operators.skew import ROWS_PER_TASK
-from tesselar.workspace import new_path, write_table
 
 LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
 
@@ -29,9 +23,9 @@ LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
 class TrainingParams:
     """The published defaults of the distributed drafts.
 
-    ``blocks`` is the grid that decides the order of learning; it never follows the size of the data.
-    ``refine`` cuts blocks to task size without changing the model; ``None`` measures it, see
-    ``fitting_refinement``.
+    ``blocks`` is the grid that decides the order of learning; it never follows the size of the data. Blocks are cut
+    where they hold more than ``rows_per_block`` ratings, which changes no result. ``order`` names the columns that
+    order the samples of a block; blocks can be cut only in the default order.
     """
 
     rank: int
@@ -43,8 +37,8 @@ class TrainingParams:
     seed: int = 1
     base: int = 0
     schedule: str = STRATA
-    order: tuple[str, ...] = ("i", "j", "r")
-    refine: int | None = None
+    order: tuple[str, ...] = IN_ORDER
+    rows_per_block: int = ROWS_PER_TASK
 
     @classmethod
     def out_of_core(cls, rank: int, blocks: int = 8) -> "TrainingParams":
@@ -52,63 +46,45 @@ class TrainingParams:
         return cls(rank, blocks, 10, 0.001, 0.99, "sequential", schedule=ROW_MAJOR)
 
 
-def fitting_refinement(
-    ratings: DataFrame, blocks: int, rows_per_block: int = ROWS_PER_TASK
-) -> int:
-    """Cuts per block side that keep the average sub-block, and a hot id's share of one, to task size.
-
-    Samples of one user or item must be learned one after the other, so a hot id cannot be
-    salted; more sub-blocks cut its samples into more turns instead.
-    """
-    counts = rating_sides(ratings).groupBy("role", "id").agg(F.count("*").alias("rows"))
-    sizes = counts.agg((F.sum("rows") / 2).alias("all"), F.max("rows").alias("largest")).first()
-    average = math.ceil(math.sqrt((sizes["all"] or 0) / rows_per_block))
-    side = max(average, math.ceil((sizes["largest"] or 0) / rows_per_block))
-    return max(1, math.ceil(side / blocks))
-
-
 def training_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """One row per epoch."""
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def measured_cuts(counts: DataFrame, params: TrainingParams) -> Cuts:
+    """The grid over the ids of ``counts`` (``cuts.id_counts``) and its strips."""
+    largest = {row["role"]: row["id"] for row in counts.groupBy("role").agg(F.max("id").alias("id")).collect()}
+    grid = Grid(params.blocks, largest.get("W", 0), largest.get("H", 0), params.base, params.schedule)
+    if tuple(params.order) != IN_ORDER:
+        return Cuts.whole_blocks(grid)
+    return fitting_cuts(grid, counts, params.rows_per_block)
+
+
 def train_factors(
     ratings: DataFrame, params: TrainingParams, factors: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Train from ``factors`` (or fresh ones) and return the factors and the training log.
 
-    The ratings are laid out once, in folders by sub-epoch, so each reads its own part
-    only. Each sub-epoch writes its factors to one of two alternating tables and starts from the
-    other, so a lost executor repeats at most one sub-epoch.
+    The ratings are stored once; every turn reads its own part of them and the factors bucket by bucket and writes the
+    factors for the next turn, so a lost executor repeats at most one turn, and nothing is shuffled after the start.
     """
     spark = ratings.sparkSession
-    home = new_path(spark, "training")
-    refine = params.refine
-    if refine is None:
-        in_order = params.order == ("i", "j", "r")
-        refine = fitting_refinement(ratings, params.blocks) if in_order else 1
-    grid = measured_grid(ratings, params.blocks, params.base, params.schedule, refine)
-    layout = block_layout(ratings, grid, params.order)
-    layout.write.partitionBy("s").parquet(f"{home}/layout")
-    layout = spark.read.schema(layout.schema).parquet(f"{home}/layout")
-    samples = layout.select("i", "j", "r")
-    skew = rating_skew(samples)
-
+    counts = id_counts(ratings)
+    layout = block_layout(ratings, measured_cuts(counts, params), params.order, params.rows_per_block)
     if factors is None:
-        factors = init_factors(observed_ids(samples), params.rank, params.seed)
+        factors = init_factors(counts.select("role", "id"), params.rank, params.seed)
     else:
-        factors = fill_missing_factors(factors, samples, params.rank, params.seed)
-    factors = write_table(factors, f"{home}/factors-start")
+        factors = fill_missing_factors(factors, counts, params.rank, params.seed)
+    store = FactorStore(layout, factors)
 
     eta, log, started = params.eta, [], time.perf_counter()
-    step = 0
     for epoch in range(params.epochs):
-        for offset in range(grid.turns):
-            updated = dsgd_update(layout, factors, offset, grid, eta, params.update)
-            factors = write_table(updated, f"{home}/factors-{step % 2}", mode="overwrite")
-            step += 1
-        error = model_error(samples, factors, params.rank, skew).first()
+        for turn in range(layout.cuts.turns):
+            store.write(dsgd_update(layout, store.read(), turn, eta, params.update))
+        error = total_error(stored_block_error(store)).first()
         seconds = time.perf_counter() - started
         log.append((epoch, seconds, error["squared_error"], error["rmse"]))
         eta *= params.decay
-    return factors, training_log(spark, log)
+    store.drop()
+    layout.drop()
+    return store.model(), training_log(spark, log)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -38,3 +40,40 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFr
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once; later reads start from the written table, also after lost executors."""
     return write_table(df, new_path(df.sparkSession, name))
+
+
+@dataclass(frozen=True)
+class BucketedTable:
+    """A table in the session's catalog, stored in buckets below the shared folder."""
+
+    spark: SparkSession
+    name: str
+    path: str
+    schema: StructType
+
+    def read(self) -> DataFrame:
+        """The table with its buckets: joins and groups on the bucket column need no shuffle."""
+        return self.spark.table(self.name)
+
+    def files(self) -> DataFrame:
+        """The same rows without the catalog."""
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+def write_buckets(
+    df: DataFrame, path: str, buckets: int, column: str, partition_by: str | None = None, sort_by: str | None = None, mode: str = "errorifexists"
+) -> BucketedTable:
+    """Store ``df`` in ``buckets`` by ``column``. Every task writes to the buckets of its rows; nothing is shuffled."""
+    name = f"tesselar_{uuid.uuid4().hex}"
+    writer = df.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, column)
+    if sort_by:
+        writer = writer.sortBy(sort_by)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(name)
+    return BucketedTable(df.sparkSession, name, path, df.schema)
+
+
+def drop_table(table: BucketedTable) -> None:
+    """Forget the table; its files stay, as those of any table with a path of its own."""
+    table.spark.sql(f"DROP TABLE IF EXISTS {table.name}")

@@ -6,12 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tesselar.operators.dsgd import block_layout, dsgd_update
-from tesselar.operators.evaluate import model_error, rating_skew
+from tesselar.operators.cuts import Cuts, fitting_cuts, id_counts
+from tesselar.operators.dsgd import block_layout, bucket_keys, dsgd_update, place_factors, sample_levels
+from tesselar.operators.evaluate import block_error, model_error
 from tesselar.operators.factors import init_factors, observed_ids
-from tesselar.operators.grid import assign_blocks, measured_grid
+from tesselar.operators.grid import Grid, assign_blocks, measured_grid
 from tesselar.plans.files import score_files, train_files
-from tesselar.plans.train import TrainingParams, fitting_refinement, train_factors
+from tesselar.plans.train import TrainingParams, measured_cuts, train_factors
 
 RANK = 4
 
@@ -52,30 +53,83 @@ def assert_same_model(left, right):
         np.testing.assert_allclose(left[key], right[key], rtol=1e-10, atol=1e-12)
 
 
+def whole(df, blocks):
+    return Cuts.whole_blocks(measured_grid(df, blocks))
+
+
 @pytest.mark.parametrize("update", ["simultaneous", "sequential"])
 @pytest.mark.parametrize("blocks, hot", [(3, None), (4, 5), (30, None)])
 def test_sub_epochs_equal_serial_loop(spark, update, blocks, hot):
     ratings = make_ratings(23, 19, 700, hot=hot)
     df = as_df(spark, ratings)
-    grid = measured_grid(df, blocks)
-    layout = block_layout(df, grid).cache()
+    cuts = whole(df, blocks)
+    layout = block_layout(df, cuts)
     factors = init_factors(observed_ids(df), RANK, 1)
     model = as_model(factors)
     for offset in (0, blocks - 1):
-        factors = dsgd_update(layout, factors, offset, grid, 0.01, update)
-        serial_sub_epoch(ratings, model, grid, offset, 0.01, update)
+        factors = dsgd_update(layout, place_factors(factors, layout, offset), offset, 0.01, update)
+        serial_sub_epoch(ratings, model, cuts.grid, offset, 0.01, update)
     assert_same_model(as_model(factors), model)
 
 
+def serial_levels(users, items):
+    last, levels = {}, []
+    for user, item in zip(users, items):
+        level = 1 + max(last.get(("W", user), 0), last.get(("H", item), 0))
+        last["W", user] = last["H", item] = level
+        levels.append(level)
+    return levels
+
+
+@pytest.mark.parametrize("n_users, n_items, count, hot", [(1, 1, 1, 0), (40, 30, 900, 3), (3000, 2000, 9000, None), (3000, 2000, 9000, 7), (5, 2000, 4000, None)])
+def test_levels_equal_serial_levels(n_users, n_items, count, hot):
+    """Wide and narrow frontiers, in the order of ids and in any other."""
+    ratings = make_ratings(n_users, n_items, count, hot=hot)
+    for order in (ratings, [ratings[at] for at in np.random.default_rng(1).permutation(count)]):
+        users, items = (np.array([row[axis] for row in order], np.int64) for axis in (0, 1))
+        assert sample_levels(users, items).tolist() == serial_levels(users.tolist(), items.tolist())
+    assert sample_levels(np.empty(0, np.int64), np.empty(0, np.int64)).tolist() == []
+
+
 def test_levels_share_no_user_and_no_item(spark):
     df = as_df(spark, make_ratings(40, 30, 900, hot=3))
-    layout = block_layout(df, measured_grid(df, 3))
-    assert layout.count() == 900
+    samples = block_layout(df, whole(df, 3)).samples
+    assert samples.count() == 900
     for axis in ("i", "j"):
-        repeated = layout.groupBy("rb", "cb", "lvl", axis).count().filter("count > 1")
+        repeated = samples.groupBy("rs", "cs", "lvl", axis).count().filter("count > 1")
         assert repeated.count() == 0
 
 
+def test_bucket_keys_reach_every_bucket(spark):
+    for n in (1, 2, 7, 100):
+        keys = bucket_keys(spark, n)
+        rows = spark.createDataFrame([(key,) for key in keys], "key INT").select(F.pmod(F.hash("key"), F.lit(n)).alias("bucket"))
+        assert [row["bucket"] for row in rows.collect()] == list(range(n))
+
+
+@pytest.mark.parametrize("schedule", ["strata", "row_major"])
+def test_turns_of_strips(schedule):
+    """Uneven strips: all pairs have a turn, of one turn no two share a strip, and items wait where they are needed next."""
+    grid = Grid(3, 29, 19, 0, schedule)
+    cuts = Cuts(grid, (0, 1, 5, 10, 20, 21, 22), (0, 7, 9, 14, 15, 16))
+    assert cuts.row_blocks.tolist() == [0, 0, 0, 1, 2, 2, 2] and cuts.col_blocks.tolist() == [0, 1, 1, 2, 2, 2]
+    rows, cols = (x.ravel() for x in np.meshgrid(range(7), range(6), indexing="ij"))
+    turns = cuts.turn(rows, cols)
+    assert turns.min() == 0 and turns.max() < cuts.turns
+    for turn in range(cuts.turns):
+        now = turns == turn
+        assert len(set(rows[now])) == len(set(cols[now])) == now.sum()
+        met = cuts.met_by(turn)
+        assert (met[cols[now]] == rows[now]).all()
+    # Whatever shares a strip is learned in the order of the whole blocks.
+    for strip, other in ((rows, cols), (cols, rows)):
+        for value in set(strip.tolist()):
+            inside = strip == value
+            block = (cuts.row_blocks if other is rows else cuts.col_blocks)[other[inside]]
+            for parent in set(block.tolist()):
+                assert (np.diff(turns[inside][block == parent]) > 0).all()
+
+
 def test_strata_partition_the_blocks(spark):
     blocked = assign_blocks(as_df(spark, make_ratings(50, 50, 800)), 5)
     blocks = blocked.select("s", "rb", "cb").distinct().toPandas()
@@ -86,21 +140,28 @@ def test_strata_partition_the_blocks(spark):
 
 def test_factors_of_empty_blocks_pass_through(spark):
     df = as_df(spark, [(0, 0, 5.0), (9, 9, 1.0)])
-    grid = measured_grid(df, 2)
     factors = init_factors(observed_ids(df), RANK, 1)
-    updated = dsgd_update(block_layout(df, grid), factors, 1, grid, 0.1)
+    layout = block_layout(df, whole(df, 2))
+    updated = dsgd_update(layout, place_factors(factors, layout, 1), 1, 0.1)
     assert_same_model(as_model(updated), as_model(factors))
 
 
 def test_missing_vector_raises(spark):
     df = as_df(spark, make_ratings(10, 10, 50))
-    grid = measured_grid(df, 2)
     factors = init_factors(observed_ids(df), RANK, 1).filter("not (role = 'W' and id = 3)")
+    layout = block_layout(df, whole(df, 2))
     with pytest.raises(Exception, match="no W vector for id 3"):
         for offset in range(2):
-            dsgd_update(block_layout(df, grid), factors, offset, grid, 0.1).collect()
+            dsgd_update(layout, place_factors(factors, layout, offset), offset, 0.1).collect()
     with pytest.raises(Exception, match="no W vector for id 3"):
-        model_error(df, factors, RANK).collect()
+        model_error(df, factors).collect()
+
+
+def test_incomplete_ratings_raise(spark):
+    for row in ((None, 1, 1.0), (1, None, 1.0), (1, 1, None)):
+        df = as_df(spark, [(0, 0, 5.0), row])
+        with pytest.raises(Exception, match="without user, item or value"):
+            block_layout(df, whole(df, 2))
 
 
 def test_training_equals_serial_loop(spark):
@@ -130,41 +191,76 @@ def test_training_goes_on_from_given_factors(spark):
     assert factors.count() == observed_ids(df).count()
 
 
-def test_error_with_hot_ids_split(spark):
-    df = as_df(spark, make_ratings(20, 20, 600, hot=4))
+def test_error_with_blocks_cut(spark):
+    ratings = make_ratings(20, 20, 600, hot=4)
+    df = as_df(spark, ratings)
     factors = init_factors(observed_ids(df), RANK, 1)
-    plain = model_error(df, factors, RANK).first()
-    split = model_error(df, factors, None, rating_skew(df, 25)).first()
-    assert split["n"] == plain["n"] == 600
-    assert split["squared_error"] == pytest.approx(plain["squared_error"], rel=1e-12)
-    assert model_error(df.withColumn("r", F.lit(0.0)), factors, RANK).first()["n"] == 600
-
-
-def test_fitting_refinement(spark):
-    df = as_df(spark, make_ratings(40, 40, 900, hot=3))
-    assert fitting_refinement(df, 4, 10_000) == 1
-    assert 4 * fitting_refinement(df, 4, 9) >= 300 / 9
-    assert 4 * fitting_refinement(df.filter("j <> 3"), 4, 1) >= 24
+    model = as_model(factors)
+    expected = sum((r - model["W", i] @ model["H", j]) ** 2 for i, j, r in ratings)
+    for rows in (10_000, 25):
+        found = model_error(df, factors, 3, rows).first()
+        assert found["n"] == 600
+        assert found["squared_error"] == pytest.approx(expected, rel=1e-12)
+        assert found["rmse"] == pytest.approx((expected / 600) ** 0.5, rel=1e-12)
+    blocks = block_error(df, factors, measured_grid(df, 3), 25).collect()
+    assert sum(row["n"] for row in blocks) == 600 and len(blocks) == 9
+    for row in blocks:
+        inside = [(r - model["W", i] @ model["H", j]) ** 2 for i, j, r in ratings if (i // 7, j // 7) == (row["rb"], row["cb"])]
+        assert row["n"] == len(inside) and row["squared_error"] == pytest.approx(sum(inside), rel=1e-12)
+    nothing = model_error(df.limit(0), factors.limit(0)).first()
+    assert (nothing["squared_error"], nothing["n"], nothing["rmse"]) == (None, 0, None)
+
+
+def sub_block_sizes(ratings, cuts):
+    rows, cols = (np.array([r[axis] for r in ratings]) for axis in (0, 1))
+    number = cuts.strip(cuts.rows, rows) * len(cuts.cols) + cuts.strip(cuts.cols, cols)
+    return np.bincount(number, minlength=len(cuts.rows) * len(cuts.cols))
+
+
+def test_cuts_follow_the_weight(spark):
+    """A third of all ratings on one item: many thin row strips, few column strips, no sub-block far above its size."""
+    rng = np.random.default_rng(3)
+    ratings = [(int(i), int(j), 1.0) for i, j in zip(rng.integers(0, 500, 6000), rng.zipf(1.5, 6000) % 400)]
+    ratings += [(int(i), 17, 1.0) for i in rng.integers(0, 500, 3000)]
+    df = as_df(spark, ratings)
+    cuts = fitting_cuts(measured_grid(df, 4), id_counts(df), 100)
+    sizes = sub_block_sizes(ratings, cuts)
+    assert sizes.max() <= 250
+    assert len(cuts.rows) > 1.5 * len(cuts.cols) and len(cuts.rows) <= 2 * 3000 / 100 + 8
+    assert len(cuts.rows) * len(cuts.cols) < 30 * 9000 / 100
+    assert set(Cuts.whole_blocks(cuts.grid).rows) <= set(cuts.rows)
+    assert fitting_cuts(measured_grid(df, 4), id_counts(df), 10_000) == Cuts.whole_blocks(measured_grid(df, 4))
+
+
+def test_cuts_of_wide_id_ranges(spark):
+    """Ids far apart: the histogram is refined where the ratings are."""
+    ratings = [(1_000_000_007 * (n % 3) + n % 50, 40_000_000 + n % 90, 1.0) for n in range(3000)]
+    df = as_df(spark, ratings)
+    cuts = fitting_cuts(measured_grid(df, 2), id_counts(df), 50)
+    assert sub_block_sizes(ratings, cuts).max() <= 150
 
 
 @pytest.mark.parametrize("schedule", ["strata", "row_major"])
 @pytest.mark.parametrize("base", [0, 1])
-def test_refinement_keeps_the_model(spark, schedule, base):
+def test_cuts_keep_the_model(spark, schedule, base):
     df = as_df(spark, make_ratings(23, 19, 400, hot=5)).withColumns(
         {"i": F.col("i") + base, "j": F.col("j") + base}
     )
     models = []
-    for refine in (1, 2, 3):
-        params = TrainingParams(RANK, blocks=3, epochs=2, schedule=schedule, base=base, refine=refine)
+    for rows in (10_000, 60, 15):
+        params = TrainingParams(RANK, blocks=3, epochs=2, schedule=schedule, base=base, rows_per_block=rows)
+        strips = measured_cuts(id_counts(df), params)
+        assert (len(strips.rows) + len(strips.cols) > 6) == (rows < 10_000)
         models.append(as_model(train_factors(df, params)[0]))
     for model in models[1:]:
         assert_same_model(models[0], model)
 
 
-def test_other_orders_are_not_refined(spark):
+def test_other_orders_are_not_cut(spark):
     df = as_df(spark, make_ratings(5, 5, 20)).withColumn("line", F.col("i"))
+    cuts = fitting_cuts(measured_grid(df, 2), id_counts(df), 3)
     with pytest.raises(ValueError):
-        train_factors(df, TrainingParams(RANK, blocks=2, epochs=1, order=("line",), refine=2))
+        block_layout(df, cuts, ("line",))
 
 
 def test_files_train_and_score(spark, tmp_path):

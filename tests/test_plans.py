@@ -1,13 +1,18 @@
 """Plans stay as designed: pruned scans, one shuffle per key, built-in expressions."""
 
-from tesselar.operators.dsgd import block_layout, dsgd_update
-from tesselar.operators.evaluate import model_error, rating_skew
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tesselar.operators.cuts import fitting_cuts, id_counts
+from tesselar.operators.dsgd import FactorStore, block_layout, dsgd_update, turn_error
+from tesselar.operators.evaluate import stored_block_error
 from tesselar.operators.factors import init_factors, observed_ids
 from tesselar.operators.grid import measured_grid
 from tesselar.operators.health import health_state
 from tesselar.operators.membership import active_members
 from tesselar.plans import views
-from tesselar.workspace import materialize, new_path
+from tesselar.workspace import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,25 +21,43 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_sub_epoch_reads_its_stratum_only(spark):
+def stored_blocks(spark, rows_per_block=10_000):
     ratings = materialize(views.ratings(spark, SF_DIR), "ratings")
-    grid = measured_grid(ratings, 4)
-    path = new_path(spark, "layout")
-    layout = block_layout(ratings, grid)
-    layout.write.partitionBy("s").parquet(path)
-    stored = spark.read.schema(layout.schema).parquet(path)
-    factors = materialize(init_factors(observed_ids(ratings), 4, 1), "factors")
-    plan = plan_of(dsgd_update(stored, factors, 2, grid, 0.01))
-    assert "(s#" in plan.split("PartitionFilters: [isnotnull(s#")[1]
+    cuts = fitting_cuts(measured_grid(ratings, 4), id_counts(ratings), rows_per_block)
+    layout = block_layout(ratings, cuts, rows_per_block=rows_per_block)
+    return layout, FactorStore(layout, init_factors(observed_ids(ratings), 4, 1))
+
+
+@pytest.mark.parametrize("rows_per_block", [10_000, 300])
+def test_a_turn_shuffles_nothing(spark, rows_per_block):
+    """No Exchange above the stored samples, nor above the factors; only the samples of the turn are read."""
+    layout, store = stored_blocks(spark, rows_per_block)
+    for turn in (0, 1):
+        updated = dsgd_update(layout, store.read(), turn, 0.01)
+        plan = plan_of(updated)
+        assert "Exchange" not in plan
+        assert plan.count("Bucketed: true") == 2
+        assert "(s#" in plan.split("PartitionFilters: [isnotnull(s#")[1]
+        store.write(updated)
+    # Users stay in their bucket; items go where they are needed next.
+    buckets = store.files().select("role", "key", F.regexp_extract(F.input_file_name(), r"_(\d{5})\.", 1).cast("int").alias("bucket"))
+    assert buckets.where("key <> bucket").count() == 0
+
+
+def test_no_vector_is_shuffled_for_an_error(spark):
+    layout, store = stored_blocks(spark)
+    assert "Exchange" not in plan_of(turn_error(layout, store.read(), 0))
+    plan = plan_of(stored_block_error(store))
     assert plan.count("Exchange") == 1
+    assert "vec" not in plan.split("Exchange")[1].split("\n")[0]
 
 
-def test_error_stays_in_the_jvm(spark):
-    ratings = materialize(views.ratings(spark, SF_DIR), "ratings")
-    factors = materialize(init_factors(observed_ids(ratings), 4, 1), "factors")
-    plan = plan_of(model_error(ratings, factors, 4, rating_skew(ratings)))
-    assert "Python" not in plan and "Pandas" not in plan and "InMapArrow" not in plan
-    assert "ReadSchema: struct<i:bigint,j:bigint,r:double>" in plan
+def test_samples_are_stored_by_level_in_one_file_a_block(spark):
+    layout, _ = stored_blocks(spark, 300)
+    files = layout.table.files().select(F.input_file_name().alias("file"), "rs", "cs", "lvl", F.monotonically_increasing_id().alias("n"))
+    assert files.select("file").distinct().count() == files.select("rs", "cs").distinct().count()
+    before = F.lag("lvl").over(Window.partitionBy("file").orderBy("n"))
+    assert files.withColumn("before", before).where("before > lvl").count() == 0
 
 
 def test_three_running_scans_share_one_shuffle_and_sort(spark):
