@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselar.operators.ordered import chunk, finish, running, trailing
-from tesselar.operators.skew import ROWS_PER_TASK
+from tesselar.operators.folds import Fold, chunks_for, fold_in_order, last_place, since
+from tesselar.operators.ordered import chunk, finish, plain, running, trailing
+from tesselar.operators.skew import ROWS_PER_TASK, find_hot_keys
 
 
 @dataclass(frozen=True)
@@ -72,12 +76,45 @@ def threshold_label(
     return stats.withColumn("label", label)
 
 
+class CounterFold(Fold):
+    """State: ups and downs since the last neutral reading. Summary: the same, and whether there was a neutral one."""
+
+    start = (0, 0)
+    shape = "up LONG, down LONG"
+
+    def _counted(self, rows: pa.Table, first: np.ndarray, state: tuple[int, int]) -> tuple[list[np.ndarray], np.ndarray]:
+        label = rows.column("label").combine_chunks()
+        marks = {name: pc.fill_null(pc.equal(label, name), False).to_numpy(zero_copy_only=False) for name in ("neutral", "up", "down")}
+        reset = last_place(marks["neutral"], first)
+        untouched = (first == 0) & (reset < 0)
+        counted = []
+        for name, before in zip(("up", "down"), state, strict=True):
+            counted.append(since(marks[name].astype(np.int64), np.maximum(reset, first)) + np.where(untouched, before, 0))
+        return counted, untouched
+
+    def summary(self, rows: pa.Table):
+        counted, untouched = self._counted(rows, np.zeros(rows.num_rows, np.int64), self.start)
+        return (*(int(count[-1]) for count in counted), not untouched[-1])
+
+    def compose(self, state, summary):
+        ups, downs, reset = summary
+        return (ups, downs) if reset else (state[0] + ups, state[1] + downs)
+
+    def apply(self, rows: pa.Table, first: np.ndarray, state) -> dict[str, pa.Array]:
+        counted = self._counted(rows, first, state)[0]
+        return {"up": pa.array(counted[0]), "down": pa.array(counted[1])}
+
+
 def breach_counters(labelled: DataFrame, rows_per_chunk: int = ROWS_PER_TASK) -> DataFrame:
     """Ups and downs since the last neutral reading; an up does not reset the downs."""
     is_label = lambda name: (F.col("label") == name).cast("long")
     neutral = F.col("label") == "neutral"
+    hot = find_hot_keys(labelled, ["dim"], rows_per_chunk)
+    if hot:
+        chunks = chunks_for(labelled.sparkSession, hot.rows, rows_per_chunk)
+        return fold_in_order(labelled, ["dim"], ["t"], CounterFold(), chunks)
     counted = running(
-        chunk(labelled, ["dim"], ["t"], rows_per_chunk),
+        plain(labelled, ["dim"], ["t"]),
         sums={"_ups": is_label("up"), "_downs": is_label("down")},
     )
     based = running(
@@ -87,8 +124,8 @@ def breach_counters(labelled: DataFrame, rows_per_chunk: int = ROWS_PER_TASK) ->
             "_downs_before": F.when(neutral, F.col("_downs")),
         },
     )
-    since = lambda name: F.col(name) - F.coalesce(F.col(f"{name}_before"), F.lit(0))
-    result = finish(based).withColumns({"up": since("_ups"), "down": since("_downs")})
+    left = lambda name: F.col(name) - F.coalesce(F.col(f"{name}_before"), F.lit(0))
+    result = finish(based).withColumns({"up": left("_ups"), "down": left("_downs")})
     return result.drop("_ups", "_downs", "_ups_before", "_downs_before")
 
 

@@ -19,13 +19,13 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesselar.operators.cuts import Cuts
 from tesselar.operators.skew import ROWS_PER_TASK
-from tesselar.workspace import BucketedTable, drop_table, new_path, write_buckets
+from tesselar.workspace import BucketedTable, bucket_keys, drop_table, new_path, write_buckets
 
 IN_ORDER = ("i", "j", "r")
 LAYOUT_SCHEMA = "s INT, bk INT, rs INT, cs INT, lvl LONG, i LONG, j LONG, r DOUBLE"
@@ -110,18 +110,6 @@ def _add_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from block.append_column("lvl", pa.array(levels)).select(names).to_batches()
 
 
-def bucket_keys(spark: SparkSession, n: int) -> tuple[int, ...]:
-    """For each of ``n`` buckets a number that Spark's bucketing puts there."""
-    found: dict[int, int] = {}
-    tried = 16 * n
-    while len(found) < n:
-        number = F.col("id").cast("int")
-        keys = spark.range(tried).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("bucket")).agg(F.min(number).alias("number"))
-        found = {row["bucket"]: row["number"] for row in keys.collect()}
-        tried *= 2
-    return tuple(found[bucket] for bucket in range(n))
-
-
 @dataclass(frozen=True)
 class Layout:
     """Stored samples: ``s`` (turn), ``bk`` (bucket key of the row strip), strips, level, ``i``, ``j``, ``r``."""
@@ -159,11 +147,16 @@ def _placed(cuts: Cuts, keys: tuple[int, ...]):
 
 
 def block_layout(
-    ratings: DataFrame, cuts: Cuts, order: tuple[str, ...] = IN_ORDER, rows_per_block: int = ROWS_PER_TASK
+    ratings: DataFrame,
+    cuts: Cuts,
+    order: tuple[str, ...] = IN_ORDER,
+    rows_per_block: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> Layout:
-    """Store the ratings by sub-block; one shuffle of the ratings, whose tasks follow their number.
+    """Store the ratings by sub-block; one shuffle of the ratings, whose tasks follow their number ``rows``.
 
     ``order`` names the columns that order the samples of a block, such as a line number. A null id or rating raises.
+    Without ``rows`` the ratings are counted first.
     """
     spark = ratings.sparkSession
     if tuple(order) != IN_ORDER and cuts != Cuts.whole_blocks(cuts.grid):
@@ -172,12 +165,13 @@ def block_layout(
     wanted = [*IN_ORDER, *[name for name in order if name not in IN_ORDER]]
     complete = F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("r").isNotNull()
     checked = F.when(complete, F.col("i")).otherwise(F.raise_error(F.lit("a rating without user, item or value")).cast("long"))
-    rows = ratings.select(*wanted).withColumn("i", checked)
-    schema = T.StructType([*rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs")]])
-    placed = rows.mapInArrow(_placed(cuts, keys), schema)
+    complete_rows = ratings.select(*wanted).withColumn("i", checked)
+    schema = T.StructType([*complete_rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs")]])
+    placed = complete_rows.mapInArrow(_placed(cuts, keys), schema)
     # Sub-blocks in as many tasks as the rows need, but no more than there are sub-blocks.
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(len(cuts.rows) * len(cuts.cols), max(at_least, -(-ratings.count() // rows_per_block)))
+    rows = ratings.count() if rows is None else rows
+    tasks = min(len(cuts.rows) * len(cuts.cols), max(at_least, -(-rows // rows_per_block)))
     part = F.pmod(F.col("rs").cast("long") * len(cuts.cols) + F.col("cs"), F.lit(tasks)).cast("int")
     by_block = placed.repartitionById(tasks, part).sortWithinPartitions("rs", "cs", *order)
     levelled = by_block.mapInArrow(_add_levels, LAYOUT_SCHEMA)
@@ -240,22 +234,27 @@ def _error(w: _Side, h: _Side, samples: pa.Table) -> tuple[float, int]:
     return total, len(users)
 
 
-def _turn_kernel(layout: Layout, turn: int, work: str, eta: float = 0.0, sequential: bool = False):
-    """Learn the samples of a bucket, or measure their error, and send every factor row to its next bucket."""
+def _turn_kernel(layout: Layout, next_turn: int, eta: float | None, sequential: bool, measure: str | None, carry: bool):
+    """Learn the samples of a bucket, measure their error, or both, and send every factor row to its next bucket."""
     cuts, keys = layout.cuts, np.array(layout.keys)
-    following = cuts.met_by((turn + 1) % cuts.turns)
+    following = cuts.met_by(next_turn)
+
+    def measured(w: _Side, h: _Side, samples: pa.Table) -> pa.Table:
+        row, col = samples.column("rs")[0].as_py(), samples.column("cs")[0].as_py()
+        block = int(cuts.row_blocks[row]) * cuts.grid.n + int(cuts.col_blocks[col])
+        return _factor_table(ERROR, np.array([block]), np.array([_error(w, h, samples)], float), np.array([row]), keys)
 
     def run(samples: pa.Table, stored: pa.Table) -> pa.Table:
         w, h = _Side("W", stored), _Side("H", stored)
         parts = []
-        if samples.num_rows and work == "learn":
-            _learn(w, h, samples, eta, sequential)
-        elif samples.num_rows:
-            block = int(cuts.row_blocks[samples.column("rs")[0].as_py()]) * cuts.grid.n + int(cuts.col_blocks[samples.column("cs")[0].as_py()])
-            error, n = _error(w, h, samples)
-            strip = samples.column("rs")[0].as_py()
-            parts.append(_factor_table(ERROR, np.array([block]), np.array([[error, n]]), np.array([strip]), keys))
-        if work == "measure":
+        if samples.num_rows:
+            if measure == "before":
+                parts.append(measured(w, h, samples))
+            if eta is not None:
+                _learn(w, h, samples, eta, sequential)
+            if measure == "after":
+                parts.append(measured(w, h, samples))
+        if carry:
             # Errors of earlier turns.
             parts.append(stored.filter(pc.equal(stored.column("role"), ERROR)).select(["role", "id", "vec", "key", "bk"]))
         parts.append(_factor_table("W", w.ids, w.rows, cuts.strip(cuts.rows, w.ids), keys))
@@ -332,19 +331,33 @@ def _in_buckets(layout: Layout, turn: int, stored: DataFrame, kernel, columns: l
     return samples.groupBy("bk").cogroup(stored.groupBy("bk")).applyInArrow(kernel, FACTOR_SCHEMA)
 
 
-def dsgd_update(layout: Layout, stored: DataFrame, turn: int, eta: float, update: str = "simultaneous") -> DataFrame:
-    """One turn: the factors after learning the sub-blocks of ``turn``, placed for the turn after.
+def dsgd_update(
+    layout: Layout,
+    stored: DataFrame,
+    turn: int,
+    eta: float,
+    update: str = "simultaneous",
+    next_turn: int | None = None,
+    measure: str | None = None,
+) -> DataFrame:
+    """One turn: the factors after learning the sub-blocks of ``turn``, placed for ``next_turn`` (default: the one after).
 
     ``stored`` is what ``place_factors``, a ``FactorStore`` or the turn before returned. With ``update="sequential"``
     an item's step uses the user row that was just updated. Factors of blocks without samples pass through.
+    ``measure`` adds rows of role ``E`` with the error of the sub-blocks ``before`` the learning, to those that are there,
+    or ``after`` it, in their place.
     """
     if update not in ("simultaneous", "sequential"):
         raise ValueError(f"unknown update rule {update!r}")
-    kernel = _turn_kernel(layout, turn, "learn", eta, update == "sequential")
-    return _in_buckets(layout, turn, stored, kernel, ["lvl", "i", "j", "r"])
+    following = (turn + 1) % layout.cuts.turns if next_turn is None else next_turn
+    kernel = _turn_kernel(layout, following, eta, update == "sequential", measure, measure == "before")
+    return _in_buckets(layout, turn, stored, kernel, ["rs", "cs", "lvl", "i", "j", "r"])
 
 
-def turn_error(layout: Layout, stored: DataFrame, turn: int) -> DataFrame:
-    """The factors, unchanged but placed for the turn after, and a row of role ``E`` for every sub-block of ``turn``."""
-    kernel = _turn_kernel(layout, turn, "measure")
+def turn_error(layout: Layout, stored: DataFrame, turn: int, next_turn: int, carry: bool = True) -> DataFrame:
+    """The factors, unchanged but placed for ``next_turn``, and a row of role ``E`` for every sub-block of ``turn``.
+
+    Rows of other sub-blocks stay if ``carry``.
+    """
+    kernel = _turn_kernel(layout, next_turn, None, False, "before", carry)
     return _in_buckets(layout, turn, stored, kernel, ["rs", "cs", "i", "j", "r"])

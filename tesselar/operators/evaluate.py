@@ -69,6 +69,18 @@ def predict(joined: DataFrame, rank: int | None = None) -> DataFrame:
     return joined.withColumn("prediction", dot("w", "h", rank))
 
 
+def found_errors(store: FactorStore) -> DataFrame:
+    """``rb``, ``cb``, ``squared_error``, ``n`` from the error rows of a store, one for each block."""
+    number, n = F.col("id"), F.lit(store.layout.cuts.grid.n)
+    found = store.files().where(F.col("role") == ERROR).select(
+        F.call_function("div", number, n).cast("int").alias("rb"),
+        F.pmod(number, n).cast("int").alias("cb"),
+        F.col("vec")[0].alias("squared_error"),
+        F.col("vec")[1].cast("long").alias("n"),
+    )
+    return found.groupBy("rb", "cb").agg(F.sum("squared_error").alias("squared_error"), F.sum("n").alias("n"))
+
+
 def stored_block_error(store: FactorStore) -> DataFrame:
     """Squared error and sample count of every (row block, column block) that has samples.
 
@@ -77,15 +89,8 @@ def stored_block_error(store: FactorStore) -> DataFrame:
     """
     layout = store.layout
     for turn in range(layout.cuts.turns):
-        store.write(turn_error(layout, store.read(), turn))
-    number, n = F.col("id"), F.lit(layout.cuts.grid.n)
-    found = store.files().where(F.col("role") == ERROR).select(
-        F.call_function("div", number, n).cast("int").alias("rb"),
-        F.pmod(number, n).cast("int").alias("cb"),
-        F.col("vec")[0].alias("squared_error"),
-        F.col("vec")[1].cast("long").alias("n"),
-    )
-    return found.groupBy("rb", "cb").agg(F.sum("squared_error").alias("squared_error"), F.sum("n").alias("n"))
+        store.write(turn_error(layout, store.read(), turn, (turn + 1) % layout.cuts.turns, carry=turn > 0))
+    return found_errors(store)
 
 
 def block_error(ratings: DataFrame, factors: DataFrame, grid: Grid, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:

@@ -49,10 +49,13 @@ def member_names(events: DataFrame, rows_per_chunk: int = ROWS_PER_TASK) -> Data
     return finish(numbered).select("balancer", "seq", "ip", name.alias("name"))
 
 
-def member_list(members: DataFrame, rows_per_chunk: int = ROWS_PER_TASK) -> DataFrame:
-    """One comma-joined list of member addresses per balancer, in add order.
+def member_list(
+    members: DataFrame, rows_per_chunk: int = ROWS_PER_TASK, balancers: DataFrame | None = None
+) -> DataFrame:
+    """One comma-joined list of member addresses per balancer, in add order, with a closing line feed.
 
-    The list is the result row itself; it is put together from texts built per chunk.
+    The list is the result row itself; it is put together from texts built per chunk. ``balancers`` names the balancers
+    to answer for; without members the list is the line feed alone.
     """
     chunked = chunk(members, ["balancer"], ["seq"], rows_per_chunk).df
     url = F.concat(F.lit("http://"), F.col("ip"))
@@ -64,7 +67,10 @@ def member_list(members: DataFrame, rows_per_chunk: int = ROWS_PER_TASK) -> Data
     texts = chunked.withColumn("url", url).groupBy("balancer", CHUNK).agg(
         in_order("seq", "url").alias("text")
     )
-    return texts.groupBy("balancer").agg(in_order(CHUNK, "text").alias("members"))
+    lists = texts.groupBy("balancer").agg(in_order(CHUNK, "text").alias("members"))
+    if balancers is not None:
+        lists = null_safe_join(balancers.select("balancer").distinct(), lists, ["balancer"], "left")
+    return lists.withColumn("members", F.concat(F.coalesce("members", F.lit("")), F.lit("\n")))
 
 
 def round_robin_assign(

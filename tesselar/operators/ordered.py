@@ -55,6 +55,11 @@ def chunk(
     return Chunked(rest.unionByName(cut), key, order, hot)
 
 
+def plain(df: DataFrame, key: list[str], order: list[str]) -> Chunked:
+    """Rows of keys that are known to fit a task each."""
+    return Chunked(df.withColumn(CHUNK, F.lit(0)), key, order, HotKeys(tuple(key), 0, None))
+
+
 def chunk_window(chunked: Chunked):
     return Window.partitionBy(*chunked.key, CHUNK).orderBy(*chunked.order)
 

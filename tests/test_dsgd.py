@@ -7,12 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesselar.operators.cuts import Cuts, fitting_cuts, id_counts
-from tesselar.operators.dsgd import block_layout, bucket_keys, dsgd_update, place_factors, sample_levels
+from tesselar.operators.dsgd import block_layout, dsgd_update, place_factors, sample_levels
 from tesselar.operators.evaluate import block_error, model_error
 from tesselar.operators.factors import init_factors, observed_ids
 from tesselar.operators.grid import Grid, assign_blocks, measured_grid
 from tesselar.plans.files import score_files, train_files
 from tesselar.plans.train import TrainingParams, measured_cuts, train_factors
+from tesselar.workspace import bucket_keys
 
 RANK = 4
 

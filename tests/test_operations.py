@@ -14,6 +14,7 @@ from tesselar.operators.alarms import (
     tumbling_alarm,
 )
 from tesselar.operators.health import evict_first_failure, health_state
+from tesselar.operators.livelist import live_member_list, live_members
 from tesselar.operators.loadlog import first_reach, last_minute_rps, log_id_extract, text_contains_flag
 from tesselar.operators.membership import (
     active_members,
@@ -171,10 +172,13 @@ def test_membership(spark, rows_per_chunk):
     )
     texts = {r["balancer"]: r["members"] for r in member_list(active, 2).collect()}
     assert texts == {
-        balancer: ",".join(f"http://{ip}" for _, ip in members)
+        balancer: ",".join(f"http://{ip}" for _, ip in members) + "\n"
         for balancer, members in lists.items()
         if members
     }
+    asked = spark.createDataFrame([(0,), (1,), (7,), (None,)], "balancer LONG")
+    answers = {r["balancer"]: r["members"] for r in member_list(active, 2, asked).collect()}
+    assert answers == {0: "\n", 1: "\n", 7: "\n", None: "\n"} | texts
     names = member_names(df, rows_per_chunk).orderBy("balancer", "seq").collect()
     adds = {b: [seq for seq, balancer, op, _ in rows if balancer == b and op == "add"] for b in (0, 1)}
     assert [(r["balancer"], r["seq"], r["name"]) for r in names] == [
@@ -244,3 +248,57 @@ def test_responses_and_steps(spark):
         "run_id STRING, step INT, load DOUBLE",
     )
     assert [tuple(row) for row in first_reach(steps).collect()] == [("a", 1, 2)]
+
+
+def live_by_hand(rows):
+    """The list as the balancer keeps it: entries in add order, and what became of each."""
+    lists, told, names = {}, {}, {}
+    for balancer, seq, op, ip, status in rows:
+        members = lists.setdefault(balancer, [])
+        if ip.startswith("host"):
+            continue
+        if op == "add":
+            names[balancer] = names.get(balancer, -1) + 1
+            told[balancer, seq] = [ip, f"DC-{names[balancer]}", None, None]
+            members.append(seq)
+        elif op == "remove":
+            for entry in members:
+                if told[balancer, entry][0] == ip:
+                    told[balancer, entry][2:] = [seq, "removed"]
+                    members.remove(entry)
+                    break
+        elif op == "probe" and status != 200:
+            for entry in [m for m in members if told[balancer, m][0] == ip]:
+                told[balancer, entry][2:] = [seq, "evicted"]
+                members.remove(entry)
+    return lists, told
+
+
+LIVE_SCHEMA = "balancer LONG, seq LONG, op STRING, ip STRING, status INT"
+
+
+@pytest.mark.parametrize("fail", [0.0, 0.02, 0.2])
+@pytest.mark.parametrize("rows_per_chunk", [7, 60, PLAIN])
+def test_live_members(spark, rows_per_chunk, fail):
+    rng = random.Random(5)
+    rows = []
+    for seq in range(600):
+        ip = "10.0.0.1" if rng.random() < 0.6 else rng.choice(["10.0.0.2", "::1", "host-1"])
+        op = "probe" if rng.random() < max(fail, 0.1) else rng.choice(["add", "add", "remove"] if seq % 200 < 120 else ["add", "remove", "remove"])
+        status = rng.choice([500, None]) if rng.random() < (fail / 0.1 if fail < 0.1 else 1.0) else 200
+        rows.append((0 if rng.random() < 0.8 else 1, seq, op, ip, status))
+    rows.append((9, 600, "remove", "10.0.0.1", None))
+    lists, told = live_by_hand(rows)
+    df = spark.createDataFrame(rows, LIVE_SCHEMA).repartition(3)
+    found = {(r["balancer"], r["seq"]): [r["ip"], r["name"], r["left_at"], r["reason"]] for r in live_members(df, rows_per_chunk).collect()}
+    assert found == told
+    answers = {r["balancer"]: r["members"] for r in live_member_list(df, rows_per_chunk).collect()}
+    assert answers == {b: ",".join(f"http://{told[b, seq][0]}" for seq in members) + "\n" for b, members in lists.items()}
+
+
+def test_live_members_of_nothing(spark):
+    empty = spark.createDataFrame([], LIVE_SCHEMA)
+    assert live_members(empty).collect() == [] and live_member_list(empty).collect() == []
+    rejected = spark.createDataFrame([(1, 1, "add", "host-1", None), (1, 2, None, "::1", None), (1, 3, "add", None, None)], LIVE_SCHEMA)
+    assert live_members(rejected).collect() == []
+    assert [tuple(r) for r in live_member_list(rejected).collect()] == [(1, "\n")]

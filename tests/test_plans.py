@@ -46,7 +46,7 @@ def test_a_turn_shuffles_nothing(spark, rows_per_block):
 
 def test_no_vector_is_shuffled_for_an_error(spark):
     layout, store = stored_blocks(spark)
-    assert "Exchange" not in plan_of(turn_error(layout, store.read(), 0))
+    assert "Exchange" not in plan_of(turn_error(layout, store.read(), 0, 1))
     plan = plan_of(stored_block_error(store))
     assert plan.count("Exchange") == 1
     assert "vec" not in plan.split("Exchange")[1].split("\n")[0]
