@@ -8,7 +8,7 @@ from tesselar.operators.evaluate import model_error
 from tesselar.operators.factors import dense_ids, init_factors
 from tesselar.plans.train import TrainingParams, train_factors
 from tesselar.sources.factors import read_factors_csv, write_factors_csv
-from tesselar.sources.ratings import read_ratings
+from tesselar.sources.ratings import read_numbered_ratings, read_ratings
 from tesselar.workspace import materialize
 
 
@@ -17,9 +17,12 @@ def train_files(
 ) -> DataFrame:
     """Train on a rating file, write both factor files and return the training log.
 
-    Every id from 0 to the largest gets a line, so that a line's position is its id.
+    Every id from 0 to the largest gets a line, so that a line's position is its id. With ``order=("number",)`` the
+    samples of a block are learned in the order of the file.
     """
-    ratings = materialize(read_ratings(spark, ratings_path), "ratings")
+    in_file_order = "number" in params.order
+    ratings = read_numbered_ratings(spark, ratings_path) if in_file_order else read_ratings(spark, ratings_path)
+    ratings = materialize(ratings, "ratings")
     start = init_factors(dense_ids(ratings), params.rank, params.seed)
     factors, log = train_factors(ratings, params, start)
     write_factors_csv(factors, w_path, "W")

@@ -5,7 +5,18 @@ from __future__ import annotations
 from tesselar.functions.text import HEXTET, IPV4, IPV6_FULL, IPV6_SHORT
 from tesselar.operators.alarms import DEFAULT_RULES
 from tesselar.operators.scaling import PolicyParams
-from tesselar.plans.queries import BLOCKS, HEALTH_RUNS, OFFSET, PERIOD, RANK, SCALING, SEED
+from tesselar.plans.queries import (
+    BLOCKS,
+    HEALTH_RUNS,
+    LINE_ORDER,
+    NO_BALANCER,
+    OFFSET,
+    PERIOD,
+    PHRASE,
+    RANK,
+    SCALING,
+    SEED,
+)
 from tesselar.plans.views import AGE_CODES
 
 EPOCH = "TIMESTAMP '1970-01-01'"
@@ -227,15 +238,17 @@ def _vector_rows(source: str, digits: int = 9, table: str = "factors") -> str:
     )
 
 
-def _steps(chosen: str, epochs: int, eta: float = 0.015, turn: str = "s") -> str:
+def _steps(
+    chosen: str, epochs: int, eta: float = 0.015, turn: str = "s", order: str = "i, j, r", factors: str = FACTORS
+) -> str:
     """Samples in block order, and the step at which each is learned.
 
     A sample comes one level after the last earlier sample of its block with the same user or item;
     the samples of a level do not affect each other and make one step.
     """
-    return f"""{BLOCKED}, {FACTORS},
+    return f"""{BLOCKED}, {factors},
 numbered AS MATERIALIZED (
-  SELECT {turn} AS s, rb, i, j, r, row_number() OVER (ORDER BY {turn}, rb, i, j, r) AS n
+  SELECT {turn} AS s, rb, i, j, r, row_number() OVER (ORDER BY {turn}, rb, {order}) AS n
   FROM blocked WHERE {chosen}),
 samples AS MATERIALIZED (
   SELECT *, lag(n) OVER (PARTITION BY s, rb, i ORDER BY n) AS before_i,
@@ -272,10 +285,17 @@ def _model(name: str, last_step: str, w_used: str = "w") -> str:
 
 
 def _learned(
-    chosen: str, epochs: int, w_used: str = "w", eta: float = 0.015, turn: str = "s", more: str = ""
+    chosen: str,
+    epochs: int,
+    w_used: str = "w",
+    eta: float = 0.015,
+    turn: str = "s",
+    more: str = "",
+    order: str = "i, j, r",
+    factors: str = FACTORS,
 ) -> str:
     return (
-        f"WITH RECURSIVE {_steps(chosen, epochs, eta, turn)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
+        f"WITH RECURSIVE {_steps(chosen, epochs, eta, turn, order, factors)}, {_model('model', '(SELECT max(n) FROM steps)', w_used)} "
         f"SELECT role, id, {more}CAST(k AS INTEGER) AS k, round(vec[k + 1], 6) AS value FROM model, range({RANK}) AS positions(k)"
     )
 
@@ -293,11 +313,38 @@ FROM (SELECT r - list_dot_product(w.vec, h.vec) AS d FROM ratings
     return f"WITH RECURSIVE {', '.join(parts)} {' UNION ALL '.join(rows)}"
 
 
-DENSE = f"""{EXTENT},
-factors AS (
+RESPONSES = """responses AS (
+  SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN text || chr(10) || 'started test.' || doc_id || '.log test.0.log' ELSE text END AS text
+  FROM documents)"""
+
+DENSE_FACTORS = f"""factors AS (
   SELECT role, id, {_vec('role', SEED)} AS vec
   FROM (SELECT 'W' AS role, unnest(range(max_i + 1)) AS id FROM extent
         UNION ALL SELECT 'H', unnest(range(max_j + 1)) FROM extent))"""
+DENSE = f"{EXTENT}, {DENSE_FACTORS}"
+
+LIVE = """asked AS (
+  SELECT event_id AS seq, user_id % 4 AS balancer, CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 END AS kind,
+         '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip
+  FROM events WHERE event_type IN ('signup', 'purchase', 'error') AND event_id % 17 <> 0),
+stretches AS (
+  SELECT *, count(*) FILTER (kind = 1) OVER key AS adds, count(*) FILTER (kind = 3) OVER key - CAST(kind = 3 AS INTEGER) AS fails
+  FROM asked WINDOW key AS (PARTITION BY balancer, ip ORDER BY seq)),
+sums AS (
+  SELECT *, sum(CASE kind WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END) OVER (PARTITION BY balancer, ip, fails ORDER BY seq) AS total FROM stretches),
+queue AS (
+  SELECT *, adds - CASE WHEN kind = 3 THEN 0 ELSE total - least(0, min(total) OVER (PARTITION BY balancer, ip, fails ORDER BY seq)) END AS gone FROM sums),
+drops AS (
+  SELECT balancer, ip, gone AS number, seq AS removed_at
+  FROM (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY balancer, ip ORDER BY seq) AS before FROM queue) WHERE kind = 2 AND gone > before),
+fails AS (SELECT balancer, ip, fails, seq AS evicted_at FROM queue WHERE kind = 3),
+live AS (
+  SELECT q.balancer, q.seq, q.ip, 'DC-' || (row_number() OVER (PARTITION BY q.balancer ORDER BY q.seq) - 1) AS name,
+         coalesce(removed_at, evicted_at) AS left_at,
+         CASE WHEN removed_at IS NOT NULL THEN 'removed' WHEN evicted_at IS NOT NULL THEN 'evicted' END AS reason
+  FROM queue q LEFT JOIN drops d ON d.balancer = q.balancer AND d.ip = q.ip AND d.number = q.adds
+  LEFT JOIN fails f ON f.balancer = q.balancer AND f.ip = q.ip AND f.fails = q.fails
+  WHERE kind = 1)"""
 
 ORACLE: dict[str, str] = {
     "ratings_scan": f"WITH {RATINGS} SELECT i, j, r FROM ratings",
@@ -315,11 +362,11 @@ FROM customer""",
   unnest(string_split(p_type, ' ')) AS genre FROM part""",
     "line_count": f"WITH {RATINGS} SELECT count(*) AS lines FROM ratings",
     "factors_to_csv": f"""WITH {RATINGS}, {FACTORS}
-SELECT role, id, array_to_string(list_transform(vec, lambda v: CAST(CAST(round(v, 6) AS DECIMAL(18, 6)) AS VARCHAR)), ',') AS line
+SELECT role, row_number() OVER (PARTITION BY role ORDER BY id) - 1 AS number, array_to_string(list_transform(vec, lambda v: CAST(CAST(round(v, 6) AS DECIMAL(18, 6)) AS VARCHAR)), ',') AS line
 FROM factors""",
     "factors_from_csv": f"""WITH {RATINGS}, {FACTORS},
-placed AS (SELECT row_number() OVER (ORDER BY id) - 1 AS id, vec FROM factors WHERE role = 'W')
-SELECT 'W' AS role, id, CAST(k AS INTEGER) AS k, round(vec[k + 1], 6) AS value
+placed AS (SELECT role, row_number() OVER (PARTITION BY role ORDER BY id) - 1 AS id, vec FROM factors)
+SELECT role, id, CAST(k AS INTEGER) AS k, round(vec[k + 1], 6) AS value
 FROM placed, range({RANK}) AS positions(k)""",
     "blocks_write": f"WITH {BLOCKED} SELECT i, j, r, rb, cb FROM blocked",
     "load_log_scan": """WITH split AS (
@@ -336,12 +383,9 @@ FROM ratings, ones""",
     "rotate_item_blocks": f"WITH {KEYED} SELECT id, cb, key FROM h",
     "predict": f"""WITH {RATINGS}, {FACTORS}, {JOINED.format(side='ratings')}
 SELECT i, j, r, round(prediction, 6) AS prediction FROM joined""",
-    "log_id_extract": """SELECT event_id AS id, regexp_extract(
-  CASE WHEN event_id % 2 = 0 THEN 'return to the homepage, started test.' || event_id || '.log' ELSE 'retry' END,
-  '(test\\.\\d{1,}\\.log)', 1) AS log_name FROM events""",
-    "text_contains_flag": """SELECT event_id AS id, contains(
-  CASE WHEN event_id % 2 = 0 THEN 'return to the homepage, started test.' || event_id || '.log' ELSE 'retry' END,
-  'return to the homepage') AS found FROM events""",
+    "log_id_extract": f"""WITH {RESPONSES}
+SELECT id, regexp_extract(text, '(test\\.\\d{{1,}}\\.log)', 1) AS log_name FROM responses""",
+    "text_contains_flag": f"WITH {RESPONSES} SELECT id, contains(text, '{PHRASE}') AS found FROM responses",
     "threshold_label": f"WITH {LABELLED} SELECT dim, t, label FROM labelled",
     "member_ip_check": _addresses(),
     "block_factor_join": f"WITH {BLOCK_JOIN} SELECT * FROM wh",
@@ -402,7 +446,12 @@ GROUP BY a.instance, a.episode, a.added_at""",
 SELECT balancer, seq, ip, 'DC-' || (row_number() OVER (PARTITION BY balancer ORDER BY seq) - 1) AS name
 FROM members WHERE op = 'add'""",
     "member_list": f"""WITH {ACTIVE}
-SELECT balancer, string_agg('http://' || ip, ',' ORDER BY seq) AS members FROM active GROUP BY balancer""",
+SELECT balancer, coalesce(string_agg('http://' || ip, ',' ORDER BY seq), '') || chr(10) AS members
+FROM (SELECT DISTINCT balancer FROM members UNION SELECT {NO_BALANCER}) LEFT JOIN active USING (balancer) GROUP BY balancer""",
+    "live_members": f"WITH {LIVE} SELECT * REPLACE (coalesce(left_at, -1) AS left_at) FROM live",
+    "live_member_list": f"""WITH {LIVE}
+SELECT balancer, coalesce(string_agg('http://' || ip, ',' ORDER BY seq), '') || chr(10) AS members
+FROM (SELECT DISTINCT user_id % 4 AS balancer FROM events) LEFT JOIN (FROM live WHERE left_at IS NULL) USING (balancer) GROUP BY balancer""",
     "round_robin_assign": f"""WITH {ACTIVE},
 slots AS (
   SELECT balancer, ip, row_number() OVER (PARTITION BY balancer ORDER BY seq) - 1 AS slot,
@@ -432,6 +481,8 @@ factors AS (SELECT role, id, CASE WHEN k.id IS NULL THEN {_vec('role', SEED + 2)
         f"s = {OFFSET}", 1, more=f"""CAST(CASE WHEN role = 'W' THEN id // (SELECT di FROM dims)
   ELSE (id // (SELECT dj FROM dims) - {OFFSET + 1} + {BLOCKS}) % {BLOCKS} END AS INTEGER) AS key, """
     ),
+    "train_line_order": _learned("true", 1, order=LINE_ORDER),
+    "train_files": _learned("true", 1, factors=DENSE_FACTORS),
     "training_log": _log(2),
     "scaling_decisions": _scaling(),
     "policy_actions": _policy(),
@@ -448,5 +499,10 @@ for _name in (
     "member_names",
     "scaling_decisions",
     "model_error",
+    "live_members",
+    "health_state",
+    "round_robin_assign",
+    "policy_actions",
+    "last_minute_rps",
 ):
     ORACLE[f"{_name}_hot"] = ORACLE[_name]

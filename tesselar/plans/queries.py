@@ -15,6 +15,7 @@ from tesselar.operators import (
     factors,
     grid,
     health,
+    livelist,
     loadlog,
     membership,
     scaling,
@@ -23,10 +24,12 @@ from tesselar.operators.cuts import fitting_cuts, id_counts
 from tesselar.operators.skew import ROWS_PER_TASK
 from tesselar.plans import views
 from tesselar.plans.files import score_files as score_factor_files
+from tesselar.plans.files import train_files as train_to_files
 from tesselar.plans.train import TrainingParams, train_factors
 from tesselar.sources import factors as factor_files
 from tesselar.sources import logs
 from tesselar.sources import ratings as rating_files
+from tesselar.sources.lines import numbered_lines
 from tesselar.streaming.alarms import stream_metric_alarm
 from tesselar.streaming.decisions import stream_scaling_decisions
 from tesselar.streaming.run import run_available
@@ -41,6 +44,10 @@ SCALING = scaling.ScalingParams(
     upper=55.0, lower=45.0, min_size=1, max_size=4, period=PERIOD, count=2, cooldown=2 * PERIOD
 )
 HEALTH_RUNS = (2, 2)
+NO_BALANCER = -1
+PHRASE = "the the"
+# The order of lines in the rating file of the queries that train in file order.
+LINE_ORDER = "(i * 7919 + j * 104729) % 1000003, i, j, r"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,17 +156,31 @@ def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def factors_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return factor_files.factor_lines(_start_factors(views.ratings(spark, sf_dir)), digits=6)
+    """The lines of both roles as they stand in their files, by line number."""
+    start = materialize(_start_factors(views.ratings(spark, sf_dir)), "factors")
+    lines = []
+    for role in factors.AXES:
+        path = new_path(spark, "factor-lines")
+        factor_files.write_factors_csv(start, path, role, digits=6)
+        lines.append(numbered_lines(spark, path).select(F.lit(role).alias("role"), "number", "line"))
+    return lines[0].unionAll(lines[1])
 
 
 @query
 def factors_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "factor-lines")
-    factor_files.write_factors_csv(_start_factors(views.ratings(spark, sf_dir)), path, "W")
-    read = factor_files.read_factors_csv(spark, path, "W")
-    return read.select("role", "id", F.posexplode_outer("vec").alias("k", "value")).withColumn(
-        "value", _rounded("value")
-    )
+    """Both roles, written to their files and read back."""
+    start = materialize(_start_factors(views.ratings(spark, sf_dir)), "factors")
+    return _vector_rows(_written_factors(spark, start))
+
+
+def _written_factors(spark: SparkSession, model: DataFrame) -> DataFrame:
+    """Factors written to a file for each role and read back."""
+    read = []
+    for role in factors.AXES:
+        path = new_path(spark, "factor-lines")
+        factor_files.write_factors_csv(model, path, role)
+        read.append(factor_files.read_factors_csv(spark, path, role))
+    return read[0].unionAll(read[1])
 
 
 @query
@@ -218,7 +239,7 @@ def log_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def text_contains_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loadlog.text_contains_flag(views.responses(spark, sf_dir))
+    return loadlog.text_contains_flag(views.responses(spark, sf_dir), PHRASE)
 
 
 @query
@@ -391,8 +412,32 @@ def member_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def member_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    active = materialize(membership.active_members(views.members(spark, sf_dir)), "members")
-    return membership.member_list(active)
+    """The answers of all balancers, and of one more that never had a request."""
+    members = views.members(spark, sf_dir)
+    active = materialize(membership.active_members(members), "members")
+    asked = members.select(F.explode(F.array("balancer", F.lit(NO_BALANCER))).alias("balancer"))
+    return membership.member_list(active, balancers=asked)
+
+
+def _live_members(spark: SparkSession, sf_dir: str, rows_per_chunk: int) -> DataFrame:
+    """Entries of the live list; -1 for those that never left it."""
+    entries = livelist.live_members(views.member_events(spark, sf_dir), rows_per_chunk)
+    return entries.withColumn("left_at", F.coalesce("left_at", F.lit(-1).cast("long")))
+
+
+@query
+def live_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _live_members(spark, sf_dir, ROWS_PER_TASK)
+
+
+@query
+def live_members_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _live_members(spark, sf_dir, HOT_ROWS)
+
+
+@query
+def live_member_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return livelist.live_member_list(views.member_events(spark, sf_dir))
 
 
 @query
@@ -515,6 +560,32 @@ def train_row_major(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir, replace(TrainingParams.out_of_core(RANK, BLOCKS), epochs=2))
 
 
+def _ordered_file(spark: SparkSession, sf_dir: str) -> str:
+    """The ratings as a text file in an order of its own."""
+    path = new_path(spark, "rating-lines")
+    ratings = views.ratings(spark, sf_dir).orderBy(*[F.expr(part) for part in LINE_ORDER.split(", ")])
+    ratings.select(F.concat_ws(",", "i", "j", "r")).write.text(path)
+    return path
+
+
+@query
+def train_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An epoch over a rating file, the samples of a block in the order of their lines."""
+    ratings = materialize(rating_files.read_numbered_ratings(spark, _ordered_file(spark, sf_dir)), "ratings")
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=1, order=("number",))
+    return _vector_rows(train_factors(ratings, params)[0])
+
+
+@query
+def train_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a rating file to both factor files: the lines of every id, rated or not, read back."""
+    home = new_path(spark, "trained")
+    params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=1)
+    train_to_files(spark, _ordered_file(spark, sf_dir), f"{home}/W", f"{home}/H", params)
+    w, h = (factor_files.read_factors_csv(spark, f"{home}/{role}", role) for role in factors.AXES)
+    return _vector_rows(w.unionAll(h))
+
+
 @query
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = TrainingParams(rank=RANK, blocks=BLOCKS, epochs=2)
@@ -583,6 +654,31 @@ def scaling_decisions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaling.scaling_decisions(_labelled(spark, sf_dir), SCALING, HOT_ROWS)
 
 
+@query
+def health_state_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    up, down = HEALTH_RUNS
+    states = health.health_state(views.probes(spark, sf_dir), up, down, HOT_ROWS)
+    return states.select("instance", "ts", "seq", "state")
+
+
+@query
+def round_robin_assign_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    active = materialize(membership.active_members(views.members(spark, sf_dir)), "members")
+    return membership.round_robin_assign(views.requests(spark, sf_dir), active, HOT_ROWS)
+
+
+@query
+def policy_actions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alarms.tumbling_alarm(views.metrics(spark, sf_dir))
+    return scaling.policy_actions(materialize(found, "alarms"), rows_per_chunk=HOT_ROWS)
+
+
+@query
+def last_minute_rps_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = loadlog.last_minute_rps(views.load_log(spark, sf_dir), HOT_ROWS)
+    return rates.withColumn("rps", _rounded("rps"))
+
+
 @query
 def model_error_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _written_ratings(spark, sf_dir)

@@ -111,11 +111,24 @@ def load_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    started = F.concat(
-        F.lit("return to the homepage, started test."), "event_id", F.lit(".log")
+    """The documents as response bodies; every second one names a log somewhere behind its text."""
+    named = F.concat("text", F.lit("\nstarted test."), "doc_id", F.lit(".log test.0.log"))
+    text = F.when(F.col("doc_id") % 2 == 0, named).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.alias("text"))
+
+
+def member_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign-ups add the user's address, purchases remove it, errors are failed probes, views ok ones; some addresses are none."""
+    kind = F.col("event_type")
+    op = F.when(kind == "signup", "add").when(kind == "purchase", "remove").otherwise("probe")
+    ip = F.concat(F.lit("10.0."), F.floor(F.col("user_id") / 256), F.lit("."), F.col("user_id") % 256)
+    return events(spark, sf_dir).select(
+        (F.col("user_id") % 4).alias("balancer"),
+        F.col("event_id").alias("seq"),
+        op.alias("op"),
+        F.when(F.col("event_id") % 17 == 0, F.concat(F.lit("host-"), "user_id")).otherwise(ip).alias("ip"),
+        F.when(kind == "view", 200).when(kind == "click", 200).when(kind == "error", 500).alias("status"),
     )
-    text = F.when(F.col("event_id") % 2 == 0, started).otherwise("retry")
-    return events(spark, sf_dir).select(F.col("event_id").alias("id"), text.alias("text"))
 
 
 def rated_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

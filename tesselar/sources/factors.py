@@ -2,57 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselar.functions.vectors import joined_values
+from tesselar.sources.lines import numbered_lines
 
 
 def factor_lines(factors: DataFrame, digits: int | None = None) -> DataFrame:
     return factors.select("role", "id", joined_values(F.col("vec"), digits).alias("line"))
 
 
-def write_factors_csv(factors: DataFrame, path: str, role: str, single_file: bool = False) -> None:
+def write_factors_csv(
+    factors: DataFrame, path: str, role: str, single_file: bool = False, digits: int | None = None
+) -> None:
     """Write the lines of one role in id order.
 
     The part files follow the id order by name; ``single_file`` funnels them through one task and
     suits small models only.
     """
-    lines = factor_lines(factors.filter(F.col("role") == role)).orderBy("id").select("line")
+    lines = factor_lines(factors.filter(F.col("role") == role), digits).orderBy("id").select("line")
     (lines.coalesce(1) if single_file else lines).write.text(path)
 
 
 def read_factors_csv(spark: SparkSession, path: str, role: str) -> DataFrame:
-    """Read the lines back; ids count from 0 in file and line order.
-
-    Files follow the number in ``part-<number>``, then their names; names without one come first.
-
-    Row ids inside one file split are consecutive, so a line's position is its distance from the
-    first line of its split plus the lines of the splits before it.
-    """
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    splits = lines.groupBy("file", "split").agg(
-        F.min("row").alias("first_row"), F.count("*").alias("split_lines")
-    )
-    files = splits.groupBy("file").agg(F.sum("split_lines").alias("file_lines"))
-    # One row per file, then one row per split of a file: both small next to the lines.
-    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
-    part = F.regexp_extract("file", r"part-(\d+)[^/]*\z", 1).try_cast("long")
-    by_part = Window.orderBy(part.asc_nulls_first(), "file")
-    file_starts = files.select(
-        "file", F.coalesce(F.sum("file_lines").over(before(by_part)), F.lit(0)).alias("base")
-    )
-    in_file = F.sum("split_lines").over(before(Window.partitionBy("file").orderBy("split")))
-    starts = splits.join(file_starts, "file").select(
-        "file", "split", "first_row", (F.col("base") + F.coalesce(in_file, F.lit(0))).alias("start")
-    )
-    return lines.join(starts, ["file", "split"]).select(
+    """Read the lines back; ids count from 0 in file and line order, see ``numbered_lines``."""
+    return numbered_lines(spark, path).select(
         F.lit(role).alias("role"),
-        (F.col("start") + F.col("row") - F.col("first_row")).alias("id"),
+        F.col("number").alias("id"),
         F.transform(F.split("line", ","), lambda token: token.cast("double")).alias("vec"),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesselar.sources.lines import numbered_lines
+
 MOVIELENS_SCHEMAS = {
     "ratings": "user_id LONG, movie_id LONG, rating DOUBLE, seconds LONG",
     "users": "user_id LONG, gender STRING, age INT, occupation INT, zip_code STRING",
@@ -26,14 +28,15 @@ def _required(tokens: Column, position: int, kind: str) -> Column:
     return F.coalesce(parsed, F.raise_error(problem).cast(kind))
 
 
-def parse_ratings(lines: DataFrame) -> DataFrame:
-    """``i,j,r[,...]`` lines to rows. Further tokens are ignored; a bad or blank line raises."""
+def parse_ratings(lines: DataFrame, *kept: str) -> DataFrame:
+    """``i,j,r[,...]`` lines to rows, with the columns ``kept``. Further tokens are ignored; a bad or blank line raises."""
     # A limit of 4 leaves everything after the third comma unsplit.
     tokens = F.split(F.col("line"), ",", 4)
     return lines.select(
         _required(tokens, 0, "long").alias("i"),
         _required(tokens, 1, "long").alias("j"),
         _required(tokens, 2, "double").alias("r"),
+        *kept,
     )
 
 
@@ -41,6 +44,11 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return parse_ratings(spark.read.text(path).withColumnRenamed("value", "line"))
 
 
+def read_numbered_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """The ratings with ``number``, the place of their line in the file, for training in file order."""
+    return parse_ratings(numbered_lines(spark, path), "number")
+
+
 def line_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).agg(F.count("*").alias("lines"))
 

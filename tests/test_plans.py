@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tesselar.operators.alarms import breach_counters
 from tesselar.operators.cuts import fitting_cuts, id_counts
 from tesselar.operators.dsgd import FactorStore, block_layout, dsgd_update, turn_error
 from tesselar.operators.evaluate import stored_block_error
@@ -67,6 +68,17 @@ def test_three_running_scans_share_one_shuffle_and_sort(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
+def test_state_of_hot_keys_needs_one_layout(spark):
+    """Rows of hot keys are shuffled when they are stored in order, and never again: one scan of the stored rows."""
+    probes = views.probes(spark, SF_DIR)
+    plan = plan_of(health_state(probes, 2, 2, 50))
+    assert "Exchange" not in plan and "Window" not in plan
+    assert plan.count("FileScan") == plan.count("Bucketed: true") == 1
+    labelled = probes.select(F.lit("all").alias("dim"), F.col("ts").alias("t"), F.lit("up").alias("label"))
+    plan = plan_of(breach_counters(labelled, 50))
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_members_shuffle_once_and_filter_in_the_scan(spark):
     plan = plan_of(active_members(views.members(spark, SF_DIR)))
     assert plan.count("Exchange hashpartitioning") == 1
