@@ -1,7 +1,9 @@
-"""Token ids of whole texts, encoded word by word with a bounded memory of words.
+"""Token ids of whole texts, encoded unit by unit with a bounded memory of units.
 
-Both vocabularies split a text before white space, so the ids of a text are the ids of its words, each
-with the white space in front of it. A word is encoded by the tokenizer once and then remembered.
+A unit is a word with the blanks and line feeds before it, or a part of one. Both vocabularies split a text before white
+space, and between a letter or digit and ASCII punctuation, so the ids of a text are the ids of its units one after
+another. The units of a slice are found and told apart in NumPy over the bytes of the column; a different unit
+is looked up once a slice, and encoded by the tokenizer only if it is not remembered.
 """
 
 from __future__ import annotations
@@ -11,65 +13,176 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-#: A word with the blanks and line feeds before it, or those at the end of the text. Letters or digits also end
-#: before ASCII punctuation other than an apostrophe: there both vocabularies always split.
-WORD = re.compile(
-    r"[ \n]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-&(-/:-@\[-`{-~])|[ \n]*[^ \n]+|[ \n]+"
-)
+from tesselar.llm.word_pointers import Pointers, byte_set, text_bytes
+
 #: Other white space could belong to one token with a blank behind it: such texts are encoded in one piece.
 OTHER_SPACE = re.compile(r"[^\S \n]")
 ID_BYTES = 4
+SPACE = byte_set((0x20, 0x20), (0x0A, 0x0A))
+ALPHANUMERIC = byte_set((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+#: ASCII punctuation without the apostrophe, which may belong to a token with letters.
+PUNCTUATION = byte_set((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+#: Bytes that other white space begins with, and what an added token begins with: rows with one are looked at closely.
+SUSPECT = byte_set((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F), (0xE1, 0xE3))
+LATIN, LATIN_SPACES, NO_LETTERS = 0xC3, (0x85, 0xA0), (0x97, 0xB7)
+#: Words with one blank before them and nothing that a tokenizer may change the length of: ASCII without control characters.
+ONE_BLANK = re.compile(rb" [!-~]+\Z")
+#: Words that are encoded as one text.
+STRUNG = 128
+#: Texts of a call that are worked on together.
+SLICE_ROWS = 1024
 
 
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    Remembers the words of late: at most ``memory`` new ones, and as many of the time before. With ``added_tokens``
+    Remembers the units of late: at most ``memory`` new ones, and as many of the time before. With ``added_tokens``
     the tokenizer stays as loaded, so the content of an added token is that token's id; else it is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 150_000, longest: int = 48, added_tokens: bool = False):
+    def __init__(self, path: str, memory: int = 300_000, longest: int = 48, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
-        contents = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        contents = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         #: Texts that are encoded in one piece.
-        self.whole = re.compile("|".join([OTHER_SPACE.pattern, *(contents if added_tokens else [])]))
+        self.whole = re.compile("|".join([OTHER_SPACE.pattern, *map(re.escape, contents)]))
+        self.suspect = SUSPECT.copy()
+        self.suspect[[content.encode()[0] for content in contents if content]] = True
+        #: The ids of a blank alone.
+        self.blank = np.asarray(self.tokenizer.encode(" ", add_special_tokens=False).ids, "<u4").tobytes()
         self.memory, self.longest = memory, longest
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, dtype="<u4").tobytes() for one in encoded]
+    def _encode(self, units: list[bytes]) -> list[bytes]:
+        """The ids of new units. Words with one blank in front are strung together: the tokenizer splits before blanks."""
+        found: list[bytes] = [b""] * len(units)
+        strung = [at for at, unit in enumerate(units) if ONE_BLANK.match(unit)]
+        alone = [at for at, unit in enumerate(units) if not ONE_BLANK.match(unit)] if len(strung) < len(units) else []
+        for start in range(0, len(alone), 4096):
+            chunk = alone[start : start + 4096]
+            texts = [units[at].decode("utf-8", "surrogatepass") for at in chunk]
+            for at, one in zip(chunk, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                found[at] = np.asarray(one.ids, dtype="<u4").tobytes()
+        groups = [strung[start : start + STRUNG] for start in range(0, len(strung), STRUNG)]
+        for start in range(0, len(groups), 256):
+            part = groups[start : start + 256]
+            words = [[units[at].decode("utf-8", "surrogatepass") for at in group] for group in part]
+            encoded = self.tokenizer.encode_batch(["".join(one) for one in words], add_special_tokens=False)
+            for group, texts, one in zip(part, words, encoded, strict=True):
+                ids = np.asarray(one.ids, dtype="<u4").tobytes()
+                # A word begins with the token of its first letter, or with a token for the blank alone before that.
+                at_char, first = 1, []
+                for text in texts:
+                    token = one.char_to_token(at_char) * ID_BYTES
+                    first.append(token - ID_BYTES if token and ids[token - ID_BYTES : token] == self.blank else token)
+                    at_char += len(text)
+                first.append(len(ids))
+                for at, a, b in zip(group, first[:-1], first[1:], strict=True):
+                    found[at] = ids[a:b]
+        return found
 
-    def ids(self, texts: Iterable[str | None]) -> list[bytes]:
-        """The ids of each text as bytes; a null text has none."""
-        words = [self._words(text) for text in texts]
-        wanted = set().union(*words)
+    def _look_up(self, units: list[bytes]) -> list[bytes]:
+        """The ids of different units."""
         if len(self.known) > self.memory:
             self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        missing = wanted.difference(known)
-        known.update((word, older[word]) for word in missing.intersection(older))
-        new = list(missing.difference(older))
-        for start in range(0, len(new), 4096):
-            chunk = new[start : start + 4096]
-            known.update(zip(chunk, self._encode(chunk), strict=True))
-        result = [b"".join(map(known.__getitem__, one)) for one in words]
-        for word in new:
-            if len(word) > self.longest:
-                del known[word]
-        return result
-
-    def _words(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        return [text] if self.whole.search(text) else WORD.findall(text)
+        found = list(map(self.known.get, units))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        if not missing:
+            return found
+        wanted = [units[at] for at in missing]
+        ids = list(map(self.older.get, wanted))
+        new = [at for at, one in enumerate(ids) if one is None]
+        for at, one in zip(new, self._encode([wanted[at] for at in new]), strict=True):
+            ids[at] = one
+        self.known.update((unit, one) for unit, one in zip(wanted, ids, strict=True) if len(unit) <= self.longest)
+        for at, one in zip(missing, ids, strict=True):
+            found[at] = one
+        return found
+
+    def ids(self, texts: Iterable[str | None] | pa.Array) -> list[bytes]:
+        """The ids of each text as bytes; a null text has none."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(list(texts), pa.string())
+        found: list[bytes] = []
+        for start in range(0, len(column), SLICE_ROWS):
+            found.extend(self._slice(column.slice(start, SLICE_ROWS)))
+        return found
+
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        raw, offsets = text_bytes(texts)
+        if not len(raw):
+            return [b""] * len(texts)
+        apart = self._in_one_piece(raw, offsets, texts)
+        units, row = _units(raw, offsets, apart)
+        distinct, inverse = _distinct(units)
+        whole = units.data.tobytes()
+        starts, ends = units.start[distinct], units.start[distinct] + units.length[distinct]
+        ids = self._look_up([whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        size = np.array([len(one) for one in ids]) // ID_BYTES
+        first = np.concatenate([[0], np.cumsum(size)])
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        # The ids of all units one after another: for every id its place among those of the different units.
+        count = size[inverse]
+        end = np.cumsum(count)
+        place = np.arange(end[-1]) + np.repeat(first[inverse] - (end - count), count)
+        joined = flat[place].tobytes()
+        row_end = np.concatenate([[0], end])[np.searchsorted(row, np.arange(len(texts) + 1))] * ID_BYTES
+        return [joined[a:b] for a, b in zip(row_end[:-1].tolist(), row_end[1:].tolist(), strict=True)]
+
+    def _in_one_piece(self, raw: np.ndarray, offsets: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Which rows hold other white space or an added token."""
+        odd = self.suspect[raw]
+        latin = np.flatnonzero(raw[:-1] == 0xC2)
+        odd[latin[np.isin(raw[latin + 1], LATIN_SPACES)]] = True
+        rows = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
+        apart = np.zeros(len(texts), bool)
+        for at in rows.tolist():
+            apart[at] = self.whole.search(texts[at].as_py()) is not None
+        return apart
+
+
+def _units(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> tuple[Pointers, np.ndarray]:
+    """The units of all rows and the row of each; a row that is to be encoded in one piece is one unit."""
+    space = SPACE[raw]
+    letter = ALPHANUMERIC[raw]
+    # Letters of two bytes in Latin-1, but the signs of multiplication and division.
+    second = np.flatnonzero(raw[:-1] == LATIN) + 1
+    letter[second[~np.isin(raw[second], NO_LETTERS)]] = True
+    begins = np.zeros(len(raw) + 1, bool)
+    begins[1:-1] = (space[1:] & ~space[:-1]) | (PUNCTUATION[raw[1:]] & letter[:-1])
+    for row in np.flatnonzero(apart).tolist():
+        begins[offsets[row] : offsets[row + 1]] = False
+    begins[offsets] = True
+    start = np.flatnonzero(begins[:-1])
+    length = np.diff(np.append(start, len(raw)))
+    row = np.searchsorted(offsets, start, "right") - 1
+    return Pointers(np.concatenate([raw, np.zeros(8, np.uint8)]), start, length), row
+
+
+def _distinct(units: Pointers) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every different unit, and for each unit the number of its like; exact, whatever the hashes do."""
+    hashes = units.hashes()
+    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[inverse]
+    equal = units.length == units.length[like]
+    live, depth = np.arange(len(units)), 0
+    while len(live) and equal.all():
+        equal[live] = units.eight(live, depth) == units.eight(like[live], depth)
+        depth += 1
+        live = live[units.length[live] > 8 * depth]
+    if equal.all():
+        return first, inverse
+    whole = units.data.tobytes()
+    texts = [whole[a : a + n] for a, n in zip(units.start.tolist(), units.length.tolist(), strict=True)]
+    seen: dict[bytes, int] = {}
+    numbers = np.array([seen.setdefault(text, len(seen)) for text in texts])
+    return np.unique(numbers, return_index=True)[1], numbers
 
 
 @functools.cache
 def encoder(path: str, added_tokens: bool = False) -> WordEncoder:
-    """The encoder of this Python process: later tasks of the process know the words of earlier ones."""
+    """The encoder of this Python process: later tasks of the process know the units of earlier ones."""
     return WordEncoder(path, added_tokens=added_tokens)

@@ -1,32 +1,33 @@
 """Best-fit packing with swap-based local search.
 
-Documents become token pieces of at most one sequence. Pieces are dealt into groups of bounded size; every group is
-packed best-fit first and then improved: pieces move between underfull bins, or are exchanged one for one or two for
-one, whenever that raises the sum of squared fills, until bins empty and no exchange helps. The underfull bins of many
-groups are then dealt anew and improved together.
+Documents become token pieces of at most one sequence. What matters of a piece is its length, so all pieces are packed at
+once, as counts by length: best fit first, then pieces move between underfull bins, or are exchanged one for one or two
+for one, whenever that raises the sum of squared fills, until bins empty and no exchange helps. Equal bins are one kind
+with a number of copies. The pieces of a length, numbered through, then take the places that the plan has for them.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselar.llm.encode import ID_BYTES, encoder
+from tesselar.llm.word_pointers import slices
 from tesselar.workspace import materialize
 
 CAPACITY = 2048
 END_ID = 0
-#: Pieces of a group that is packed together.
-GROUP = 2_048
-#: Rounds after the first, each over the underfull bins of the round before.
-ROUNDS = 2
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -39,221 +40,275 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 def _pieces(path: str, end_id: int, capacity: int, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = encoder(path, added_tokens), np.array([end_id], "<u4").tobytes()
+        task, given = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            columns: list[list[int]] = [[] for _ in range(5)]
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                encoded = words.ids(part.column("text").to_pylist())
+            columns: list[list[int]] = [[] for _ in range(7)]
+            for part in slices(iter([batch])):
+                encoded = words.ids(part.column("text"))
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                     ids += end
                     for piece, (start, length) in enumerate(cut(len(ids) // ID_BYTES, capacity)):
                         crc = zlib.crc32(ids[start * ID_BYTES : (start + length) * ID_BYTES])
-                        for column, value in zip(columns, (doc_id, piece, start, length, crc), strict=True):
+                        for column, value in zip(columns, (doc_id, piece, start, length, crc, task, given[length]), strict=True):
                             column.append(value)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                        given[length] += 1
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "place"]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Longest first, each into the fullest bin that has room: bins of piece indexes."""
-    bins: list[list[int]] = []
-    room: list[list[int]] = [[] for _ in range(capacity + 1)]  # bins by free space
-    free_sizes = np.zeros(capacity + 1, bool)
-    for at in np.argsort(-lengths, kind="stable").tolist():
-        length = int(lengths[at])
-        fits = int(np.argmax(free_sizes[length:])) + length
-        if free_sizes[fits]:
-            chosen = room[fits].pop()
-            if not room[fits]:
-                free_sizes[fits] = False
-            bins[chosen].append(at)
-            left = fits - length
-        else:
-            chosen = len(bins)
-            bins.append([at])
-            left = capacity - length
-        room[left].append(chosen)
-        free_sizes[left] = True
-    return bins
+@dataclass
+class Bins:
+    """``copies`` bins of one content: the pieces of each length in it."""
+
+    content: Counter[int]
+    copies: int
+
+    @property
+    def fill(self) -> int:
+        return sum(length * n for length, n in self.content.items())
+
 
+def best_fit(counts: dict[int, int], capacity: int) -> list[Bins]:
+    """Longest first, each into the fullest bin that has room. ``counts`` are pieces by length.
 
-def fewest_bins(lengths: np.ndarray, capacity: int) -> int:
+    Equal bins are filled together: a step uses up either the pieces of a length or the bins of a kind, so there are
+    about as many kinds as lengths, however many pieces there are.
+    """
+    by_room: dict[int, list[Bins]] = {}
+    rooms: list[int] = []  # in ascending order
+
+    def keep(bins: Bins, room: int) -> None:
+        if room not in by_room:
+            by_room[room] = []
+            insort(rooms, room)
+        by_room[room].append(bins)
+
+    full: list[Bins] = []
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect_left(rooms, length)
+            if at == len(rooms):
+                # New bins, with as many pieces of this length each as fit.
+                each = min(left, capacity // length)
+                made, left = left // each, left % each
+                keep_room = capacity - each * length
+                new = Bins(Counter({length: each}), made)
+                full.append(new) if keep_room == 0 else keep(new, keep_room)
+                continue
+            room = rooms[at]
+            bins = by_room[room].pop()
+            if not by_room[room]:
+                del by_room[room], rooms[at]
+            each = min(left, room // length)
+            used = min(bins.copies, left // each)
+            if used < bins.copies:
+                keep(Bins(bins.content.copy(), bins.copies - used), room)
+            bins = Bins(bins.content + Counter({length: each}), used)
+            left -= used * each
+            rest = room - each * length
+            full.append(bins) if rest == 0 else keep(bins, rest)
+    return [*full, *(bins for room in rooms for bins in by_room[room])]
+
+
+def fewest_bins(counts: dict[int, int], capacity: int) -> int:
     """A number of bins that no packing can do with less.
 
     For every small size: pieces too long to share a bin with one of it, pieces longer than half a bin, and the bins
     that the pieces between need beyond the space the latter leave.
     """
-    sizes = np.sort(lengths)
-    sums = np.concatenate([[0], np.cumsum(sizes)])
-    half = int(np.searchsorted(sizes, capacity // 2, "right"))
-    small = np.unique(np.concatenate([[0], sizes[:half]]))
-    long_from = np.maximum(np.searchsorted(sizes, capacity - small, "right"), half)
-    space = (long_from - half) * capacity - (sums[long_from] - sums[half])
-    rest = sums[half] - sums[np.searchsorted(sizes[:half], small, "left")]
-    return int((len(sizes) - half + np.maximum(0, -(-(rest - space) // capacity))).max())
-
-
-def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Local search: empty the emptiest bins while there are more bins than the pieces need.
-
-    A step that takes d tokens from bin A to a bin B at least as full raises the sum of squared fills by
-    2 d (fill B - fill A + d) > 0; the sum is a bounded integer, so the search ends: when the bins are as few as
-    can be, or when no step from any of the bins helps.
-    """
-    search = _Search(lengths, bins, capacity)
-    fewest, left = fewest_bins(lengths, capacity), len(bins)
-    while left > fewest:
-        source = search.next_source()
-        if source is None:
-            break
-        while search.step(source):
-            pass
-        left -= not search.fill[source]
-    return [b.tolist() for b in search.bins() if len(b)]
+    lengths = sorted(counts)
+    best, half = 0, capacity // 2
+    long_ = sum(n for length, n in counts.items() if length > half)
+    for small in [0, *(length for length in lengths if length <= half)]:
+        space = sum((capacity - length) * n for length, n in counts.items() if half < length <= capacity - small)
+        rest = sum(length * n for length, n in counts.items() if small <= length <= half)
+        best = max(best, long_ + max(0, -(-(rest - space) // capacity)))
+    return best
 
 
 class _Search:
-    """The bin of each piece, and when bins changed last: a bin without a step is tried again on changed bins only."""
-
-    def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
-        self.lengths, self.capacity, self.n_bins = np.asarray(lengths, np.int64), capacity, len(bins)
-        self.owner = np.empty(len(lengths), np.int64)
-        for at, rows in enumerate(bins):
-            self.owner[rows] = at
-        self.fill = np.bincount(self.owner, self.lengths, self.n_bins).astype(np.int64)
-        self.clock = 0
-        #: Clock of a bin's last change, and of the last time it had no step to any other.
-        self.changed = np.zeros(self.n_bins, np.int64)
-        self.tried = np.full(self.n_bins, -1)
-
-    def bins(self) -> list[np.ndarray]:
-        order = np.argsort(self.owner, kind="stable")
-        return np.split(order, np.searchsorted(self.owner[order], np.arange(1, self.n_bins)))
-
-    def next_source(self) -> int | None:
-        """The emptiest open bin of those not tried since the last change."""
-        found = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & (self.tried < self.clock))
-        return int(found[np.argmin(self.fill[found])]) if len(found) else None
-
-    def step(self, source: int) -> bool:
-        """The move or exchange from ``source`` to a bin at least as full that raises the sum of squared fills most."""
-        room = self.capacity - self.fill
-        target = (self.fill >= self.fill[source]) & (room > 0) & (self.changed > self.tried[source])
-        target[source] = False
-        targets = np.flatnonzero(target)
-        mine = np.flatnonzero(self.owner == source)
-        ones, first, count = np.unique(self.lengths[mine], return_index=True, return_counts=True)
-        best = None
-        if len(targets):
-            # Moves: the largest piece that fits.
-            at = np.searchsorted(ones, room[targets], "right") - 1
-            gain = np.where(at >= 0, ones[at], 0)
-            best = self._best(source, targets, gain)
-            if best is not None:
-                rise, k = best
-                best = rise, int(targets[k]), [int(mine[first[at[k]]])], None
-            # Exchanges of one or two pieces for one: the largest that fit in its place.
-            back = np.flatnonzero(target[self.owner])
-            a, b = np.triu_indices(len(ones))
-            kept = (a != b) | (count[a] > 1)
-            outs = np.concatenate([ones, ones[a[kept]] + ones[b[kept]]])
-            order = np.argsort(outs, kind="stable")
-            outs = outs[order]
-            at = np.searchsorted(outs, room[self.owner[back]] + self.lengths[back], "right") - 1
-            gain = np.where(at >= 0, outs[at] - self.lengths[back], 0)
-            other = self._best(source, self.owner[back], gain)
-            if other is not None and (best is None or other[0] > best[0]):
-                rise, k = other
-                chosen = int(order[at[k]])
-                if chosen < len(ones):
-                    out = [int(mine[first[chosen]])]
-                else:
-                    x, y = int(a[kept][chosen - len(ones)]), int(b[kept][chosen - len(ones)])
-                    equal = np.flatnonzero(self.lengths[mine] == ones[y])
-                    out = [int(mine[first[x]]), int(mine[equal[1 if x == y else 0]])]
-                best = rise, int(self.owner[back[k]]), out, int(back[k])
+    """Local search over kinds of bins: pieces move from the emptiest bins to fuller ones.
+
+    A step that takes d tokens from a bin A to a bin B at least as full raises the sum of squared fills by
+    2 d (fill B - fill A + d) > 0. It is taken for as many equal pairs of bins as there are. The sum is a bounded
+    integer, so the search ends: when the bins are as few as can be, or when no step from any of the bins helps.
+    """
+
+    def __init__(self, bins: list[Bins], capacity: int):
+        self.capacity = capacity
+        self.kinds: dict[tuple[tuple[int, int], ...], Bins] = {}
+        #: Kinds by fill, the emptiest first; and the clock of a kind's arrival.
+        self.by_fill: dict[int, set[tuple[tuple[int, int], ...]]] = {}
+        self.clock, self.arrived, self.tried = 0, {}, {}
+        for one in bins:
+            self._put(one.content, one.copies)
+
+    def _put(self, content: Counter[int], copies: int) -> None:
+        key = tuple(sorted((length, n) for length, n in content.items() if n))
+        if not key:
+            return
+        if key in self.kinds:
+            self.kinds[key].copies += copies
+        else:
+            self.kinds[key] = Bins(Counter(dict(key)), copies)
+            self.by_fill.setdefault(self.kinds[key].fill, set()).add(key)
+            self.tried.pop(key, None)
+        self.clock += 1
+        self.arrived[key] = self.clock
+
+    def _take(self, key: tuple[tuple[int, int], ...], copies: int) -> None:
+        bins = self.kinds[key]
+        bins.copies -= copies
+        if not bins.copies:
+            fill = bins.fill
+            self.by_fill[fill].discard(key)
+            if not self.by_fill[fill]:
+                del self.by_fill[fill]
+            del self.kinds[key], self.arrived[key]
+            self.tried.pop(key, None)
+
+    def step(self, key: tuple[tuple[int, int], ...]) -> bool:
+        """The move or exchange from a bin of this kind that raises the sum of squared fills most, if any does."""
+        source = self.kinds[key]
+        ones = sorted(source.content)
+        outs: dict[int, tuple[int, ...]] = {}
+        for at, a in enumerate(ones):
+            outs.setdefault(a, (a,))
+            for b in ones[at:]:
+                if a != b or source.content[a] > 1:
+                    outs.setdefault(a + b, (a, b))
+        sums = sorted(outs)
+        since, fill = self.tried.get(key, -1), source.fill
+        best: tuple[int, tuple, tuple[int, ...], int] | None = None
+        # Of equal steps the one to the fullest bin.
+        for other_fill in sorted((f for f in self.by_fill if fill <= f < self.capacity), reverse=True):
+            room = self.capacity - other_fill
+            for other in self.by_fill[other_fill]:
+                if self.arrived[other] <= since or (other == key and source.copies < 2):
+                    continue
+                # One piece moves, or one or two come for one that goes back: the largest that fit.
+                for back in (0, *self.kinds[other].content):
+                    at = bisect_right(sums, room + back) - 1
+                    if back == 0:
+                        while at >= 0 and len(outs[sums[at]]) > 1:
+                            at -= 1
+                    if at < 0 or sums[at] <= back:
+                        continue
+                    gain = sums[at] - back
+                    rise = gain * (other_fill - fill + gain)
+                    if best is None or rise > best[0]:
+                        best = rise, other, outs[sums[at]], back
         if best is None:
-            self.tried[source] = self.clock
+            self.tried[key] = self.clock
             return False
-        _, chosen_bin, out, returned = best
-        moved = int(self.lengths[out].sum()) - (0 if returned is None else int(self.lengths[returned]))
-        self.owner[out] = chosen_bin
-        if returned is not None:
-            self.owner[returned] = source
-        self.fill[source] -= moved
-        self.fill[chosen_bin] += moved
-        self.clock += 1
-        for changed in (source, chosen_bin):
-            self.changed[changed], self.tried[changed] = self.clock, -1
-        return bool(self.fill[source])
-
-    def _best(self, source: int, targets: np.ndarray, gain: np.ndarray) -> tuple[int, int] | None:
-        if not len(gain):
-            return None
-        rise = np.where(gain > 0, gain * (self.fill[targets] - self.fill[source] + gain), 0)
-        at = int(np.argmax(rise))
-        return (int(rise[at]), at) if rise[at] > 0 else None
-
-
-def _pack_groups(capacity: int, first_round: bool):
-    def run(keys: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-        # One order for every attempt of the task.
-        pieces = pieces.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], na_position="last", ignore_index=True)
-        lengths = pieces["length"].to_numpy()
-        if first_round:
-            bins = best_fit(lengths, capacity)
-        else:
-            bins = [list(rows) for _, rows in sorted(pieces.groupby("sequence_id", sort=True).indices.items())]
-        bins = improve(lengths, bins, capacity)
-        sequence, offset = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-        fill = np.zeros(len(pieces), np.int64)
-        for number, rows in enumerate(bins):
-            rows = np.sort(np.asarray(rows))
-            sequence[rows] = number
-            offset[rows] = np.concatenate([[0], np.cumsum(lengths[rows])[:-1]])
-            fill[rows] = lengths[rows].sum()
-        group = int(keys[0])
-        return pieces.assign(sequence_id=sequence + (group << 24), offset=offset, fill=fill).drop(columns="unit")
+        _, other, out, back = best
+        content, target = source.content.copy(), self.kinds[other].content.copy()
+        copies = source.copies // 2 if other == key else min(source.copies, self.kinds[other].copies)
+        self._take(key, copies)
+        self._take(other, copies)
+        for length in out:
+            content[length] -= 1
+            target[length] += 1
+        if back:
+            content[back] += 1
+            target[back] -= 1
+        self._put(content, copies)
+        self._put(target, copies)
+        return True
+
+    def run(self, fewest: int) -> list[Bins]:
+        while sum(bins.copies for bins in self.kinds.values()) > fewest:
+            # The emptiest kind that was not tried since the last change.
+            open_ = (key for fill in sorted(self.by_fill) if fill < self.capacity for key in self.by_fill[fill])
+            source = next((key for key in open_ if self.tried.get(key, -1) < self.clock), None)
+            if source is None:
+                break
+            self.step(source)
+        return list(self.kinds.values())
+
+
+def piece_counts(bins: list[Bins]) -> Counter[int]:
+    """The pieces of each length in all bins."""
+    counts: Counter[int] = Counter()
+    for one in bins:
+        counts.update({length: n * one.copies for length, n in one.content.items()})
+    return counts
+
+
+def improve(bins: list[Bins], capacity: int) -> list[Bins]:
+    """Local search: empty the emptiest bins while there are more bins than the pieces need."""
+    return _Search(bins, capacity).run(fewest_bins(piece_counts(bins), capacity))
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[Bins]:
+    """Kinds of bins that hold all pieces: best fit, then local search."""
+    return improve(best_fit(counts, capacity), capacity)
+
+
+def _slots(kinds: list[Bins], capacity: int) -> dict[int, np.ndarray]:
+    """For each length, runs of its pieces in the bins: (first piece, first bin, pieces of a bin, offset in the bin)."""
+    runs: dict[int, list[tuple[int, int, int, int]]] = {}
+    given: Counter[int] = Counter()
+    first_bin = 0
+    for bins in kinds:
+        offset = 0
+        for length, each in sorted(bins.content.items(), reverse=True):
+            runs.setdefault(length, []).append((given[length], first_bin, each, offset))
+            given[length] += each * bins.copies
+            offset += length * each
+        first_bin += bins.copies
+    return {length: np.array(rows, np.int64) for length, rows in runs.items()}
+
+
+def _place(slots):
+    """Give every piece, by its length and its number among those of this length, its bin and its place there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, number = batch.column("length").to_numpy(), batch.column("number").to_numpy()
+            sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+            order = np.argsort(length, kind="stable")
+            edges = [0, *(np.flatnonzero(np.diff(length[order])) + 1).tolist(), len(order)]
+            for start, end in pairwise(edges):
+                if start == end:
+                    continue
+                mine = order[start:end]
+                size = int(length[mine[0]])
+                first, first_bin, each, at = slots.value[size].T
+                run_of = np.searchsorted(first, number[mine], "right") - 1
+                inside, turn = np.divmod(number[mine] - first[run_of], each[run_of])
+                sequence[mine] = first_bin[run_of] + inside
+                offset[mine] = at[run_of] + turn * size
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"]
+            )
 
     return run
 
 
-def pack(
-    documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, group: int = GROUP, added_tokens: bool = False
-) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, added_tokens: bool = False) -> DataFrame:
     """One row per token piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A null or empty text is its end id alone. Repeated rows and rows with a null id are packed each on its own.
-    Other columns are ignored. A piece that fills a sequence is one at once; all others are dealt into groups of
-    about ``group`` pieces. ``added_tokens`` as in ``WordEncoder``.
+    Other columns are ignored; an empty table gives no rows. ``added_tokens`` as in ``WordEncoder``. Of all pieces the
+    driver gets one count per length, at most ``capacity`` of them.
     """
     spark = documents.sparkSession
-    pieces = documents.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, added_tokens), PIECE)
+    pieces = documents.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, added_tokens), PIECE + ", task int, place long")
     pieces = materialize(pieces, "pieces")
-    out = [*pieces.columns, "sequence_id", "offset"]
-    # The place of a row in the written table tells equal rows apart.
-    place = F.monotonically_increasing_id()
-    full = pieces.where(F.col("length") == capacity)
-    done = full.select("*", (-1 - place).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    todo = pieces.where(F.col("length") < capacity).select("*", place.alias("sequence_id"))
-    shape = PIECE + ", sequence_id long, offset long, fill long"
-    for step in range(1 + ROUNDS):
-        units = max(1, round(todo.count() / group))
-        # First single pieces are dealt, later whole bins.
-        unit = F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(units)) + F.lit(step << 36)
-        # A number of its own keeps the groups, small in bytes but not in work, from being joined into few tasks.
-        tasks = min(units, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        dealt = todo.withColumn("unit", unit).repartition(tasks, "unit")
-        packed = dealt.groupBy("unit").applyInPandas(_pack_groups(capacity, step == 0), shape)
-        packed = materialize(packed, "packed")
-        if step == ROUNDS or units == 1:
-            break
-        done = done.unionAll(packed.where(F.col("fill") == capacity).select(*out))
-        todo = packed.where(F.col("fill") < capacity).drop("offset", "fill")
-    return done.unionAll(packed.select(*out))
+    # Pieces of a length are numbered through: by task, and within a task as they came.
+    held = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
+    counts = {row["length"]: row["n"] for row in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    slots = spark.sparkContext.broadcast(_slots(plan(counts, capacity), capacity))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = held.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    numbered = pieces.join(bases, ["length", "task"]).withColumn("number", F.col("base") + F.col("place"))
+    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "number").mapInArrow(_place(slots), PIECE + ", sequence_id long, offset long")
 
 
 def op4_best_fit_packing(spark, sf_dir: str) -> DataFrame:

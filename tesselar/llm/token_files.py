@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselar.llm.encode import ID_BYTES, encoder
+from tesselar.llm.word_pointers import slices
 from tesselar.workspace import new_path
 
 #: Fixed values of the format: mark and version, bits of a chunk, bits between two entries of a rank directory.
@@ -134,10 +135,9 @@ def _segments(path: str, end_id: int, added_tokens: bool):
             return pa.RecordBatch.from_arrays(arrays, ["part", "segment", "first", "n_docs", "n_tokens", "payload"])
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                piece = batch.slice(first, 256)
+            for piece in slices(iter([batch])):
                 part = piece.column("part")[0].as_py()
-                encoded = words.ids(piece.column("text").to_pylist())
+                encoded = words.ids(piece.column("text"))
                 for name, ids in zip(piece.column("doc_id").to_pylist(), encoded, strict=True):
                     held.append((name, np.concatenate([np.frombuffer(ids, "<u4"), end])))
                     tokens += len(ids) // ID_BYTES + 1

@@ -37,28 +37,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start, end - start)
 
 
-class Words:
-    """``start``, ``length`` and ``row`` of every run of ``word`` bytes of a text column; a null text has none.
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a text column and where each row begins and the last one ends; a null text is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return raw, offsets - offsets[0]
 
-    ``data`` holds the bytes with A-Z lower-cased.
-    """
 
-    def __init__(self, texts: pa.Array, word: np.ndarray):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        self.offsets = offsets - offsets[0]
-        self.raw = raw
-        self.data = np.concatenate([LOWER[raw], np.zeros(8, np.uint8)])
-        inside = word[raw]
-        before, after = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
-        before[1:], after[:-1] = inside[:-1], inside[1:]
-        begins, ends = self.offsets[:-1], self.offsets[1:] - 1
-        before[begins[begins < len(raw)]] = False
-        after[ends[ends >= 0]] = False
-        self.start = np.flatnonzero(inside & ~before)
-        self.length = np.flatnonzero(inside & ~after) + 1 - self.start
-        self.row = np.searchsorted(self.offsets, self.start, "right") - 1
+class Pointers:
+    """Pieces of text as ``start`` and ``length`` in ``data``, which ends with eight zeros."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, length: np.ndarray):
+        self.data, self.start, self.length = data, start, length
 
     def __len__(self) -> int:
         return len(self.start)
@@ -66,14 +57,14 @@ class Words:
     def eight(self, which: np.ndarray, depth: int) -> np.ndarray:
         """Bytes 8 * depth to 8 * depth + 7 of the words ``which`` as a number in byte order, zeros behind the end."""
         left = self.length[which] - 8 * depth
-        at = np.where(left > 0, self.start[which] + 8 * depth, len(self.raw))
+        at = np.where(left > 0, self.start[which] + 8 * depth, len(self.data) - 8)
         bytes_ = np.lib.stride_tricks.sliding_window_view(self.data, 8)[at]
         value = np.ascontiguousarray(bytes_).view(">u8")[:, 0].astype(np.uint64)
         cut = (8 * (8 - np.clip(left, 1, 8))).astype(np.uint64)
         return value >> cut << cut
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """64 bits of every word, from its length and all its bytes."""
+        """64 bits of every piece, from its length and all its bytes."""
         value = mix(self.length.astype(np.uint64) + np.uint64(seed) * np.uint64(BASE))
         live, depth = np.arange(len(self)), 0
         while len(live):
@@ -87,3 +78,21 @@ class Words:
         whole = self.data.tobytes()
         starts, ends = self.start[which].tolist(), (self.start[which] + self.length[which]).tolist()
         return pa.array([whole[a:b] for a, b in zip(starts, ends, strict=True)], pa.binary()).cast(pa.string())
+
+
+class Words(Pointers):
+    """Every run of ``word`` bytes of a text column with its ``row``; A-Z are lower-cased in ``data``."""
+
+    def __init__(self, texts: pa.Array, word: np.ndarray):
+        raw, offsets = text_bytes(texts)
+        inside = word[raw]
+        before, after = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
+        before[1:], after[:-1] = inside[:-1], inside[1:]
+        begins, ends = offsets[:-1], offsets[1:] - 1
+        before[begins[begins < len(raw)]] = False
+        after[ends[ends >= 0]] = False
+        start = np.flatnonzero(inside & ~before)
+        length = np.flatnonzero(inside & ~after) + 1 - start
+        super().__init__(np.concatenate([LOWER[raw], np.zeros(8, np.uint8)]), start, length)
+        self.raw = raw
+        self.row = np.searchsorted(offsets, start, "right") - 1

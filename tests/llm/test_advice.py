@@ -1,6 +1,7 @@
 """Whole results of the training-data operators: cases of the second round's advice."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -47,26 +48,27 @@ def test_queries_use_the_tokenizer_as_loaded(spark, sf_dir):
 
 def test_local_search_empties_bins_until_none_has_a_step():
     rng = np.random.default_rng(1)
-    lengths = rng.integers(300, 1500, 700)
-    bins = packing.best_fit(lengths, packing.CAPACITY)
-    better = packing.improve(lengths, [list(b) for b in bins], packing.CAPACITY)
-    assert sorted(i for b in better for i in b) == list(range(700))
-    assert max(lengths[b].sum() for b in better) <= packing.CAPACITY
+    counts = Counter(rng.integers(300, 1500, 700).tolist())
+    n_bins = lambda bins: sum(one.copies for one in bins)
+    bins = packing.best_fit(counts, packing.CAPACITY)
+    better = packing.improve(bins, packing.CAPACITY)
+    assert packing.piece_counts(better) == counts
+    assert max(one.fill for one in better) <= packing.CAPACITY
     # Best fit alone is above the bound here: the search must remove bins.
-    assert packing.fewest_bins(lengths, packing.CAPACITY) <= len(better) < len(bins)
+    assert packing.fewest_bins(counts, packing.CAPACITY) <= n_bins(better) < n_bins(bins)
     # More than forty single pieces to empty, and again a local optimum or the bound.
-    apart = packing.improve(lengths, [[i] for i in range(700)], packing.CAPACITY)
-    assert len(apart) <= len(bins)
+    apart = packing.improve([packing.Bins(Counter({length: 1}), n) for length, n in counts.items()], packing.CAPACITY)
+    assert n_bins(apart) <= 1.02 * packing.fewest_bins(counts, packing.CAPACITY)
     for found in (better, apart):
-        again = packing._Search(lengths, found, packing.CAPACITY)
-        open_bins = [b for b in range(len(found)) if again.fill[b] < packing.CAPACITY]
-        assert len(found) == packing.fewest_bins(lengths, packing.CAPACITY) or not any(again.step(b) for b in open_bins)
+        again = packing._Search(found, packing.CAPACITY)
+        open_bins = [key for key, one in again.kinds.items() if one.fill < packing.CAPACITY]
+        assert n_bins(found) == packing.fewest_bins(counts, packing.CAPACITY) or not any(again.step(key) for key in open_bins)
 
 
 def test_fewest_bins_is_a_bound():
-    assert packing.fewest_bins(np.array([6, 6, 6]), 10) == 3 and packing.fewest_bins(np.array([5, 5, 5]), 10) == 2
-    assert packing.fewest_bins(np.array([10]), 10) == 1 and packing.fewest_bins(np.array([7, 4, 4, 4]), 10) == 3
-    assert packing.fewest_bins(np.empty(0, int), 10) == 0
+    assert packing.fewest_bins({6: 3}, 10) == 3 and packing.fewest_bins({5: 3}, 10) == 2
+    assert packing.fewest_bins({10: 1}, 10) == 1 and packing.fewest_bins({7: 1, 4: 3}, 10) == 3
+    assert packing.fewest_bins({}, 10) == 0
 
 
 def texts_of(page):

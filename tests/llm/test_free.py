@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -86,31 +87,53 @@ def test_cut():
 @pytest.mark.parametrize("seed", range(6))
 def test_local_search(seed):
     rng = np.random.default_rng(seed)
-    lengths = rng.integers(1, 60, 300)
-    bins = [[i] for i in range(300)] if seed % 2 else packing.best_fit(lengths, 64)
-    better = packing.improve(lengths, [list(b) for b in bins], 64)
-    assert sorted(i for b in better for i in b) == list(range(300))
-    assert max(lengths[b].sum() for b in better) <= 64
-    assert len(better) <= len(bins)
-    assert len(packing.best_fit(lengths, 64)) <= 1.25 * -(-lengths.sum() // 64)
+    counts = Counter(rng.integers(1, 60, 300).tolist())
+    start = [packing.Bins(Counter({length: 1}), n) for length, n in counts.items()] if seed % 2 else packing.best_fit(counts, 64)
+    better = packing.improve(start, 64)
+    assert packing.piece_counts(start) == packing.piece_counts(better) == counts
+    assert max(bins.fill for bins in better) <= 64
+    n_bins, least = sum(bins.copies for bins in better), -(-sum(length * n for length, n in counts.items()) // 64)
+    assert n_bins <= sum(bins.copies for bins in start)
+    assert sum(bins.copies for bins in packing.best_fit(counts, 64)) <= 1.25 * least
+
+
+def test_plan_of_many_pieces_costs_as_much_as_of_few():
+    """A thousand million times the pieces: the same kinds of lengths, so about as many kinds of bins."""
+    rng = np.random.default_rng(7)
+    few = Counter(np.minimum(rng.geometric(0.004, 4000), 2047).tolist())
+    many = Counter({length: n * 10**9 + 7 for length, n in few.items()})
+    bins = packing.plan(many, 2048)
+    assert packing.piece_counts(bins) == many
+    least = -(-sum(length * n for length, n in many.items()) // 2048)
+    assert least <= sum(b.copies for b in bins) <= 1.001 * least
+    assert len(bins) <= 4 * 2048
 
 
 def test_pack(spark):
     rows = [(i, t, "p", "s") for i, t in enumerate(TEXTS * 4)] + [(0, TEXTS[4], "", ""), (None, "word " * 6143, "", ""), (None, "word " * 6143, "", "")]
     docs = spark.createDataFrame(rows, DOCS)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    for group in (packing.GROUP, 7):
-        found = packing.pack(docs, tokenizer, group=group).toPandas()
-        whole = Tokenizer.from_file(tokenizer)
-        whole.encode_special_tokens = True
-        total = sum(len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
+    whole = Tokenizer.from_file(tokenizer)
+    whole.encode_special_tokens = True
+    ids = [np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for _, t, *_ in rows]
+    for parts in (1, 7):
+        found = packing.pack(docs.repartition(parts), tokenizer).toPandas()
+        total = sum(map(len, ids))
         assert found["length"].sum() == total
         for _, one in found.groupby("sequence_id"):
             one = one.sort_values("offset")
             assert one["offset"].tolist() == [0, *one["length"].cumsum().tolist()[:-1]]
             assert one["length"].sum() <= packing.CAPACITY
-        if group == packing.GROUP:
-            assert found["sequence_id"].nunique() == -(-total // packing.CAPACITY)
+        assert found["sequence_id"].nunique() == -(-total // packing.CAPACITY)
+        # The pieces of every document, long ones too: where they start and what they hold.
+        pieces = Counter()
+        for (doc_id, *_), all_ids in zip(rows, ids, strict=True):
+            first = len(all_ids) % packing.CAPACITY or min(len(all_ids), packing.CAPACITY)
+            edges = [0, *range(first, len(all_ids) + 1, packing.CAPACITY)]
+            for piece, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                pieces[doc_id, piece, a, b - a, zlib.crc32(all_ids[a:b].tobytes())] += 1
+        got = Counter((None if r[0] != r[0] else int(r[0]), *map(int, r[1:])) for r in found[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False))
+        assert got == pieces
     assert packing.pack(docs.limit(0), tokenizer).count() == 0
 
 
