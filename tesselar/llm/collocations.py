@@ -36,7 +36,9 @@ WORD = ~(BREAKS | byte_set((0x20, 0x20), (0x09, 0x09)))
 #: Bits of the bitmaps (16 MB and 128 KB).
 FILTER_BITS, HOT_BITS = 27, 20
 #: Sequences held in the memory of a task, and occurrences that a prefix partition is made for.
-TRIE_ROWS, PART_ROWS = 1 << 20, 1 << 20
+TRIE_ROWS, PART_ROWS = 1 << 19, 1 << 19
+#: Bytes of text that a task holds the words of.
+SLICE_BYTES = 4 << 20
 RUN = "lang string, width int, part long, run binary"
 
 
@@ -74,7 +76,7 @@ def _slots(codes: np.ndarray, lang_codes: np.ndarray | np.uint64, bits: int = FI
 
 def _count_words(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             texts = _Texts(part, seed)
             for lang, which in texts.by_lang(np.arange(len(texts.words))):
                 ids, first, n = np.unique(texts.ids[which], return_index=True, return_counts=True)
@@ -157,7 +159,7 @@ def _count_sequences(pairs: bool, known, hot, seed: int, part_bits: int, limit:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = known.value
         tries: dict[tuple[str, int], HatTrie] = {}
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             texts = _Texts(part, seed)
             ids = texts.ids
             if len(ids) < 2:
@@ -299,9 +301,10 @@ def collocations(documents: DataFrame, min_count: int = MIN_COUNT, top: int = TO
         F.col("longer").isNull() | (100 * _exact("longer") < COVERED * _exact("f"))
     )
     best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
+    # Every task keeps its best ``top`` before the languages are dealt.
+    ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
-        "lang", "rank", "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
     )
 
 
