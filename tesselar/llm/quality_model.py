@@ -18,9 +18,8 @@ from pyspark.sql import types as T
 from tesselar.llm.grams import BASE, POWERS, mix
 from tesselar.llm.training import held_out, labelled_sample, with_field
 
-#: Labelled rows to fit on and passages of one of them that are used in fitting, at most.
+#: Labelled rows to fit on, at most; of each all passages are used.
 SAMPLE = 6_000
-TRAIN_PASSAGES = 128
 PASSAGE_WORDS = 48
 HIDDEN, GATE = 32, 16
 EPOCHS, RATE, DECAY, BAGS = 30, 0.01, 1e-4, 128
@@ -176,12 +175,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, seed: int = 7) -> AttentionModel:
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for text in batch.column("text").to_pylist():
-            x = passage_features(text)
-            if len(x) > TRAIN_PASSAGES:
-                x = x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)]
-            rows.append(x.tobytes())
+        rows = [passage_features(text).tobytes() for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.binary())], ["label", "x"])
 
 
