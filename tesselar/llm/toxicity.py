@@ -21,7 +21,8 @@ from tesselar.llm.training import held_out, labelled_sample, with_field
 
 #: Labelled rows that the lexicon and the calibration are fitted on, at most.
 SAMPLE = 12_000
-LEXICON = 2_000
+#: A unit must be in so many toxic documents, and its weight stand so many standard errors above ``LEAST_WEIGHT``.
+LEAST_DOCS, ERRORS = 3, 1.64
 PREFIXES = (4, 5, 6)
 LEAST_WEIGHT = 2.0
 PREDICT = 0.5
@@ -63,10 +64,10 @@ def grammar() -> Transducer:
     negation = Transducer(
         4, {(s, NEGATION): 3 for s in range(4)} | {(s, END): 0 for s in range(4)}, [0, 0, 1, 2], [1.0, 0.4, 0.4, 0.4]
     )
-    # Reported speech lasts to the end of the clause, a quotation to its closing mark.
+    # Reported speech lasts to the end of the clause, a quotation to its closing mark, over sentence ends within it.
     reported = Transducer(
         3,
-        {(0, REPORT): 1, (0, QUOTE): 2, (1, QUOTE): 2, (2, QUOTE): 0} | {(s, END): 0 for s in range(3)},
+        {(0, REPORT): 1, (0, QUOTE): 2, (1, QUOTE): 2, (2, QUOTE): 0, (1, END): 0},
         [0, 1, 2],
         [1.0, 0.7, 0.7],
     )
@@ -138,7 +139,8 @@ def document_features(text: str | None, machine: Transducer, lexicon: Lexicon) -
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Words and word beginnings whose share among toxic documents is far above that among others.
 
-    The weight is the log ratio of both shares. A unit needs three toxic documents and one in a hundred of them.
+    The weight is the log ratio of both shares. What is rare is judged by its standard error, alike at every size of
+    the sample; the units are as many as the texts of the sample, which is bounded, give.
     """
     tokens = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
     words = sample.select("label", F.xxhash64("text").alias("x"), F.array_distinct(tokens).alias("w")).dropDuplicates(["label", "x"])
@@ -156,12 +158,12 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("n"))
     )
     weight = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") + 0.5) / (clean + 1.0))
+    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") + 0.5))
     found = (
-        counts.where(F.col("t") >= max(3, 0.01 * toxic))
-        .select("unit", weight.alias("weight"), "t")
-        .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.log1p("t")), "unit")
-        .limit(LEXICON)
+        counts.where(F.col("t") >= LEAST_DOCS)
+        .select("unit", weight.alias("weight"), (weight - ERRORS * error).alias("sure"))
+        .where(F.col("sure") >= LEAST_WEIGHT)
+        .orderBy("unit")
         .collect()
     )
     return {row["unit"]: row["weight"] for row in found}
