@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 #: Elements of HTML by their role (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -30,8 +31,8 @@ IMPLIED = {
     "option": (("option",), ("select",)),
 }
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?[a-zA-Z][^<>]*>|<[!?/][^>]*>|(?P<text>[^<]+)|(?P<lone><)",
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/><]*+)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|</?[a-zA-Z][^<>]*+>|<[!?/][^>]*+>|(?P<text>[^<]+)|(?P<lone><)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -65,6 +66,8 @@ def parse(page: str | None) -> Tree:
     stack: list[tuple[str, int, bool]] = [("body", root, False)]
     pieces: list[str] = []
     link_chars, links = 0, 0
+    #: Open elements by tag: a search of the stack is made only for what is there.
+    open_tags: Counter[str] = Counter()
 
     def flush(element: int) -> None:
         nonlocal link_chars
@@ -79,12 +82,15 @@ def parse(page: str | None) -> Tree:
         nonlocal links
         while len(stack) > size:
             tag, element, _ = stack.pop()
+            open_tags[tag] -= 1
             if tag == "a":
                 links -= 1
             if element != stack[-1][1]:
                 flush(element)
 
-    def nearest(tags: tuple[str, ...] | frozenset[str], stops: tuple[str, ...]) -> int | None:
+    def nearest(tags: tuple[str, ...], stops: tuple[str, ...]) -> int | None:
+        if not any(open_tags[tag] for tag in tags):
+            return None
         for at in range(len(stack) - 1, 0, -1):
             if stack[at][0] in tags:
                 return at
@@ -93,11 +99,16 @@ def parse(page: str | None) -> Tree:
         return None
 
     page = page or ""
-    at = 0
+    at, last = 0, page.rfind(">")
     while at < len(page):
-        match = TOKEN.match(page, at)
-        at = match.end()
-        text = match["text"] or match["lone"]
+        if at <= last or page.startswith("<!--", at):
+            match = TOKEN.match(page, at)
+            at, text = match.end(), match["text"] or match["lone"]
+        else:
+            # Behind the last ">" no tag can end: what is no comment is text.
+            comment = page.find("<!--", at)
+            end = len(page) if comment < 0 else comment
+            at, text = end, page[at:end]
         if text is not None:
             if stack[-1][0] == "head" and html.unescape(text).strip(BLANK):
                 pop_to(len(stack) - 1)
@@ -119,6 +130,9 @@ def parse(page: str | None) -> Tree:
             place = nearest((tag,), ("td", "th") if tag in INLINE else ())
             if place is not None:
                 pop_to(place)
+            elif tag == "p":
+                # An end without a start is an empty paragraph: it parts what stands around it.
+                flush(stack[-1][1])
             continue
         if tag in ("html", "body"):
             if tag == "body":
@@ -155,6 +169,7 @@ def parse(page: str | None) -> Tree:
             flush(element)
             element = tree.add(tag, element, match["attrs"])
         stack.append((tag, element, dropped))
+        open_tags[tag] += 1
     pop_to(1)
     flush(root)
     return tree
