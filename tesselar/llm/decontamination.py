@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tesselar.llm.training import free_name
 from tesselar.workspace import materialize
 
 #: Words are runs of a-z (after lower-casing A-Z), 0-9 and characters beyond ASCII.
@@ -100,7 +101,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *carry: str, windo
     )
     items = materialize(items, "benchmark-items")
     lengths = sorted(row["t"] for row in items.select("t").distinct().collect())  # at most ``window`` values
-    texts = documents.select("doc_id", folded_words(F.col("text")).alias("words"))
+    # A written number tells rows apart that share an id or have none.
+    columns = list(dict.fromkeys(["doc_id", "text", *carry]))
+    number = free_name(documents.select(*columns), "llm_number")
+    documents = materialize(documents.select(*columns).withColumn(number, F.monotonically_increasing_id()), "numbered")
+    texts = documents.select(F.col(number).alias("number"), folded_words(F.col("text")).alias("words"))
     found = None
     for length in lengths:
         windows = items.where(F.col("t") == length).select("item", folded_words(F.array_join("words", " ")).alias("words"))
@@ -111,22 +116,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *carry: str, windo
         hits = (
             fingerprints(texts, length, _gram(length))
             .join(marks, "fp")
-            .select("doc_id", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
+            .select("number", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
             .distinct()
         )
         found = hits if found is None else found.unionAll(hits)
     kept = [F.col("d.doc_id"), *[F.col(f"d.{name}") for name in carry]]
-    columns = list(dict.fromkeys(["doc_id", "text", *carry]))
     if found is None:
-        joined = documents.select(*columns).alias("d").select(*kept, F.col("d.text").alias("llm_text"))
+        joined = documents.alias("d").select(*kept, F.col("d.text").alias("llm_text"))
         joined = joined.withColumn("hits", F.lit(None).cast("array<struct<item_id:string,diagonal:int,t:int,words:array<string>>>"))
     else:
         hit = F.struct(F.col("item_id").cast("string").alias("item_id"), "diagonal", "t", "words")
-        per_document = found.join(items, "item").groupBy("doc_id").agg(F.collect_set(hit).alias("hits"))
+        per_document = found.join(items, "item").groupBy("number").agg(F.collect_set(hit).alias("hits"))
         joined = (
-            documents.select(*columns)
-            .alias("d")
-            .join(per_document.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left")
+            documents.alias("d")
+            .join(per_document.alias("c"), F.col(f"d.{number}") == F.col("c.number"), "left")
             .select(*kept, F.col("d.text").alias("llm_text"), F.col("c.hits").alias("hits"))
         )
     return _verdict(joined)
