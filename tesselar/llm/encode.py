@@ -28,8 +28,9 @@ PUNCTUATION = byte_set((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (
 #: Bytes that other white space begins with, and what an added token begins with: rows with one are looked at closely.
 SUSPECT = byte_set((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F), (0xE1, 0xE3))
 LATIN, LATIN_SPACES, NO_LETTERS = 0xC3, (0x85, 0xA0), (0x97, 0xB7)
-#: Words with one blank before them and nothing that a tokenizer may change the length of: ASCII without control characters.
-ONE_BLANK = re.compile(rb" [!-~]+\Z")
+#: Words with one blank before them and nothing that a tokenizer may change the length of: ASCII without control
+#: characters, and Latin-1 letters.
+ONE_BLANK = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])+\Z")
 #: Words that are encoded as one text.
 STRUNG = 128
 #: Texts of a call that are worked on together.
@@ -43,7 +44,7 @@ class WordEncoder:
     the tokenizer stays as loaded, so the content of an added token is that token's id; else it is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 300_000, longest: int = 48, added_tokens: bool = False):
+    def __init__(self, path: str, memory: int = 400_000, longest: int = 48, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         contents = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
