@@ -300,9 +300,13 @@ def collocations(documents: DataFrame, min_count: int = MIN_COUNT, top: int = TO
     kept = scored.join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * _exact("longer") < COVERED * _exact("f"))
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
-    # Every task keeps its best ``top`` before the languages are dealt.
-    ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # The best of every part of a language first, so that no task sorts a whole one.
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc("cut.score"), F.desc("f"), F.asc("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+    in_part = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    kept = kept.withColumn("part", part).withColumn("rank", in_part).where(F.col("rank") <= top)
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
     )
