@@ -69,14 +69,14 @@ def evaluate_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     ``n_active`` counts the active entries whose scope the URL lies in. The longest such scope decides; of equal
     scopes the list of the greatest name (``block`` before ``allow``). ``blocked`` says whether that list is
     ``block``; ``scope`` and ``listed_at`` name the entry and are null without one. Captures with a null or
-    unreadable URL or a null time meet no entry. Repeated rows are one capture; other columns are ignored.
+    unreadable URL or a null time meet no entry. Times may lie as far apart as they like. Repeated rows are one capture; other columns are ignored.
     """
     spans = materialize(validity_intervals(entries), "list-intervals")
-    last = captures.agg(F.max("fetched_at")).first()[0]
-    until = F.least(F.coalesce("valid_to", F.lit(last)), F.lit(last))
-    cut = spans.where(F.col("valid_from") <= F.lit(last)).select(
-        "*", F.explode(F.sequence(bucket(F.col("valid_from")), F.greatest(bucket(until), bucket(F.col("valid_from"))))).alias("bucket")
-    )
+    # Only buckets that a capture lies in: one with a date far off adds one, and all years of the calendar have 122,000.
+    used = captures.select(bucket(F.col("fetched_at")).alias("bucket")).agg(F.sort_array(F.collect_set("bucket"))).scalar()
+    first_bucket, last_bucket = bucket(F.col("valid_from")), bucket(F.col("valid_to"))
+    inside = F.filter(F.col("used"), lambda b: (b >= first_bucket) & (last_bucket.isNull() | (b <= last_bucket)))
+    cut = spans.withColumn("used", used).withColumn("bucket", F.explode(inside)).drop("used")
     cut = materialize(cut, "list-buckets")
     if cut.count() <= BROADCAST_ROWS:
         cut = F.broadcast(cut)

@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from tesselar.llm import decontamination, quality_model, toxicity
+from tesselar.llm import decontamination, quality_model, toxicity, url_lists
 from tesselar.llm.html_tree import parse
 
 DOCS = "doc_id long, text string, llm_number string, number string, item string"
@@ -89,3 +89,17 @@ def test_a_quotation_lasts_over_its_sentence_ends():
     tokens = [lexicon[t] for t in toxicity.TOKEN.findall('he said: "fine. idiot here." the moron left.')]
     quoted, outside = toxicity.clause_weights(tokens, machine, lexicon)
     assert quoted < outside == 3.0
+
+
+def test_a_capture_of_a_far_date_adds_one_bucket(spark, monkeypatch):
+    written = {}
+    keep = url_lists.materialize
+    monkeypatch.setattr(url_lists, "materialize", lambda df, name: written.setdefault(name, keep(df, name)))
+    entries = spark.sql("SELECT 'block' AS list, concat('h', id, '.org') AS scope, 'add' AS op, timestamp'2023-01-15' AS at FROM range(50)")
+    captures = spark.sql(
+        "SELECT id AS page_id, concat('http://h', id, '.org/x') AS url, timestamp'2023-01-01' + make_interval(0, 0, 0, CAST(id * 20 AS INT)) AS fetched_at FROM range(20)"
+        " UNION ALL SELECT 100, 'http://h3.org/', timestamp'9999-12-01' UNION ALL SELECT 101, 'http://h4.org/', timestamp'0001-01-02' UNION ALL SELECT 102, 'http://h5.org/', NULL"
+    )
+    found = {r["page_id"]: r["blocked"] for r in url_lists.evaluate_captures(captures, entries).collect()}
+    assert found == {i: i > 0 for i in range(20)} | {100: True, 101: False, 102: False}
+    assert written["list-buckets"].count() <= 50 * 16
