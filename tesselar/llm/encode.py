@@ -34,7 +34,7 @@ ONE_BLANK = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])+\Z")
 #: Words that are encoded as one text.
 STRUNG = 128
 #: Texts of a call that are worked on together.
-SLICE_ROWS = 1024
+SLICE_ROWS = 512
 
 
 class WordEncoder:
@@ -44,7 +44,7 @@ class WordEncoder:
     the tokenizer stays as loaded, so the content of an added token is that token's id; else it is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 400_000, longest: int = 48, added_tokens: bool = False):
+    def __init__(self, path: str, memory: int = 150_000, longest: int = 48, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         contents = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
