@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesselar.operators.skew import rows_of_part
 from tesselar.workspace import bucket_keys, drop_table, new_path, write_buckets
 
 
@@ -118,8 +119,8 @@ def fold_in_order(df: DataFrame, key: list[str], order: list[str], fold: Fold, c
 
 
 def chunks_for(spark: SparkSession, rows: int, rows_per_chunk: int) -> int:
-    """Ranges of about ``rows_per_chunk`` rows for ``rows`` hot rows, and enough for the rest."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_chunk))
+    """Ranges of about ``rows_per_chunk`` rows for ``rows`` hot rows, larger where these are many, and enough for the rest."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_of_part(rows, rows_per_chunk)))
 
 
 def since(values: np.ndarray, first: np.ndarray) -> np.ndarray:

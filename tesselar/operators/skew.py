@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tesselar.workspace import materialize
 
 ROWS_PER_TASK = 4_000_000
+#: Parts that rows are cut into, unless they need more to fit ``ROWS_PER_TASK``: a part costs a task and a file.
+PARTS = 256
 BROADCAST_KEYS = 16_384
 
 
@@ -36,6 +38,12 @@ class HotKeys:
         return F.broadcast(chosen) if self.keys <= BROADCAST_KEYS else chosen
 
 
+def rows_of_part(rows: int, wanted: int, largest: int = ROWS_PER_TASK, parts: int = PARTS) -> int:
+    """Rows of a part of ``rows`` rows: as many as wanted, or more where that made above ``parts`` parts. Only above
+    ``largest`` rows a part does the number of parts grow with the rows."""
+    return max(wanted, min(largest, -(-rows // parts)))
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
     """Join on equal keys, null with null. The key columns are those of ``left``."""
     a, b = left.alias("_l"), right.alias("_r")

@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tesselar.operators.folds import chunks_for
 from tesselar.operators.ordered import CHUNK, chunk, finish, key_totals, running, trailing
-from tesselar.operators.skew import find_hot_keys, skew_join
+from tesselar.operators.skew import PARTS, ROWS_PER_TASK, find_hot_keys, rows_of_part, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -107,3 +108,11 @@ def test_hot_path_equals_plain_path(spark, rows_per_chunk):
     assert result(rows_per_chunk) == result(1000)
     parts = chunk(df, ["key"], ["o", "at"], rows_per_chunk).df.groupBy("key", CHUNK).count()
     assert parts.agg(F.max("count")).first()[0] <= 2 * rows_per_chunk + 1
+
+
+def test_folds_of_many_rows_get_larger_chunks_not_more(spark):
+    """Spark stores at most 100,000 buckets; a bucket costs a task and a file."""
+    assert chunks_for(spark, 6_000_000, 50) == PARTS
+    assert chunks_for(spark, 2000, 50) == 40
+    assert chunks_for(spark, 100 * PARTS * ROWS_PER_TASK, 50) == 100 * PARTS
+    assert rows_of_part(10**12, 50, 500_000) == 500_000
