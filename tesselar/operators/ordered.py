@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, null_safe_join
+from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, null_safe_join, rows_of_part
 from tesselar.workspace import materialize
 
 CHUNK = "_chunk"
@@ -37,17 +37,18 @@ class Chunked:
 
 
 def chunk(
-    df: DataFrame, key: list[str], order: list[str], rows_per_chunk: int = ROWS_PER_TASK
+    df: DataFrame, key: list[str], order: list[str], rows_per_chunk: int = ROWS_PER_TASK, largest: int = ROWS_PER_TASK
 ) -> Chunked:
     """Cut the hot keys of ``df`` by the whole order; only rows equal in all of it share a chunk for sure.
 
-    Chunks of hot keys count from 1, the rows of other keys are chunk 0.
+    Chunks of hot keys count from 1, the rows of other keys are chunk 0. Many rows are cut into larger chunks, up to
+    ``largest`` rows, instead of ever more (``skew.rows_of_part``).
     """
     hot = find_hot_keys(df, key, rows_per_chunk)
     if not hot:
         return Chunked(df.withColumn(CHUNK, F.lit(0)), key, order, hot)
     names = hot.to_join(*key)
-    parts = math.ceil(hot.rows / rows_per_chunk)
+    parts = math.ceil(hot.rows / rows_of_part(hot.rows, rows_per_chunk, largest))
     ranged = null_safe_join(df, names, key, "left_semi").repartitionByRange(parts, *key, *order)
     # Written, so that every later step sees the same cuts.
     cut = materialize(ranged.withColumn(CHUNK, F.spark_partition_id() + 1), "chunks")

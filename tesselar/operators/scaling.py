@@ -177,7 +177,7 @@ def _fold(
     micros = readings.select(
         "dim", F.unix_micros(F.col("t").cast("timestamp")).alias("t"), F.col(signal).alias("signal")
     )
-    chunked = chunk(micros, ["dim"], ["t", "signal"], rows_per_chunk)
+    chunked = chunk(micros, ["dim"], ["t", "signal"], rows_per_chunk, ROWS_PER_FOLD)
 
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "signal"])

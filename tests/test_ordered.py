@@ -116,3 +116,11 @@ def test_folds_of_many_rows_get_larger_chunks_not_more(spark):
     assert chunks_for(spark, 2000, 50) == 40
     assert chunks_for(spark, 100 * PARTS * ROWS_PER_TASK, 50) == 100 * PARTS
     assert rows_of_part(10**12, 50, 500_000) == 500_000
+
+
+def test_chunks_of_many_rows(spark, frame):
+    """A range costs a task, a file and a share of the sample that the driver takes."""
+    chunked = chunk(spark.createDataFrame(frame), ["key"], ["seq"], 2)
+    assert 100 < chunked.hot_rows().agg(F.max(CHUNK)).first()[0] <= PARTS
+    total = finish(running(chunked, sums={"n": F.lit(1)})).toPandas().sort_values("seq")
+    assert (total["n"] == total.groupby("key").cumcount() + 1).all()
