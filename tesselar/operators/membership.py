@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tesselar.functions.text import is_address
 from tesselar.operators.ordered import CHUNK, Chunked, chunk, finish, key_totals, running
-from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, hot_keys_of, null_safe_join, skew_join
+from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, hot_keys_of, null_safe_join, rows_of_part, skew_join
 
 
 def member_ip_check(requests: DataFrame) -> DataFrame:
@@ -100,6 +100,7 @@ def _hot_slots(hot: HotKeys, slots: DataFrame, sizes: DataFrame, rows_per_task:
     """Members of hot balancers that get more requests than one task takes, by arithmetic."""
     if not hot:
         return hot
+    rows_per_task = rows_of_part(hot.rows, rows_per_task)
     busy = null_safe_join(sizes, hot.to_join("balancer", "key_rows"), ["balancer"], "inner").select(
         "balancer", F.ceil(F.col("key_rows") / F.col("_size")).alias("key_rows")
     )

@@ -90,7 +90,7 @@ def skew_join(
     hot = find_hot_keys(facts, key, rows_per_task) if hot is None else hot
     if not hot:
         return facts.join(lookup, key, how)
-    parts = hot.to_join(*key, _parts(rows_per_task).alias("_parts"))
+    parts = hot.to_join(*key, _parts(rows_of_part(hot.rows, rows_per_task)).alias("_parts"))
     part_of_fact = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")), F.lit(0)).cast("int")
     salted_facts = null_safe_join(facts, parts, key, "left").withColumn("_part", part_of_fact).drop("_parts")
     every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tesselar.operators import skew
 from tesselar.operators.folds import chunks_for
 from tesselar.operators.ordered import CHUNK, chunk, finish, key_totals, running, trailing
 from tesselar.operators.skew import PARTS, ROWS_PER_TASK, find_hot_keys, rows_of_part, skew_join
@@ -124,3 +125,11 @@ def test_chunks_of_many_rows(spark, frame):
     assert 100 < chunked.hot_rows().agg(F.max(CHUNK)).first()[0] <= PARTS
     total = finish(running(chunked, sums={"n": F.lit(1)})).toPandas().sort_values("seq")
     assert (total["n"] == total.groupby("key").cumcount() + 1).all()
+
+
+def test_parts_of_many_facts(spark, frame, monkeypatch):
+    seen, parts = [], skew._parts
+    monkeypatch.setattr(skew, "_parts", lambda rows: seen.append(rows) or parts(rows))
+    lookup = spark.range(40).select(F.col("id").alias("key"), F.col("id").alias("name"))
+    assert skew_join(spark.createDataFrame(frame), lookup, ["key"], ["seq"], "inner", 1).count() == len(frame)
+    assert seen == [-(-len(frame) // PARTS)]
