@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesselar.operators.cuts import Cuts
-from tesselar.operators.skew import ROWS_PER_TASK
+from tesselar.operators.skew import ROWS_PER_BLOCK, rows_of_part
 from tesselar.workspace import BucketedTable, bucket_keys, drop_table, new_path, write_buckets
 
 IN_ORDER = ("i", "j", "r")
@@ -134,12 +134,20 @@ class Layout:
         drop_table(self.table)
 
 
-def _placed(cuts: Cuts, keys: tuple[int, ...]):
+def _placed(cuts: Cuts, keys: tuple[int, ...], tasks: int):
+    cells = None if cuts.cells is None else np.array(cuts.cells)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = cuts.strip(cuts.rows, batch.column("i").to_numpy())
             col = cuts.strip(cuts.cols, batch.column("j").to_numpy())
-            added = {"s": cuts.turn(row, col), "bk": np.array(keys)[row], "rs": row, "cs": col}
+            turn = cuts.turn(row, col)
+            if (turn < 0).any():
+                raise ValueError("a rating in a sub-block that the cuts take for empty")
+            number = row * len(cuts.cols) + col
+            # Sub-blocks with ratings are dealt to the tasks in turn.
+            task = (number if cells is None else np.searchsorted(cells, number)) % tasks
+            added = {"s": turn, "bk": np.array(keys)[row], "rs": row, "cs": col, "task": task}
             columns = [pa.array(values.astype(np.int32)) for values in added.values()]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
 
@@ -150,31 +158,35 @@ def block_layout(
     ratings: DataFrame,
     cuts: Cuts,
     order: tuple[str, ...] = IN_ORDER,
-    rows_per_block: int = ROWS_PER_TASK,
+    rows_per_block: int = ROWS_PER_BLOCK,
     rows: int | None = None,
 ) -> Layout:
     """Store the ratings by sub-block; one shuffle of the ratings, whose tasks follow their number ``rows``.
 
     ``order`` names the columns that order the samples of a block, such as a line number. A null id or rating raises.
-    Without ``rows`` the ratings are counted first.
+    Without ``rows`` the ratings are counted first. With cuts in ``any_order`` the samples have no order and no levels.
     """
     spark = ratings.sparkSession
-    if tuple(order) != IN_ORDER and cuts != Cuts.whole_blocks(cuts.grid):
+    whole = Cuts.whole_blocks(cuts.grid)
+    if tuple(order) != IN_ORDER and (cuts.rows, cuts.cols) != (whole.rows, whole.cols):
         raise ValueError("cut blocks keep the result only for samples in (i, j, r) order")
     keys = bucket_keys(spark, len(cuts.rows))
     wanted = [*IN_ORDER, *[name for name in order if name not in IN_ORDER]]
     complete = F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("r").isNotNull()
     checked = F.when(complete, F.col("i")).otherwise(F.raise_error(F.lit("a rating without user, item or value")).cast("long"))
     complete_rows = ratings.select(*wanted).withColumn("i", checked)
-    schema = T.StructType([*complete_rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs")]])
-    placed = complete_rows.mapInArrow(_placed(cuts, keys), schema)
+    schema = T.StructType([*complete_rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs", "task")]])
     # Sub-blocks in as many tasks as the rows need, but no more than there are sub-blocks.
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = ratings.count() if rows is None else rows
-    tasks = min(len(cuts.rows) * len(cuts.cols), max(at_least, -(-rows // rows_per_block)))
-    part = F.pmod(F.col("rs").cast("long") * len(cuts.cols) + F.col("cs"), F.lit(tasks)).cast("int")
-    by_block = placed.repartitionById(tasks, part).sortWithinPartitions("rs", "cs", *order)
-    levelled = by_block.mapInArrow(_add_levels, LAYOUT_SCHEMA)
+    cells = len(cuts.rows) * len(cuts.cols) if cuts.cells is None else len(cuts.cells)
+    tasks = min(max(cells, 1), max(at_least, -(-rows // rows_of_part(rows, rows_per_block, ROWS_PER_BLOCK))))
+    placed = complete_rows.mapInArrow(_placed(cuts, keys, tasks), schema)
+    by_block = placed.repartitionById(tasks, F.col("task"))
+    if cuts.any_order:
+        levelled = by_block.withColumn("lvl", F.lit(0).cast("long")).select(*[field.split()[0] for field in LAYOUT_SCHEMA.split(", ")])
+    else:
+        levelled = by_block.sortWithinPartitions("rs", "cs", *order).mapInArrow(_add_levels, LAYOUT_SCHEMA)
     table = write_buckets(levelled, new_path(spark, "layout"), len(keys), "bk", partition_by="s", sort_by="lvl")
     return Layout(table, cuts, keys)
 

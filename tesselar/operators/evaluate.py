@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tesselar.operators.cuts import fitting_cuts, id_counts
 from tesselar.operators.dsgd import ERROR, FactorStore, block_layout, turn_error
 from tesselar.operators.factors import rating_sides
 from tesselar.operators.grid import Grid, measured_grid
-from tesselar.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, skew_join
+from tesselar.operators.skew import ROWS_PER_BLOCK, ROWS_PER_TASK, HotKeys, find_hot_keys, skew_join
 
 #: Blocks per side for an error that is not part of a training.
 BLOCKS = 8
@@ -93,12 +93,12 @@ def stored_block_error(store: FactorStore) -> DataFrame:
     return found_errors(store)
 
 
-def block_error(ratings: DataFrame, factors: DataFrame, grid: Grid, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+def block_error(ratings: DataFrame, factors: DataFrame, grid: Grid, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Squared error and sample count of every (row block, column block). A missing vector raises.
 
     Samples and vectors are stored in the buckets of the grid first, hot ids in strips of about ``rows_per_block``.
     """
-    cuts = fitting_cuts(grid, id_counts(ratings), rows_per_block)
+    cuts = replace(fitting_cuts(grid, id_counts(ratings), rows_per_block, ratings), any_order=True)
     layout = block_layout(ratings, cuts, rows_per_block=rows_per_block)
     store = FactorStore(layout, factors)
     errors = stored_block_error(store)
@@ -113,6 +113,6 @@ def total_error(errors: DataFrame) -> DataFrame:
     return total.withColumn("rmse", F.sqrt(F.col("squared_error") / F.col("n")))
 
 
-def model_error(ratings: DataFrame, factors: DataFrame, blocks: int = BLOCKS, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+def model_error(ratings: DataFrame, factors: DataFrame, blocks: int = BLOCKS, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Squared error, sample count and RMSE over all ratings."""
     return total_error(block_error(ratings, factors, measured_grid(ratings, blocks), rows_per_block))

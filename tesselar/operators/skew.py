@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tesselar.workspace import materialize
 
 ROWS_PER_TASK = 4_000_000
+#: Ratings of a sub-block that a Python task levels, learns or measures at once.
+ROWS_PER_BLOCK = 1_000_000
 #: Parts that rows are cut into, unless they need more to fit ``ROWS_PER_TASK``: a part costs a task and a file.
 PARTS = 256
 BROADCAST_KEYS = 16_384

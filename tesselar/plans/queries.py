@@ -21,7 +21,7 @@ from tesselar.operators import (
     scaling,
 )
 from tesselar.operators.cuts import fitting_cuts, id_counts
-from tesselar.operators.skew import ROWS_PER_TASK
+from tesselar.operators.skew import ROWS_PER_BLOCK, ROWS_PER_TASK
 from tesselar.plans import views
 from tesselar.plans.files import score_files as score_factor_files
 from tesselar.plans.files import train_files as train_to_files
@@ -488,11 +488,11 @@ def fill_missing_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vector_rows(filled, digits=9)
 
 
-def _learned_stratum(spark: SparkSession, sf_dir: str, update: str, rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+def _learned_stratum(spark: SparkSession, sf_dir: str, update: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """The factors after stratum ``OFFSET`` of the fixed grid, in as many turns as its strips need."""
     ratings = _written_ratings(spark, sf_dir)
     params = TrainingParams(rank=RANK, blocks=BLOCKS)
-    cuts = fitting_cuts(grid.measured_grid(ratings, BLOCKS), id_counts(ratings), rows_per_block)
+    cuts = fitting_cuts(grid.measured_grid(ratings, BLOCKS), id_counts(ratings), rows_per_block, ratings)
     layout = dsgd.block_layout(ratings, cuts, rows_per_block=rows_per_block)
     turns = cuts.stratum_turns(OFFSET)
     store = dsgd.FactorStore(layout, _start_factors(ratings), turns[0])
@@ -500,7 +500,9 @@ def _learned_stratum(spark: SparkSession, sf_dir: str, update: str, rows_per_blo
         store.write(dsgd.dsgd_update(layout, store.read(), turn, params.eta, update))
     store.drop()
     layout.drop()
-    return store.files()
+    # The strips are those of blocks.
+    block = F.element_at(F.lit(cuts.row_blocks.tolist()), F.col("key") + 1).cast("int")
+    return store.files().withColumn("key", block)
 
 
 def _vector_rows(model: DataFrame, *more: str, digits: int = 6) -> DataFrame:

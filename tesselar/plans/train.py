@@ -14,7 +14,7 @@ from tesselar.operators.dsgd import IN_ORDER, FactorStore, block_layout, dsgd_up
 from tesselar.operators.evaluate import found_errors, total_error
 from tesselar.operators.factors import fill_missing_factors, init_factors
 from tesselar.operators.grid import Grid
-from tesselar.operators.skew import ROWS_PER_TASK
+from tesselar.operators.skew import ROWS_PER_BLOCK
 
 LOG_SCHEMA = "iteration INT, seconds DOUBLE, squared_error DOUBLE, rmse DOUBLE"
 
@@ -38,7 +38,7 @@ class TrainingParams:
     base: int = 0
     schedule: str = STRATA
     order: tuple[str, ...] = IN_ORDER
-    rows_per_block: int = ROWS_PER_TASK
+    rows_per_block: int = ROWS_PER_BLOCK
 
     @classmethod
     def out_of_core(cls, rank: int, blocks: int = 8) -> "TrainingParams":
@@ -51,13 +51,13 @@ def training_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
-def measured_cuts(counts: DataFrame, params: TrainingParams) -> Cuts:
-    """The grid over the ids of ``counts`` (``cuts.id_counts``) and its strips."""
+def measured_cuts(counts: DataFrame, params: TrainingParams, ratings: DataFrame | None = None) -> Cuts:
+    """The grid over the ids of ``counts`` (``cuts.id_counts``) and its strips, see ``fitting_cuts``."""
     largest = {row["role"]: row["id"] for row in counts.groupBy("role").agg(F.max("id").alias("id")).collect()}
     grid = Grid(params.blocks, largest.get("W", 0), largest.get("H", 0), params.base, params.schedule)
     if tuple(params.order) != IN_ORDER:
         return Cuts.whole_blocks(grid)
-    return fitting_cuts(grid, counts, params.rows_per_block)
+    return fitting_cuts(grid, counts, params.rows_per_block, ratings)
 
 
 def train_factors(
@@ -71,7 +71,7 @@ def train_factors(
     spark = ratings.sparkSession
     counts = id_counts(ratings)
     rows = counts.where(F.col("role") == "W").agg(F.sum("rows").alias("rows")).first()["rows"] or 0
-    layout = block_layout(ratings, measured_cuts(counts, params), params.order, params.rows_per_block, rows)
+    layout = block_layout(ratings, measured_cuts(counts, params, ratings), params.order, params.rows_per_block, rows)
     if factors is None:
         factors = init_factors(counts.select("role", "id"), params.rank, params.seed)
     else:

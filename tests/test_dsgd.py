@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tesselar.operators import cuts as cuts_module
 from tesselar.operators.cuts import Cuts, fitting_cuts, id_counts
 from tesselar.operators.dsgd import block_layout, dsgd_update, place_factors, sample_levels
 from tesselar.operators.evaluate import block_error, model_error
@@ -308,3 +309,64 @@ def test_samples_in_line_order(spark):
     plain = [(i, j, r) for i, j, r, _ in numbered]
     serial_sub_epoch(plain, model, measured_grid(df, 1), 0, 0.015, "simultaneous")
     assert_same_model(as_model(factors), model)
+
+
+def grouped_ratings(groups=6, users=12, items=9, count=600):
+    """Groups of users that keep to their own items."""
+    rng = np.random.default_rng(5)
+    group = rng.integers(0, groups, count)
+    rows = zip(group * users + rng.integers(0, users, count), group * items + rng.integers(0, items, count), rng.integers(1, 6, count))
+    return sorted((int(i), int(j), float(r)) for i, j, r in rows)
+
+
+def test_many_ratings_are_cut_into_larger_strips(spark):
+    """A turn costs a job and a strip a bucket: with 9,000 ratings and 1 a sub-block there were 13,000 sub-blocks."""
+    df = as_df(spark, make_ratings(500, 400, 9000))
+    cuts = fitting_cuts(measured_grid(df, 4), id_counts(df), 1)
+    assert len(cuts.rows) * len(cuts.cols) <= 2 * 256
+    assert cuts.turns <= 2 * 4 * 8
+
+
+def test_groups_are_cut_until_sub_blocks_fit(spark, monkeypatch):
+    """Few sub-blocks hold all ratings: the product of two strips' weights says too little about them."""
+    ratings = grouped_ratings()
+    df = as_df(spark, ratings)
+    monkeypatch.setattr(cuts_module, "ROWS_PER_BLOCK", 40)
+    grid = measured_grid(df, 2)
+    assert sub_block_sizes(ratings, fitting_cuts(grid, id_counts(df), 40)).max() > 60
+    cuts = fitting_cuts(grid, id_counts(df), 40, df)
+    sizes = sub_block_sizes(ratings, cuts)
+    assert sizes.max() <= 60 and cuts.cells == tuple(np.flatnonzero(sizes).tolist())
+    everywhere = Cuts(cuts.grid, cuts.rows, cuts.cols)
+    assert cuts.turns < everywhere.turns
+    # In any order few turns are enough to meet every sub-block once.
+    measuring = replace(cuts, any_order=True)
+    row, col = np.divmod(np.array(cuts.cells), len(cuts.cols))
+    turns = measuring.turn(row, col)
+    assert measuring.turns < cuts.turns
+    for turn in range(measuring.turns):
+        assert (measuring.met_by(turn)[col[turns == turn]] == row[turns == turn]).all()
+    model = as_model(init_factors(observed_ids(df), RANK, 1))
+    expected = sum((r - model["W", i] @ model["H", j]) ** 2 for i, j, r in ratings)
+    assert model_error(df, init_factors(observed_ids(df), RANK, 1), 2, 40).first()["squared_error"] == pytest.approx(expected, rel=1e-12)
+    with pytest.raises(Exception, match="take for empty"):
+        block_layout(as_df(spark, [*ratings, (0, 53, 1.0)]), cuts).samples.count()
+
+
+@pytest.mark.parametrize("schedule", ["strata", "row_major"])
+def test_groups_keep_the_model(spark, monkeypatch, schedule):
+    df = as_df(spark, grouped_ratings(4, 6, 5, 200))
+    params = TrainingParams(RANK, blocks=2, epochs=2, schedule=schedule, eta=0.02)
+    whole_model = as_model(train_factors(df, params)[0])
+    monkeypatch.setattr(cuts_module, "ROWS_PER_BLOCK", 30)
+    cuts = measured_cuts(id_counts(df), replace(params, rows_per_block=30), df)
+    assert len(cuts.rows) > 2 and len(cuts.cells) < len(cuts.rows) * len(cuts.cols)
+    assert_same_model(as_model(train_factors(df, replace(params, rows_per_block=30))[0]), whole_model)
+
+
+def test_waiting_items_are_dealt_over_the_strips():
+    """All items of a block used to wait at its first or its last row strip."""
+    for schedule in ("strata", "row_major"):
+        cuts = Cuts(Grid(2, 99, 99, 0, schedule), tuple(range(0, 100, 10)), tuple(range(0, 100, 10)))
+        for turn in range(cuts.turns):
+            assert np.bincount(cuts.met_by(turn)).max() <= 2
