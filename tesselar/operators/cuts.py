@@ -25,6 +25,8 @@ from tesselar.workspace import materialize
 
 #: Ranges of an axis that are counted at once, and parts that a heavy one is cut into, as powers of two.
 RANGE_BITS, FINER_BITS = 12, 6
+#: Sub-blocks that ratings are cut into, unless they need more to fit ``ROWS_PER_BLOCK``: every strip makes turns longer.
+SUB_BLOCKS = 64
 #: A sub-block may hold so many times ``ROWS_PER_BLOCK``; times that thinner strips are tried.
 SLACK, TRIES = 1.5, 4
 
@@ -204,7 +206,7 @@ def _cell_rows(ratings: DataFrame, cuts: Cuts) -> dict[int, int]:
 
 
 def fitting_cuts(grid: Grid, counts: DataFrame, rows_per_block: int = ROWS_PER_BLOCK, ratings: DataFrame | None = None) -> Cuts:
-    """Cuts that keep sub-blocks to about ``rows_per_block`` ratings, or more where that made above ``skew.PARTS``.
+    """Cuts that keep sub-blocks to about ``rows_per_block`` ratings, or more where that made above ``SUB_BLOCKS``.
 
     A row strip of weight a and a column strip of weight b share about a * b / all ratings, if the ratings of a user
     lie anywhere. Both are cut at the square root of all * rows_per_block; where an id alone is heavier than that, the
@@ -219,7 +221,7 @@ def fitting_cuts(grid: Grid, counts: DataFrame, rows_per_block: int = ROWS_PER_B
     if not sizes or sizes["W"]["all"] <= rows_per_block:
         return whole
     rows = sizes["W"]["all"]
-    area = rows * rows_of_part(rows, rows_per_block, ROWS_PER_BLOCK)
+    area = rows * rows_of_part(rows, rows_per_block, ROWS_PER_BLOCK, SUB_BLOCKS)
 
     def cut(thinner: float) -> Cuts:
         starts = []
