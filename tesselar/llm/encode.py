@@ -3,7 +3,7 @@
 A unit is a word with the blanks and line feeds before it, or a part of one. Both vocabularies split a text before white
 space, and between a letter or digit and ASCII punctuation, so the ids of a text are the ids of its units one after
 another. The units of a slice are found and told apart in NumPy over the bytes of the column; a different unit
-is looked up once a slice, and encoded by the tokenizer only if it is not remembered.
+is looked up once a slice among those remembered, flat arrays too, and encoded by the tokenizer only if it is not there.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterable
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,52 @@ PUNCTUATION = byte_set((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (
 #: Bytes that other white space begins with, and what an added token begins with: rows with one are looked at closely.
 SUSPECT = byte_set((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F), (0xE1, 0xE3))
 LATIN, LATIN_SPACES, NO_LETTERS = 0xC3, (0x85, 0xA0), (0x97, 0xB7)
-#: Words with one blank before them and nothing that a tokenizer may change the length of: ASCII without control
-#: characters, and Latin-1 letters.
-ONE_BLANK = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])+\Z")
+#: Bytes of words that no tokenizer may change the length of: ASCII without control characters, and Latin-1 letters.
+PLAIN = byte_set((0x21, 0x7E), (0x80, 0xBF), (LATIN, LATIN))
 #: Words that are encoded as one text.
 STRUNG = 128
 #: Texts of a call that are worked on together.
 SLICE_ROWS = 512
 
 
+class Remembered:
+    """Different units and their ids in flat arrays, sorted by the hash of the unit."""
+
+    def __init__(self):
+        self.hashes = np.empty(0, np.uint64)
+        self.units = Pointers(np.zeros(8, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64))
+        self.first, self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray, units: Pointers) -> np.ndarray:
+        """The place of every unit, or -1."""
+        if not len(self):
+            return np.full(len(units), -1)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        like = np.flatnonzero(self.hashes[place] == hashes)
+        found = np.full(len(units), -1)
+        found[like] = np.where(_equal(units, like, self.units, place[like]), place[like], -1)
+        return found
+
+    def add(self, hashes: np.ndarray, units: Pointers, size: np.ndarray, flat: np.ndarray) -> None:
+        """Add units that are not there, with their ids one after another."""
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.hashes, hashes[order])
+        data, start = _joined(units)
+        start += len(self.units.data) - 8
+        self.units = Pointers(
+            np.concatenate([self.units.data[:-8], data]),
+            np.insert(self.units.start, at, start[order]),
+            np.insert(self.units.length, at, units.length[order]),
+        )
+        first = len(self.flat) + np.cumsum(size) - size
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.first, self.size = np.insert(self.first, at, first[order]), np.insert(self.size, at, size[order])
+        self.flat = np.concatenate([self.flat, flat])
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
@@ -44,7 +82,7 @@ class WordEncoder:
     the tokenizer stays as loaded, so the content of an added token is that token's id; else it is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 150_000, longest: int = 48, added_tokens: bool = False):
+    def __init__(self, path: str, memory: int = 400_000, longest: int = 48, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         contents = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
@@ -52,57 +90,93 @@ class WordEncoder:
         self.whole = re.compile("|".join([OTHER_SPACE.pattern, *map(re.escape, contents)]))
         self.suspect = SUSPECT.copy()
         self.suspect[[content.encode()[0] for content in contents if content]] = True
-        #: The ids of a blank alone.
-        self.blank = np.asarray(self.tokenizer.encode(" ", add_special_tokens=False).ids, "<u4").tobytes()
+        #: Whether a blank is part of the token behind it.
+        self.blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
+        #: Bytes of the text that a token stands for, in vocabularies with a letter for every byte.
+        vocabulary, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.token_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.token_bytes[number] = len(token.removesuffix(suffix)) or len(token)
         self.memory, self.longest = memory, longest
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _encode(self, units: list[bytes]) -> list[bytes]:
-        """The ids of new units. Words with one blank in front are strung together: the tokenizer splits before blanks."""
-        found: list[bytes] = [b""] * len(units)
-        strung = [at for at, unit in enumerate(units) if ONE_BLANK.match(unit)]
-        alone = [at for at, unit in enumerate(units) if not ONE_BLANK.match(unit)] if len(strung) < len(units) else []
-        for start in range(0, len(alone), 4096):
-            chunk = alone[start : start + 4096]
-            texts = [units[at].decode("utf-8", "surrogatepass") for at in chunk]
-            for at, one in zip(chunk, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                found[at] = np.asarray(one.ids, dtype="<u4").tobytes()
-        groups = [strung[start : start + STRUNG] for start in range(0, len(strung), STRUNG)]
-        for start in range(0, len(groups), 256):
-            part = groups[start : start + 256]
-            words = [[units[at].decode("utf-8", "surrogatepass") for at in group] for group in part]
-            encoded = self.tokenizer.encode_batch(["".join(one) for one in words], add_special_tokens=False)
-            for group, texts, one in zip(part, words, encoded, strict=True):
-                ids = np.asarray(one.ids, dtype="<u4").tobytes()
-                # A word begins with the token of its first letter, or with a token for the blank alone before that.
-                at_char, first = 1, []
-                for text in texts:
-                    token = one.char_to_token(at_char) * ID_BYTES
-                    first.append(token - ID_BYTES if token and ids[token - ID_BYTES : token] == self.blank else token)
-                    at_char += len(text)
-                first.append(len(ids))
-                for at, a, b in zip(group, first[:-1], first[1:], strict=True):
-                    found[at] = ids[a:b]
-        return found
+        self.known, self.older = Remembered(), Remembered()
+
+    def _encode(self, units: Pointers) -> tuple[np.ndarray, np.ndarray]:
+        """Of new units the number of ids, and the ids one after another."""
+        data, start = _joined(units)
+        odd = np.concatenate([[0], np.cumsum(~PLAIN[data])])
+        strung = (odd[start + units.length] - odd[start] == 1) & (data[start] == ord(" ")) & (units.length > 1)
+        size = np.zeros(len(units), np.int64)
+        # The ids of a chunk of units, and the number of its first id among those of the chunk before it.
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        chosen = np.flatnonzero(strung)
+        for at in range(0, len(chosen), 256 * STRUNG):
+            part = chosen[at : at + 256 * STRUNG]
+            counts, ids, failed = self._strung(Pointers(data, start[part], units.length[part]))
+            size[part] = counts
+            found.append((part[~failed], ids))
+            strung[part[failed]] = False
+        whole = data.tobytes()
+        chosen = np.flatnonzero(~strung)
+        for at in range(0, len(chosen), 4096):
+            part = chosen[at : at + 4096]
+            places = zip(start[part].tolist(), units.length[part].tolist(), strict=True)
+            texts = [whole[a : a + n].decode("utf-8", "surrogatepass") for a, n in places]
+            encoded = [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            size[part] = list(map(len, encoded))
+            found.append((part, np.fromiter(chain.from_iterable(encoded), "<u4")))
+        flat = np.empty(size.sum(), "<u4")
+        first = np.cumsum(size) - size
+        for part, ids in found:
+            flat[_places(first[part], size[part])] = ids
+        return size, flat
+
+    def _strung(self, units: Pointers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Encodes words with one blank in front that are strung together: the tokenizer splits before blanks.
 
-    def _look_up(self, units: list[bytes]) -> list[bytes]:
-        """The ids of different units."""
+        The number of ids of every unit, the ids, and which units have none because the tokens do not end where they do.
+        """
+        data, _ = _joined(units)
+        end = np.cumsum(units.length)
+        group_end = np.append(end[STRUNG - 1 : len(units) - 1 : STRUNG], end[-1])
+        whole, edges = data.tobytes(), [0, *group_end.tolist()]
+        texts = [whole[a:b].decode("utf-8", "surrogatepass") for a, b in pairwise(edges)]
+        encoded = [one.ids for one in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(encoded), "<u4")
+        # Where the tokens and the units of each group end, in bytes that tokens stand for.
+        n_ids = np.array(list(map(len, encoded)))
+        group, id_group = np.arange(len(units)) // STRUNG, np.repeat(np.arange(len(texts)), n_ids)
+        unit_bytes, id_bytes = units.length - (not self.blanks), self.token_bytes[ids]
+        right = np.bincount(group, unit_bytes, len(texts)) == np.bincount(id_group, id_bytes, len(texts))
+        kept, ids, id_bytes = right[group], ids[right[id_group]], id_bytes[right[id_group]]
+        unit_end, id_end = np.cumsum(np.where(kept, unit_bytes, 0)), np.cumsum(id_bytes)
+        last = np.searchsorted(id_end, unit_end, "right")
+        wrong = np.concatenate([[0], id_end])[last] != unit_end
+        failed = ~kept | np.isin(group, group[wrong])
+        counts = np.diff(np.concatenate([[0], last]))
+        return np.where(failed, 0, counts), ids[np.repeat(~failed, counts)], failed
+
+    def _look_up(self, hashes: np.ndarray, units: Pointers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of different units the first id and the number of ids, and where these are."""
         if len(self.known) > self.memory:
-            self.older, self.known = self.known, {}
-        found = list(map(self.known.get, units))
-        missing = [at for at, ids in enumerate(found) if ids is None]
-        if not missing:
-            return found
-        wanted = [units[at] for at in missing]
-        ids = list(map(self.older.get, wanted))
-        new = [at for at, one in enumerate(ids) if one is None]
-        for at, one in zip(new, self._encode([wanted[at] for at in new]), strict=True):
-            ids[at] = one
-        self.known.update((unit, one) for unit, one in zip(wanted, ids, strict=True) if len(unit) <= self.longest)
-        for at, one in zip(missing, ids, strict=True):
-            found[at] = one
-        return found
+            self.older, self.known = self.known, Remembered()
+        first, size = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        missing, flats, before = np.arange(len(units)), [], 0
+        moved = missing[:0]
+        for store in (self.known, self.older):
+            found = store.find(hashes[missing], units.at(missing))
+            here, place = missing[found >= 0], found[found >= 0]
+            first[here], size[here] = before + store.first[place], store.size[place]
+            missing, moved = missing[found < 0], here
+            flats.append(store.flat)
+            before += len(store.flat)
+        counts, ids = self._encode(units.at(missing)) if len(missing) else (size[:0], np.empty(0, "<u4"))
+        first[missing], size[missing] = before + np.cumsum(counts) - counts, counts
+        flat = np.concatenate([*flats, ids])
+        late = np.concatenate([moved, missing])
+        late = late[units.length[late] <= self.longest]
+        if len(late):
+            self.known.add(hashes[late], units.at(late), size[late], flat[_places(first[late], size[late])])
+        return first, size, flat
 
     def ids(self, texts: Iterable[str | None] | pa.Array) -> list[bytes]:
         """The ids of each text as bytes; a null text has none."""
@@ -118,18 +192,12 @@ class WordEncoder:
             return [b""] * len(texts)
         apart = self._in_one_piece(raw, offsets, texts)
         units, row = _units(raw, offsets, apart)
-        distinct, inverse = _distinct(units)
-        whole = units.data.tobytes()
-        starts, ends = units.start[distinct], units.start[distinct] + units.length[distinct]
-        ids = self._look_up([whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-        size = np.array([len(one) for one in ids]) // ID_BYTES
-        first = np.concatenate([[0], np.cumsum(size)])
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        # The ids of all units one after another: for every id its place among those of the different units.
+        distinct, inverse, hashes = _distinct(units)
+        first, size, flat = self._look_up(hashes, units.at(distinct))
+        # The ids of all units one after another.
         count = size[inverse]
         end = np.cumsum(count)
-        place = np.arange(end[-1]) + np.repeat(first[inverse] - (end - count), count)
-        joined = flat[place].tobytes()
+        joined = flat[_places(first[inverse], count)].tobytes()
         row_end = np.concatenate([[0], end])[np.searchsorted(row, np.arange(len(texts) + 1))] * ID_BYTES
         return [joined[a:b] for a, b in zip(row_end[:-1].tolist(), row_end[1:].tolist(), strict=True)]
 
@@ -163,24 +231,43 @@ def _units(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> tuple[Poi
     return Pointers(np.concatenate([raw, np.zeros(8, np.uint8)]), start, length), row
 
 
-def _distinct(units: Pointers) -> tuple[np.ndarray, np.ndarray]:
-    """One place of every different unit, and for each unit the number of its like; exact, whatever the hashes do."""
-    hashes = units.hashes()
-    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    like = first[inverse]
-    equal = units.length == units.length[like]
-    live, depth = np.arange(len(units)), 0
-    while len(live) and equal.all():
-        equal[live] = units.eight(live, depth) == units.eight(like[live], depth)
+def _places(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """For runs of ``count`` places from ``first`` on, all their places one after another."""
+    end = np.cumsum(count)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - count), count)
+
+
+def _joined(units: Pointers) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the units one after another, with eight zeros behind them, and where each begins."""
+    data = units.data[_places(units.start, units.length)]
+    return np.concatenate([data, np.zeros(8, np.uint8)]), np.cumsum(units.length) - units.length
+
+
+def _equal(units: Pointers, which: np.ndarray, others: Pointers, like: np.ndarray) -> np.ndarray:
+    """Whether the units ``which`` have the bytes of the units ``like`` of the others."""
+    equal = units.length[which] == others.length[like]
+    live, depth = np.flatnonzero(equal), 0
+    while len(live):
+        same = units.eight(which[live], depth) == others.eight(like[live], depth)
+        equal[live[~same]] = False
         depth += 1
-        live = live[units.length[live] > 8 * depth]
-    if equal.all():
-        return first, inverse
+        live = live[same & (units.length[which[live]] > 8 * depth)]
+    return equal
+
+
+def _distinct(units: Pointers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place of every different unit, for each unit the number of its like, and the hashes of the different ones;
+    exact, whatever the hashes do."""
+    hashes = units.hashes()
+    found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    if _equal(units, np.arange(len(units)), units, first[inverse]).all():
+        return first, inverse, found
     whole = units.data.tobytes()
     texts = [whole[a : a + n] for a, n in zip(units.start.tolist(), units.length.tolist(), strict=True)]
     seen: dict[bytes, int] = {}
     numbers = np.array([seen.setdefault(text, len(seen)) for text in texts])
-    return np.unique(numbers, return_index=True)[1], numbers
+    first = np.unique(numbers, return_index=True)[1]
+    return first, numbers, hashes[first]
 
 
 @functools.cache

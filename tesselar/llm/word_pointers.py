@@ -54,12 +54,16 @@ class Pointers:
     def __len__(self) -> int:
         return len(self.start)
 
+    def at(self, which: np.ndarray) -> "Pointers":
+        """The words ``which``."""
+        return Pointers(self.data, self.start[which], self.length[which])
+
     def eight(self, which: np.ndarray, depth: int) -> np.ndarray:
         """Bytes 8 * depth to 8 * depth + 7 of the words ``which`` as a number in byte order, zeros behind the end."""
         left = self.length[which] - 8 * depth
         at = np.where(left > 0, self.start[which] + 8 * depth, len(self.data) - 8)
-        bytes_ = np.lib.stride_tricks.sliding_window_view(self.data, 8)[at]
-        value = np.ascontiguousarray(bytes_).view(">u8")[:, 0].astype(np.uint64)
+        # The eight bytes from every place on, as numbers that overlap.
+        value = np.ndarray((len(self.data) - 7,), ">u8", np.ascontiguousarray(self.data), strides=(1,))[at].astype(np.uint64)
         cut = (8 * (8 - np.clip(left, 1, 8))).astype(np.uint64)
         return value >> cut << cut
 
