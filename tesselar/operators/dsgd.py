@@ -32,6 +32,8 @@ LAYOUT_SCHEMA = "s INT, bk INT, rs INT, cs INT, lvl LONG, i LONG, j LONG, r DOUB
 FACTOR_SCHEMA = "role STRING, id LONG, vec ARRAY<DOUBLE>, key INT, bk INT"
 #: Rows of this role carry the error of a block: its number and (squared error, samples).
 ERROR = "E"
+#: Copies of vectors that a batch holds at most, unless one vector has more.
+COPIES = 1 << 14
 #: A frontier of fewer samples is not worth an array operation.
 NARROW = 48
 
@@ -373,3 +375,48 @@ def turn_error(layout: Layout, stored: DataFrame, turn: int, next_turn: int, car
     """
     kernel = _turn_kernel(layout, next_turn, None, False, "before", carry)
     return _in_buckets(layout, turn, stored, kernel, ["rs", "cs", "i", "j", "r"])
+
+
+def _to_cells(cuts: Cuts):
+    """A copy of every factor row for each sub-block with samples that its strip has."""
+    n_rows, n_cols = len(cuts.rows), len(cuts.cols)
+    cells = np.arange(n_rows * n_cols) if cuts.cells is None else np.array(cuts.cells, np.int64)
+    row, col = cells // n_cols, cells % n_cols
+    # The sub-blocks of every row strip, then those of every column strip.
+    listed = np.concatenate([cells[np.argsort(strips, kind="stable")] for strips in (row, col)])
+    copies = np.concatenate([np.bincount(row, minlength=n_rows), np.bincount(col, minlength=n_cols)])
+    first = np.cumsum(copies) - copies
+    rows_at_once = max(1, COPIES // max(1, int(copies.max(initial=0))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(start, rows_at_once)
+                ids = batch.column("id").to_numpy()
+                user = pc.equal(batch.column("role"), "W").to_numpy(zero_copy_only=False)
+                strip = np.where(user, cuts.strip(cuts.rows, ids), n_rows + cuts.strip(cuts.cols, ids))
+                count = copies[strip]
+                end = np.cumsum(count)
+                place = np.arange(end[-1]) + np.repeat(first[strip] - (end - count), count)
+                copied = batch.take(pa.array(np.repeat(np.arange(len(ids)), count)))
+                yield pa.RecordBatch.from_arrays([pa.array(listed[place]), *copied.columns], ["cell", "role", "id", "vec"])
+
+    return run
+
+
+def cell_errors(layout: Layout, factors: DataFrame) -> DataFrame:
+    """``squared_error`` and ``n`` of every sub-block with samples, in one job whatever the number of turns.
+
+    Every sub-block gets the vectors of its two strips and its samples by one shuffle: a vector is copied once for each
+    sub-block of its strip, which are never more than the turns that would pass it on. A task holds one sub-block at a time.
+    """
+    cuts, n_cols = layout.cuts, len(layout.cuts.cols)
+    vectors = factors.select("role", F.col("id").cast("long").alias("id"), "vec")
+    copied = vectors.mapInArrow(_to_cells(cuts), "cell LONG, role STRING, id LONG, vec ARRAY<DOUBLE>")
+    samples = layout.samples.select((F.col("rs").cast("long") * n_cols + F.col("cs")).alias("cell"), "i", "j", "r")
+
+    def run(samples: pa.Table, stored: pa.Table) -> pa.Table:
+        errors = [_error(_Side("W", stored), _Side("H", stored), samples)] if samples.num_rows else []
+        return pa.table({"squared_error": pa.array([e for e, _ in errors], pa.float64()), "n": pa.array([n for _, n in errors], pa.int64())})
+
+    return samples.groupBy("cell").cogroup(copied.groupBy("cell")).applyInArrow(run, "squared_error DOUBLE, n LONG")

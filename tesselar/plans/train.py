@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tesselar.functions.grid import ROW_MAJOR, STRATA
 from tesselar.operators.cuts import Cuts, fitting_cuts, id_counts
-from tesselar.operators.dsgd import IN_ORDER, FactorStore, block_layout, dsgd_update, turn_error
-from tesselar.operators.evaluate import found_errors, total_error
+from tesselar.operators.dsgd import IN_ORDER, FactorStore, block_layout, cell_errors, dsgd_update
+from tesselar.operators.evaluate import total_error
 from tesselar.operators.factors import fill_missing_factors, init_factors
 from tesselar.operators.grid import Grid
 from tesselar.operators.skew import ROWS_PER_BLOCK
@@ -66,7 +66,8 @@ def train_factors(
     """Train from ``factors`` (or fresh ones) and return the factors and the training log.
 
     The ratings are stored once; every turn reads its own part of them and the factors bucket by bucket and writes the
-    factors for the next turn, so a lost executor repeats at most one turn, and nothing is shuffled after the start.
+    factors for the next turn, so a lost executor repeats at most one turn, and no turn shuffles anything. The error of an
+    epoch is one more job, see ``cell_errors``.
     """
     spark = ratings.sparkSession
     counts = id_counts(ratings)
@@ -79,30 +80,12 @@ def train_factors(
     store = FactorStore(layout, factors)
 
     eta, log, started = params.eta, [], time.perf_counter()
-    turns = layout.cuts.turns
-
-    def note(epoch: int) -> None:
-        error = total_error(found_errors(store)).first()
-        log.append((epoch, time.perf_counter() - started, error["squared_error"], error["rmse"]))
-
     for epoch in range(params.epochs):
-        for turn in range(turns):
-            # The last turn measures what it has learned, the first one of the next epoch what it finds: both are the
-            # model of the epoch. Only the turns between are passed through once more.
-            last = turn == turns - 1
-            measure = "after" if last else "before" if turn == 0 and epoch else None
-            following = (1 if turns > 2 else 0) if last else turn + 1
-            store.write(dsgd_update(layout, store.read(), turn, eta, params.update, following, measure))
-            if turn == 0 and epoch and turns > 1:
-                note(epoch - 1)
-        for turn in range(1, turns - 1):
-            store.write(turn_error(layout, store.read(), turn, turn + 1 if turn < turns - 2 else 0))
-        if turns == 1:
-            note(epoch)
+        for turn in range(layout.cuts.turns):
+            store.write(dsgd_update(layout, store.read(), turn, eta, params.update))
+        error = total_error(cell_errors(layout, store.model())).first()
+        log.append((epoch, time.perf_counter() - started, error["squared_error"], error["rmse"]))
         eta *= params.decay
-    if params.epochs and turns > 1:
-        store.write(turn_error(layout, store.read(), 0, 0))
-        note(params.epochs - 1)
     store.drop()
     layout.drop()
     return store.model(), training_log(spark, log)
