@@ -227,7 +227,8 @@ def fitting_cuts(grid: Grid, counts: DataFrame, rows_per_block: int = ROWS_PER_B
         starts = []
         for role, other, blocks, largest in (("W", "H", whole.rows, grid.max_i), ("H", "W", whole.cols, grid.max_j)):
             weight = area / max(sizes[other]["largest"], math.sqrt(area)) / thinner
-            starts.append(_strip_starts(counts.where(F.col("role") == role).select("id", "rows"), blocks, largest, weight))
+            known = counts.where((F.col("role") == role) & F.col("id").isNotNull())
+            starts.append(_strip_starts(known.select("id", "rows"), blocks, largest, weight))
         return Cuts(grid, *starts)
 
     cuts, thinner = cut(1.0), 1.0

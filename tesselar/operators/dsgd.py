@@ -86,12 +86,12 @@ def _walk(users: np.ndarray, items: np.ndarray, levels: np.ndarray, rest: np.nda
     levels[rest] = walked
 
 
-def _sub_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each (rs, cs) from a partition sorted by them."""
+def _sub_blocks(batches: Iterator[pa.RecordBatch], row: str = "rs", col: str = "cs") -> Iterator[pa.Table]:
+    """The rows of each pair of ``row`` and ``col`` from a partition sorted by them."""
     parts: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        rows, cols = batch.column("rs").to_numpy(), batch.column("cs").to_numpy()
+        rows, cols = batch.column(row).to_numpy(), batch.column(col).to_numpy()
         edges = [0, *(np.flatnonzero(np.diff(rows) | np.diff(cols)) + 1).tolist(), len(rows)]
         for start, end in pairwise(edges):
             if start == end:
@@ -124,6 +124,10 @@ class Layout:
     def buckets(self) -> int:
         return len(self.keys)
 
+    @property
+    def turns(self) -> int:
+        return self.cuts.turns
+
     @property
     def samples(self) -> DataFrame:
         return self.table.read()
@@ -156,6 +160,14 @@ def _placed(cuts: Cuts, keys: tuple[int, ...], tasks: int):
     return run
 
 
+def checked_ratings(ratings: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``i``, ``j``, ``r`` and the columns of the order. A null id or rating raises."""
+    wanted = [*IN_ORDER, *[name for name in order if name not in IN_ORDER]]
+    complete = F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("r").isNotNull()
+    checked = F.when(complete, F.col("i")).otherwise(F.raise_error(F.lit("a rating without user, item or value")).cast("long"))
+    return ratings.select(*wanted).withColumn("i", checked)
+
+
 def block_layout(
     ratings: DataFrame,
     cuts: Cuts,
@@ -173,10 +185,7 @@ def block_layout(
     if tuple(order) != IN_ORDER and (cuts.rows, cuts.cols) != (whole.rows, whole.cols):
         raise ValueError("cut blocks keep the result only for samples in (i, j, r) order")
     keys = bucket_keys(spark, len(cuts.rows))
-    wanted = [*IN_ORDER, *[name for name in order if name not in IN_ORDER]]
-    complete = F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("r").isNotNull()
-    checked = F.when(complete, F.col("i")).otherwise(F.raise_error(F.lit("a rating without user, item or value")).cast("long"))
-    complete_rows = ratings.select(*wanted).withColumn("i", checked)
+    complete_rows = checked_ratings(ratings, order)
     schema = T.StructType([*complete_rows.schema.fields, *[T.StructField(name, T.IntegerType()) for name in ("s", "bk", "rs", "cs", "task")]])
     # Sub-blocks in as many tasks as the rows need, but no more than there are sub-blocks.
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -326,6 +335,9 @@ class FactorStore:
     def read(self) -> DataFrame:
         return self.tables[self.current].read()
 
+    def errors(self) -> DataFrame:
+        return cell_errors(self.layout, self.model())
+
     def drop(self) -> None:
         """Take the names of both tables out of the catalog; the files stay."""
         for table in self.tables:
@@ -404,15 +416,19 @@ def _to_cells(cuts: Cuts):
     return run
 
 
-def cell_errors(layout: Layout, factors: DataFrame) -> DataFrame:
+def cell_errors(layout: Layout, factors: DataFrame, unpacked=None) -> DataFrame:
     """``squared_error`` and ``n`` of every sub-block with samples, in one job whatever the number of turns.
 
     Every sub-block gets the vectors of its two strips and its samples by one shuffle: a vector is copied once for each
     sub-block of its strip, which are never more than the turns that would pass it on. A task holds one sub-block at a time.
+    ``unpacked`` is what makes ``role``, ``id``, ``vec`` of the batches of ``factors``, in the same Python worker.
     """
-    cuts, n_cols = layout.cuts, len(layout.cuts.cols)
-    vectors = factors.select("role", F.col("id").cast("long").alias("id"), "vec")
-    copied = vectors.mapInArrow(_to_cells(cuts), "cell LONG, role STRING, id LONG, vec ARRAY<DOUBLE>")
+    cuts, n_cols, to_cells = layout.cuts, len(layout.cuts.cols), _to_cells(layout.cuts)
+    if unpacked is None:
+        vectors, copy = factors.select("role", F.col("id").cast("long").alias("id"), "vec"), to_cells
+    else:
+        vectors, copy = factors, lambda batches: to_cells(unpacked(batches))
+    copied = vectors.mapInArrow(copy, "cell LONG, role STRING, id LONG, vec ARRAY<DOUBLE>")
     samples = layout.samples.select((F.col("rs").cast("long") * n_cols + F.col("cs")).alias("cell"), "i", "j", "r")
 
     def run(samples: pa.Table, stored: pa.Table) -> pa.Table:
