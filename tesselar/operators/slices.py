@@ -28,7 +28,7 @@ from tesselar.operators.skew import rows_of_part
 from tesselar.workspace import append_buckets, bucket_keys, drop_partition, drop_table, new_path, write_buckets
 
 #: Numbers in the user vectors of a slice, if all its samples had users of their own: a task holds up to two vectors a sample.
-SLICE_VALUES = 4_000_000
+SLICE_VALUES = 2_000_000
 SLICE_SCHEMA = "unit LONG, bk INT, rs INT, cs INT, lvl LONG, i LONG, j LONG, r DOUBLE"
 PACKED_SCHEMA = "step LONG, bk INT, role STRING, ids BINARY, vecs BINARY, visits BINARY"
 #: Bytes of the vectors that are packed into one row, and rows that are sent at once: a batch of Spark's, which has up to
@@ -225,7 +225,11 @@ def _step_kernel(routes: _Routes, step: int, eta: float, sequential: bool):
         w, h = _Arrived("W", stored), _Arrived("H", stored)
         if samples.num_rows:
             _learn(w, h, samples, eta, sequential)
-        packed = [routes.packed(side.role, side.ids, side.rows, side.visits, step) for side in (w, h)]
+        packed = []
+        for side in (w, h):
+            packed.append(routes.packed(side.role, side.ids, side.rows, side.visits, step))
+            # One copy of a vector less while the other role is packed.
+            side.rows = side.visits = None
         return pa.Table.from_batches([batch for table in packed for batch in table.to_batches(BATCH_ROWS)], packed[0].schema)
 
     return run
@@ -286,7 +290,8 @@ class TravellingFactors:
         known = factors.select("role", F.col("id").cast("long").alias("id"), "vec").join(visits, ["role", "id"], "left")
         known = known.select("role", "id", "vec", *[F.coalesce(word, F.lit(0).cast("long")).alias(word) for word in words])
         packed = known.mapInArrow(_pack_first(self.routes, words), PACKED_SCHEMA).repartition("step", "bk")
-        self.table = write_buckets(packed, new_path(factors.sparkSession, "factors"), layout.buckets, "bk", partition_by="step")
+        path = new_path(factors.sparkSession, "factors")
+        self.table = write_buckets(packed, path, layout.buckets, "bk", partition_by="step", compression="none")
 
     def updated(self, eta: float, update: str = "simultaneous") -> DataFrame:
         """The vectors that were written for this step, after it, packed for the steps that they go to."""
@@ -299,7 +304,7 @@ class TravellingFactors:
 
     def learn(self, eta: float, update: str = "simultaneous") -> None:
         """One turn: its slices are learned, one of a block, and their vectors go on."""
-        append_buckets(self.table, self.updated(eta, update), self.layout.buckets, "bk", "step")
+        append_buckets(self.table, self.updated(eta, update), self.layout.buckets, "bk", "step", compression="none")
         drop_partition(self.table, "step", self.step)
         self.step += 1
 
